@@ -1,13 +1,20 @@
 """Deterministic stratified split and class weights."""
 
+import math
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 
-HASH, BUCKET = "_hash", "_bucket"
-BUCKET_DIGITS = 4  # 65,536 histogram buckets per class
+HASH = "_hash"
+HASH_DIGITS = 32
+LEVEL_DIGITS = 4
+PIECES = 16**LEVEL_DIGITS  # counts per class and level, and the most that one task orders
 COPIES_PER_CHUNK = 1_000_000
+MAX_CLASSES = 100
 
 
 def row_hash(columns: list[str], seed: int) -> Column:
@@ -16,97 +23,82 @@ def row_hash(columns: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("\x1f", *values, F.lit(str(seed))))
 
 
-def class_sizes(counts: DataFrame, label: str) -> DataFrame:
-    """Rows per class and in total from counts ``n``: one row per class."""
-    return (
-        counts.groupBy(label)
-        .agg(F.sum("n").alias("class_rows"))
-        .withColumn("total_rows", F.sum("class_rows").over(Window.partitionBy()))
-    )
+def per_class(table: DataFrame, label: str) -> dict:
+    """A table with one row per class, keyed by class. Refuses a column of many values."""
+    rows = table.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {row[label]: row for row in rows}
 
 
-def test_sizes(sizes: DataFrame, fraction: float, label: str) -> DataFrame:
-    """Exact test rows per class.
+def by_class(label: str, values: dict) -> Column:
+    """The value that belongs to the row's class; NULL for a class without one."""
+    chosen = F.lit(None)
+    for key, value in values.items():
+        chosen = F.when(F.col(label).eqNullSafe(F.lit(key)), F.lit(value)).otherwise(chosen)
+    return chosen
+
+
+def test_sizes(class_rows: dict, fraction: float) -> dict:
+    """Test rows per class.
 
     The test part has ceil(fraction * n) rows. Train seats are shared out in proportion,
     rounded down, and seats left over go to the largest remainders.
     """
-    share = F.col("class_rows") / F.col("total_rows") * F.col("train_rows")
-    everything = Window.partitionBy()
-    by_remainder = Window.orderBy(F.desc("remainder"), F.asc(label))
-    return (
-        sizes.withColumn(
-            "train_rows",
-            F.col("total_rows") - F.ceil(F.lit(float(fraction)) * F.col("total_rows")),
-        )
-        .withColumn("seats", F.floor(share))
-        .withColumn("remainder", share - F.col("seats"))
-        .withColumn("left_over", F.col("train_rows") - F.sum("seats").over(everything))
-        .withColumn("place", F.row_number().over(by_remainder))
-        .select(
-            label,
-            (
-                F.col("class_rows")
-                - F.col("seats")
-                - F.when(F.col("place") <= F.col("left_over"), 1).otherwise(0)
-            ).alias("test_rows"),
-        )
-    )
-
-
-def _cut_points(hashed: DataFrame, label: str, fraction: float) -> DataFrame:
-    """Per class, the hash at which the test part ends and how many rows with it belong.
-
-    No class is ever sorted as a whole. A histogram over hash prefixes finds the bucket
-    holding the cut; only that bucket's hashes are counted one by one, and those again by
-    their next digits, so that the running sum runs over small pieces.
+    total = sum(class_rows.values())
+    train = total - math.ceil(fraction * total)
+    shares = {c: n / total * train for c, n in class_rows.items()}
+    seats = {c: math.floor(share) for c, share in shares.items()}
+    by_remainder = sorted(shares, key=lambda c: (seats[c] - shares[c], str(c)))
+    for c in by_remainder[: train - sum(seats.values())]:
+        seats[c] += 1
+    return {c: n - seats[c] for c, n in class_rows.items()}
+
+
+def _inside(label: str, prefixes: dict) -> Column:
+    """Rows whose hash starts with their class's prefix."""
+    tests = [
+        F.col(label).eqNullSafe(F.lit(c)) & F.col(HASH).startswith(prefix)
+        for c, prefix in prefixes.items()
+    ]
+    return reduce(or_, tests, F.lit(False))
+
+
+def cut_points(hashed: DataFrame, label: str, fraction: float) -> dict:
+    """Per class: the hash where the test part ends, rows to take of it, rows having it.
+
+    No class is sorted as a whole. Counts per hash prefix show which prefix holds the
+    cut; the next pass counts only below that prefix, with more digits, and the last one
+    whole hashes. Class sizes tell how many passes leave about ``PIECES`` hashes to order.
+    Counting folds copies inside each task. The driver sees one row per class and pass.
     """
-    prefix = F.substring(HASH, 1, BUCKET_DIGITS)
-    next_digits = F.substring(HASH, BUCKET_DIGITS + 1, BUCKET_DIGITS)
-
-    def crossing(counts: DataFrame, piece: str) -> DataFrame:
-        """The piece in which the running count reaches ``test_rows``, and rows before it."""
-        upto = Window.partitionBy(label).orderBy(piece).rowsBetween(Window.unboundedPreceding, 0)
-        return (
-            counts.withColumn("upto", F.sum("n").over(upto))
-            .withColumn("before", F.col("upto") - F.col("n"))
-            .filter(
-                (F.col("before") < F.col("test_rows")) & (F.col("upto") >= F.col("test_rows"))
-            )
+    counted = per_class(hashed.groupBy(label).agg(F.count("*").alias("n")), label)
+    sizes = {c: row["n"] for c, row in counted.items()}
+    wanted = {c: n for c, n in test_sizes(sizes, fraction).items() if n > 0}
+    prefixes = dict.fromkeys(wanted, "")
+    levels, largest = [], max(sizes.values(), default=0)
+    while largest > PIECES and len(levels) < HASH_DIGITS // LEVEL_DIGITS - 1:
+        levels.append((len(levels) + 1) * LEVEL_DIGITS)
+        largest /= PIECES
+    found = {}
+    for digits in [*levels, HASH_DIGITS]:
+        running = (
+            Window.partitionBy(label)
+            .orderBy("piece")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-
-    coarse = hashed.groupBy(label, prefix.alias(BUCKET)).agg(F.count("*").alias("n"))
-    sizes = test_sizes(class_sizes(coarse, label), fraction, label)
-    first = crossing(coarse.join(F.broadcast(sizes), label), BUCKET).select(
-        label, BUCKET, (F.col("test_rows") - F.col("before")).alias("wanted")
-    )
-    # One row per class on the broadcast side, here and below.
-    inside = hashed.withColumn(BUCKET, prefix).join(F.broadcast(first), [label, BUCKET])
-    by_hash = inside.groupBy(label, "wanted", HASH).agg(F.count("*").alias("n"))
-    pieces = by_hash.withColumn("_piece", next_digits)
-    # The running count inside a piece plus the pieces before it, both from one pass.
-    local = Window.partitionBy(label, "_piece").orderBy(HASH)
-    within = pieces.withColumn(
-        "upto", F.sum("n").over(local.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    fine = crossing(
-        pieces.groupBy(label, "_piece", F.col("wanted").alias("test_rows")).agg(
-            F.sum("n").alias("n")
-        ),
-        "_piece",
-    ).select(label, "_piece", F.col("before").alias("pieces_before"))
-    return (
-        within.join(F.broadcast(fine), [label, "_piece"])
-        .withColumn("upto", F.col("upto") + F.col("pieces_before"))
-        .withColumn("before", F.col("upto") - F.col("n"))
-        .filter((F.col("before") < F.col("wanted")) & (F.col("upto") >= F.col("wanted")))
-        .select(
+        target = by_class(label, wanted)
+        found = per_class(
+            hashed.filter(_inside(label, prefixes))
+            .groupBy(label, F.substring(HASH, 1, digits).alias("piece"))
+            .agg(F.count("*").alias("n"))
+            .withColumn("upto", F.sum("n").over(running))
+            .filter((F.col("upto") - F.col("n") < target) & (F.col("upto") >= target)),
             label,
-            F.col(HASH).alias("_cut"),
-            (F.col("wanted") - F.col("before")).alias("_take"),
-            F.col("n").alias("_have"),
         )
-    )
+        prefixes = {c: row["piece"] for c, row in found.items()}
+        wanted = {c: wanted[c] - (row["upto"] - row["n"]) for c, row in found.items()}
+    return {c: (prefixes[c], wanted[c], row["n"]) for c, row in found.items()}
 
 
 def stratified_split(
@@ -118,44 +110,49 @@ def stratified_split(
     """Add ``split`` (``train`` or ``test``), exact per class.
 
     Within a class the rows with the smallest hashes are the test part, so membership
-    depends on values only and survives any repartitioning or recomputation. ``label``
-    must be a class column: the cut points are broadcast, one row per class.
+    depends on values only and survives any repartitioning or recomputation. ``df`` is
+    read by several passes and is best a written table; the result itself is narrow.
 
     Where the cut falls among copies of one row, the copies are counted and dealt out
     anew in chunks, so that a row making up much of the table needs no single task.
     """
     columns = df.columns
     hashed = df.withColumn(HASH, row_hash(columns, seed))
-    cuts = F.broadcast(_cut_points(hashed.select(label, HASH), label, fraction))
-    marked = hashed.join(cuts, label, "left")
-
-    dealt = F.col(HASH).eqNullSafe(F.col("_cut")) & (F.col("_take") < F.col("_have"))
-    is_test = F.coalesce(F.col(HASH) <= F.col("_cut"), F.lit(False))
-    whole = marked.filter(~F.coalesce(dealt, F.lit(False))).select(
-        *columns, F.when(is_test, "test").otherwise("train").alias("split")
+    cuts = cut_points(hashed.select(label, HASH), label, fraction)
+    cut = by_class(label, {c: point[0] for c, point in cuts.items()})
+    is_test = F.coalesce(F.col(HASH) <= cut, F.lit(False))
+    marked = hashed.withColumn("split", F.when(is_test, "test").otherwise("train"))
+
+    shared = {c: point for c, point in cuts.items() if point[1] < point[2]}
+    if not shared:
+        return marked.select(*columns, "split")
+    dealt = _inside(label, {c: point[0] for c, point in shared.items()})
+    take = by_class(label, {c: point[1] for c, point in shared.items()})
+    rest = marked.filter(~dealt).select(*columns, "split")
+    return rest.unionByName(_deal(hashed.filter(dealt), columns, label, take))
+
+
+def _deal(copies: DataFrame, columns: list[str], label: str, take: Column) -> DataFrame:
+    """``take`` of each class's copies as test rows, the others as train rows."""
+    counted = copies.groupBy(*columns).agg(F.count("*").alias("n"))
+    running = (
+        Window.partitionBy(label)
+        .orderBy(*columns)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    before = F.sum("n").over(running) - F.col("n")
+    to_test = F.greatest(F.lit(0), F.least(F.col("n"), take - F.col("before")))
+    shares = F.array(
+        F.struct(F.lit("test").alias("split"), F.col("to_test").alias("n")),
+        F.struct(F.lit("train").alias("split"), (F.col("n") - F.col("to_test")).alias("n")),
     )
-
-    copies = marked.filter(dealt).groupBy(*columns, HASH, "_take").agg(F.count("*").alias("n"))
-    in_order = Window.partitionBy(label).orderBy(*columns)
-    before = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    to_test = F.greatest(F.lit(0), F.least(F.col("n"), F.col("_take") - F.col("before")))
     parts = (
-        copies.withColumn("before", before)
+        counted.withColumn("before", before)
         .withColumn("to_test", to_test)
-        .select(
-            *columns,
-            F.explode(
-                F.array(
-                    F.struct(F.lit("test").alias("split"), F.col("to_test").alias("n")),
-                    F.struct(
-                        F.lit("train").alias("split"), (F.col("n") - F.col("to_test")).alias("n")
-                    ),
-                )
-            ).alias("part"),
-        )
-        .select(*columns, "part.split", "part.n")
+        .select(*columns, F.explode(shares).alias("share"))
+        .select(*columns, "share.split", "share.n")
     )
-    return whole.unionByName(_repeat(parts, columns + ["split"]))
+    return _repeat(parts, [*columns, "split"])
 
 
 def _repeat(counted: DataFrame, columns: list[str]) -> DataFrame:
@@ -174,15 +171,18 @@ def _repeat(counted: DataFrame, columns: list[str]) -> DataFrame:
 
 def class_weights(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Balanced weight n / (classes * n_class): one row per class."""
-    classes = F.count("*").over(Window.partitionBy())
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    return class_sizes(counts, label).select(
-        label,
-        "class_rows",
-        (F.col("total_rows") / (classes * F.col("class_rows"))).alias("class_weight"),
+    every_class = Window.partitionBy()
+    return (
+        df.groupBy(label)
+        .agg(F.count("*").alias("class_rows"))
+        .withColumn(
+            "class_weight",
+            F.sum("class_rows").over(every_class)
+            / (F.count("*").over(every_class) * F.col("class_rows")),
+        )
     )
 
 
-def with_class_weight(df: DataFrame, weights: DataFrame, label: str = S.LABEL) -> DataFrame:
-    """Attach the weights; their side has one row per class."""
-    return df.join(F.broadcast(weights.select(label, "class_weight")), label)
+def with_class_weight(df: DataFrame, weights: dict, label: str = S.LABEL) -> DataFrame:
+    """Attach the class's weight to every row; ``weights`` is keyed by class."""
+    return df.withColumn("class_weight", by_class(label, weights).cast("double"))

@@ -19,27 +19,28 @@ from tidemark.sinks.files import save_model, write_leaderboard_csv
 
 @dataclass(frozen=True)
 class Prepared:
-    """Split and encoded rows, written once and read by every candidate."""
+    """Split rows, written once, and what was learnt from their training part."""
 
     spark: SparkSession
     path: str
     encoding: PipelineModel
+    weights: dict
     train_rows: int
 
-    def part(self, name: str, table: str = "encoded") -> DataFrame:
-        """``train`` or ``test``; the other part's files are not opened.
-
-        ``table="rows"`` gives the plain feature columns instead of the vectors.
-        """
-        return self.spark.read.parquet(f"{self.path}/{table}").filter(F.col("split") == name)
+    def rows(self, part: str) -> DataFrame:
+        """Plain rows of ``train`` or ``test``; the other part's files are not opened."""
+        return self.spark.read.parquet(self.path).filter(F.col("split") == part).drop("split")
 
     @property
     def train(self) -> DataFrame:
-        return self.part("train").select("features", S.LABEL, "class_weight")
+        """Encoded and weighted. Encoding is narrow and the vectors are wider than the rows,
+        so every fit encodes as it reads; Spark ML keeps its own working copy."""
+        rows = split.with_class_weight(self.rows("train"), self.weights)
+        return self.encoding.transform(rows).select("features", S.LABEL, "class_weight")
 
     @property
     def test(self) -> DataFrame:
-        return self.part("test")
+        return self.encoding.transform(self.rows("test"))
 
 
 def prepare(
@@ -49,27 +50,25 @@ def prepare(
     fraction: float = S.TEST_FRACTION,
     seed: int = S.SEED,
 ) -> Prepared:
-    """Split, weigh and encode the training rows and write them to ``path``.
+    """Split the training rows into files below ``path``; learn encoding and weights.
 
-    The split rows are written first: encoding, weights and features then read a table
-    instead of repeating the split. Weights come from the training part alone.
+    Both come from the training part alone, and once for all candidates.
     """
     spark = gold_df.sparkSession
     path = path or scratch_path(spark, "prepared")
     rows = split.stratified_split(
         features.training_set(gold_df, keep), fraction=fraction, seed=seed
     )
-    rows.write.mode("overwrite").partitionBy("split").parquet(f"{path}/rows")
-    rows = spark.read.parquet(f"{path}/rows")
-    train = rows.filter(F.col("split") == "train")
-    weights = split.class_weights(train)
-    sizes = weights.collect()  # one row per class
-    encoding = models.encoder().fit(train)
-    encoded = encoding.transform(split.with_class_weight(rows, weights))
-    encoded.select(*(keep or []), "features", S.LABEL, "class_weight", "split").write.mode(
-        "overwrite"
-    ).partitionBy("split").parquet(f"{path}/encoded")
-    return Prepared(spark, path, encoding, sum(row["class_rows"] for row in sizes))
+    rows.write.mode("overwrite").partitionBy("split").parquet(path)
+    train = spark.read.parquet(path).filter(F.col("split") == "train")
+    classes = split.per_class(split.class_weights(train), S.LABEL)
+    return Prepared(
+        spark,
+        path,
+        models.encoder().fit(train),
+        {label: row["class_weight"] for label, row in classes.items()},
+        sum(row["class_rows"] for row in classes.values()),
+    )
 
 
 def fit(prepared: Prepared, candidate: models.Candidate):
