@@ -12,7 +12,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.catalog.queries import QUERIES, SMALL_GB, SMALL_LR, SMALL_RF  # noqa: E402
-from tidemark.operators import features, models, scoring  # noqa: E402
+from tidemark.operators import features, models  # noqa: E402
 from tidemark.plans import inference, layers, training  # noqa: E402
 from tidemark.session import build_session, scratch_path  # noqa: E402
 from tidemark.sinks.files import write_layer  # noqa: E402
@@ -92,9 +92,7 @@ def main() -> None:
     timed("batch_scoring", lambda: consume(inference.batch_predictions(gold, model)))
     timed(
         "score_responses",
-        lambda: consume(
-            scoring.responses(scoring.apply_model(features.scoring_set(gold), model), keep=S.IDS)
-        ),
+        lambda: consume(inference.respond(features.scoring_set(gold), model, keep=S.IDS)),
     )
 
     source = scratch_path(spark, "events")

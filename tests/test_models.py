@@ -7,7 +7,7 @@ from tidemark import schemas as S
 from tidemark.functions import columns as C
 from tidemark.operators import features, metrics, models, scoring
 from tidemark.plans import inference, training
-from tidemark.sources.files import load_model
+from tidemark.sources.files import load_model, read_requests
 
 
 def planted(spark, n=6000):
@@ -204,9 +204,18 @@ def test_metrics_of_scores_without_probabilities(spark):
     assert metrics.run_metrics(rows, ["run"]).first()["roc_auc"] == 1.0
 
 
-def test_request_rows_need_features_only(spark, prepared, gold):
+def test_requests_need_features_only(spark, prepared, gold, tmp_path):
     candidate = models.Candidate("a", "logistic_regression", {"C": 1})
     model = models.assemble(prepared.encoding, training.fit(prepared, candidate))
-    requests = gold.select(*S.FEATURES).limit(5)
-    rows = scoring.responses(scoring.apply_model(requests, model)).collect()
-    assert len(rows) == 5 and all(0 <= r["no_show_probability"] <= 1 for r in rows)
+    path = str(tmp_path / "requests")
+    gold.select(*S.FEATURES).limit(5).write.json(path)
+    requests = read_requests(spark, path)
+    assert requests.schema == S.request_schema()
+    rows = inference.respond(requests, model, keep=["Age"]).collect()
+    assert len(rows) == 5
+    for row in rows:
+        assert row["predicted_no_show"] == int(row["no_show_probability"] >= 0.3)
+        assert row["threshold"] == 0.3
+    (tmp_path / "bad.json").write_text('{"Gender": "Female", "Age": "old"}')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_requests(spark, str(tmp_path / "bad.json")).collect()

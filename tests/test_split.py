@@ -54,10 +54,10 @@ def test_equals_ranking_however_many_copies(spark, rows, fraction):
     assert bag(got) == by_ranking(rows, fraction, 42)
 
 
-@pytest.mark.parametrize("pieces", [4, 16])
+@pytest.mark.parametrize("pieces", [4, 256])
 def test_equals_ranking_through_several_levels(spark, monkeypatch, pieces):
     monkeypatch.setattr(split, "PIECES", pieces)
-    monkeypatch.setattr(split, "LEVEL_DIGITS", 1)
+    monkeypatch.setattr(split, "LEVEL_BYTES", 1)
     rows = [(i % 700, "x", int(i % 3 == 0)) for i in range(2000)] + [(-1, "hot", 1)] * 1000
     assert bag(split.stratified_split(frame(spark, rows))) == by_ranking(rows, 0.2, 42)
 

@@ -47,13 +47,6 @@ def gold_rows(spark: SparkSession, folder: str) -> DataFrame:
     return features.gold(features.silver(tables.raw_appointments(spark, folder)))
 
 
-def gold_layer(spark: SparkSession, folder: str) -> DataFrame:
-    """Gold written and read back, for what reads it more than once."""
-    return read_layer(
-        spark, write_layer(gold_rows(spark, folder), scratch_path(spark, "gold"))
-    )
-
-
 def scored_fixture(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring rows with the computed score and the serving decision."""
     rows = tables.scored_rows(features.scoring_set(gold_rows(spark, folder)))
@@ -151,14 +144,14 @@ def scoring_set(spark, folder):
 
 @query
 def stratified_split(spark, folder):
-    rows = features.training_set(gold_layer(spark, folder), ["AppointmentID"])
+    rows = features.training_set(gold_rows(spark, folder), ["AppointmentID"])
     return split.stratified_split(rows)
 
 
 @query
 def stratified_split_copies(spark, folder):
     """Few columns, so nearly every row has copies and the cut falls among them."""
-    rows = features.training_set(gold_layer(spark, folder))
+    rows = features.training_set(gold_rows(spark, folder))
     return split.stratified_split(rows.select("Gender", "age_group", "Scholarship", S.LABEL))
 
 
@@ -350,7 +343,7 @@ def stream_consolidated(spark, folder):
 
 
 def candidate_scores(spark, folder, candidate):
-    prepared = training.prepare(gold_layer(spark, folder), keep=S.IDS)
+    prepared = training.prepare(gold_rows(spark, folder), keep=S.IDS)
     classifier = training.fit(prepared, candidate)
     return training.score_all(prepared.test, [candidate], [classifier], keep=S.IDS)
 
@@ -377,7 +370,7 @@ def lr_moments(spark, folder):
     At the optimum they equal the observed ones but for the penalty's share, so plain
     counting can check the whole fit: encoding, weights, objective and probabilities.
     """
-    prepared = training.prepare(gold_layer(spark, folder), keep=["AppointmentID"])
+    prepared = training.prepare(gold_rows(spark, folder), keep=["AppointmentID"])
     model = models.assemble(prepared.encoding, training.fit(prepared, SMALL_LR))
     rows = prepared.rows("train")
     scored = scoring.apply_model(split.with_class_weight(rows, prepared.weights), model)
@@ -461,7 +454,7 @@ def stream_file_sink_checked(spark, folder):
 def grid_leaderboard(spark, folder):
     """A candidate of each family through training, comparison and registration."""
     return training.train_grid(
-        gold_layer(spark, folder),
+        gold_rows(spark, folder),
         scratch_path(spark, "experiment"),
         candidates=[SMALL_LR, SMALL_RF, SMALL_GB],
     )
@@ -470,6 +463,6 @@ def grid_leaderboard(spark, folder):
 @query
 def train_report(spark, folder):
     _, _, report = training.train_one(
-        gold_layer(spark, folder), scratch_path(spark, "model"), SMALL_RF
+        gold_rows(spark, folder), scratch_path(spark, "model"), SMALL_RF
     )
     return report

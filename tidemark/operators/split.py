@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.session import scratch_path
 
 HASH = "_hash"
-HASH_DIGITS = 32
-LEVEL_DIGITS = 4
-PIECES = 16**LEVEL_DIGITS  # counts per class and level, and the most that one task orders
+HASH_BYTES = 16
+LEVEL_BYTES = 2
+PIECES = 256**LEVEL_BYTES  # counts per class and level, and the most that one task orders
 COPIES_PER_CHUNK = 1_000_000
 MAX_CLASSES = 100
 
@@ -20,7 +21,7 @@ MAX_CLASSES = 100
 def row_hash(columns: list[str], seed: int) -> Column:
     """md5 over the row's values and the seed."""
     values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
-    return F.md5(F.concat_ws("\x1f", *values, F.lit(str(seed))))
+    return F.unhex(F.md5(F.concat_ws("\x1f", *values, F.lit(str(seed)))))
 
 
 def per_class(table: DataFrame, label: str) -> dict:
@@ -58,7 +59,7 @@ def test_sizes(class_rows: dict, fraction: float) -> dict:
 def _inside(label: str, prefixes: dict) -> Column:
     """Rows whose hash starts with their class's prefix."""
     tests = [
-        F.col(label).eqNullSafe(F.lit(c)) & F.col(HASH).startswith(prefix)
+        F.col(label).eqNullSafe(F.lit(c)) & F.startswith(F.col(HASH), F.lit(prefix))
         for c, prefix in prefixes.items()
     ]
     return reduce(or_, tests, F.lit(False))
@@ -68,20 +69,20 @@ def cut_points(hashed: DataFrame, label: str, fraction: float) -> dict:
     """Per class: the hash where the test part ends, rows to take of it, rows having it.
 
     No class is sorted as a whole. Counts per hash prefix show which prefix holds the
-    cut; the next pass counts only below that prefix, with more digits, and the last one
+    cut; the next pass counts only below that prefix, with more bytes, and the last one
     whole hashes. Class sizes tell how many passes leave about ``PIECES`` hashes to order.
     Counting folds copies inside each task. The driver sees one row per class and pass.
     """
     counted = per_class(hashed.groupBy(label).agg(F.count("*").alias("n")), label)
     sizes = {c: row["n"] for c, row in counted.items()}
     wanted = {c: n for c, n in test_sizes(sizes, fraction).items() if n > 0}
-    prefixes = dict.fromkeys(wanted, "")
+    prefixes = dict.fromkeys(wanted, b"")
     levels, largest = [], max(sizes.values(), default=0)
-    while largest > PIECES and len(levels) < HASH_DIGITS // LEVEL_DIGITS - 1:
-        levels.append((len(levels) + 1) * LEVEL_DIGITS)
+    while largest > PIECES and len(levels) < HASH_BYTES // LEVEL_BYTES - 1:
+        levels.append((len(levels) + 1) * LEVEL_BYTES)
         largest /= PIECES
     found = {}
-    for digits in [*levels, HASH_DIGITS]:
+    for length in [*levels, HASH_BYTES]:
         running = (
             Window.partitionBy(label)
             .orderBy("piece")
@@ -90,13 +91,13 @@ def cut_points(hashed: DataFrame, label: str, fraction: float) -> dict:
         target = by_class(label, wanted)
         found = per_class(
             hashed.filter(_inside(label, prefixes))
-            .groupBy(label, F.substring(HASH, 1, digits).alias("piece"))
+            .groupBy(label, F.substring(HASH, 1, length).alias("piece"))
             .agg(F.count("*").alias("n"))
             .withColumn("upto", F.sum("n").over(running))
             .filter((F.col("upto") - F.col("n") < target) & (F.col("upto") >= target)),
             label,
         )
-        prefixes = {c: row["piece"] for c, row in found.items()}
+        prefixes = {c: bytes(row["piece"]) for c, row in found.items()}
         wanted = {c: wanted[c] - (row["upto"] - row["n"]) for c, row in found.items()}
     return {c: (prefixes[c], wanted[c], row["n"]) for c, row in found.items()}
 
@@ -111,13 +112,16 @@ def stratified_split(
 
     Within a class the rows with the smallest hashes are the test part, so membership
     depends on values only and survives any repartitioning or recomputation. ``df`` is
-    read by several passes and is best a written table; the result itself is narrow.
+    computed once: its rows and their hashes are written to the shared folder, the passes
+    that find the cut read only label and hash there, and the result is a narrow scan.
 
     Where the cut falls among copies of one row, the copies are counted and dealt out
     anew in chunks, so that a row making up much of the table needs no single task.
     """
     columns = df.columns
-    hashed = df.withColumn(HASH, row_hash(columns, seed))
+    path = scratch_path(df.sparkSession, "hashed")
+    df.withColumn(HASH, row_hash(columns, seed)).write.parquet(path)
+    hashed = df.sparkSession.read.parquet(path)
     cuts = cut_points(hashed.select(label, HASH), label, fraction)
     cut = by_class(label, {c: point[0] for c, point in cuts.items()})
     is_test = F.coalesce(F.col(HASH) <= cut, F.lit(False))

@@ -16,6 +16,16 @@ def batch_predictions(
     return scoring.predict(features.scoring_set(gold_df), model, threshold)
 
 
+def respond(
+    requests: DataFrame,
+    model: PipelineModel,
+    threshold: float = S.SERVING_THRESHOLD,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Requests, batch or stream, to responses; ``keep`` passes request columns through."""
+    return scoring.responses(scoring.apply_model(requests, model), threshold, keep)
+
+
 def run_batch_inference(
     spark: SparkSession,
     gold_path: str,

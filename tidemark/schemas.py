@@ -92,6 +92,11 @@ def event_schema(appointment_id: str = "int", corrupt: bool = False) -> T.Struct
     return _struct(fields + ([(CORRUPT, "string")] if corrupt else []))
 
 
+def request_schema() -> T.StructType:
+    """One scoring request: the features alone, typed."""
+    return _struct([(c, "string" if c in CATEGORICAL else "int") for c in FEATURES])
+
+
 RUNS_SCHEMA = _struct(
     [
         ("experiment", "string"),

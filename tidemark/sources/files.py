@@ -26,5 +26,10 @@ def read_batches(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/*")
 
 
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Scoring requests as JSON lines; one that is damaged or mistyped fails the read."""
+    return spark.read.schema(S.request_schema()).option("mode", "FAILFAST").json(path)
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
