@@ -84,7 +84,7 @@ def main() -> None:
         "grid_scores_and_metrics",
         lambda: consume(
             training.grid_metrics(
-                training.score_all(prepared.test, candidates, list(fitted.values()))
+                training.score_all(prepared.test, candidates, list(fitted.values())), candidates
             )
         ),
     )

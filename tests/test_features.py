@@ -10,7 +10,7 @@ from tidemark.functions import columns as C
 from tidemark.operators import features
 
 FEW = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from rows import edits, event, raw
 
 from tidemark import schemas as S
+from tidemark import session
 from tidemark.operators import features, reports
 from tidemark.plans import layers
 from tidemark.session import build_session, configure, scratch_path, shared_folder
@@ -107,3 +108,40 @@ def test_scratch_paths_are_fresh_and_in_the_shared_folder(spark):
 def test_sessions_pin_the_zone(spark):
     assert configure(spark).conf.get("spark.sql.session.timeZone") == "UTC"
     assert build_session("again") is not None
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, tmp_path, monkeypatch):
+    path = write_layer(edits(spark, {}, {}), str(tmp_path / "layer"))
+    rows = features.silver(read_layer(spark, path))
+    size = session.input_bytes(rows)
+    assert 0 < size < 100_000
+    assert session.input_bytes(edits(spark, {})) < 100_000  # size unknown
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.size_shuffles(rows) == int(before)
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", size // 20)
+        assert session.size_shuffles(rows) >= 20
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())

@@ -125,7 +125,7 @@ def test_regression_equals_newton(spark, prepared):
 def test_every_family_finds_the_planted_signal(prepared, candidate):
     classifier = training.fit(prepared, candidate)
     row = training.grid_metrics(
-        training.score_all(prepared.test, [candidate], [classifier])
+        training.score_all(prepared.test, [candidate], [classifier]), [candidate]
     ).first()
     assert row["rows"] == 1200
     assert row["roc_auc"] > 0.78 and row["accuracy"] > 0.68

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import split
 
 FEW = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 

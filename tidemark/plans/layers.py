@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators import features, reports
+from tidemark.session import size_shuffles
 from tidemark.sinks.files import write_layer
 from tidemark.sources.files import read_csv, read_layer
 
@@ -28,6 +29,7 @@ def run_layers(raw: DataFrame, out: str) -> DataFrame:
     ran twice after a lost executor is still counted once.
     """
     spark = raw.sparkSession
+    size_shuffles(raw)
     paths = {name: f"{out}/{name}" for name in ("bronze", "silver", "gold")}
     bronze_layer(raw, paths["bronze"])
     silver_layer(spark, paths["bronze"], paths["silver"])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.operators import features, metrics, models, ranking, split
 from tidemark.plans import registry
-from tidemark.session import scratch_path, shared_folder
+from tidemark.session import scratch_path, shared_folder, size_shuffles
 from tidemark.sinks.files import save_model, write_leaderboard_csv
 
 
@@ -55,6 +55,7 @@ def prepare(
     Both come from the training part alone, and once for all candidates.
     """
     spark = gold_df.sparkSession
+    size_shuffles(gold_df)
     path = path or scratch_path(spark, "prepared")
     rows = split.stratified_split(
         features.training_set(gold_df, keep), fraction=fraction, seed=seed
@@ -118,8 +119,20 @@ def score_all(
     ).select(*(keep or []), "_s.seq", "_s.run_name", "_s.model_type", "label", "_s.p")
 
 
-def grid_metrics(scored: DataFrame) -> DataFrame:
-    return metrics.run_metrics(scored, ["seq", "run_name", "model_type"])
+def grid_metrics(scored: DataFrame, candidates: list[models.Candidate]) -> DataFrame:
+    """Metrics per candidate.
+
+    Only the position travels with the scores; names join the measured rows, of which
+    there is one per candidate.
+    """
+    names = scored.sparkSession.createDataFrame(
+        [(seq, c.run_name, c.model_type) for seq, c in enumerate(candidates)],
+        "seq int, run_name string, model_type string",
+    )
+    measured = metrics.run_metrics(scored.select("seq", "label", "p"), ["seq"])
+    return measured.join(F.broadcast(names), "seq").select(
+        "seq", "run_name", "model_type", *measured.columns[1:]
+    )
 
 
 def params_text(params: dict) -> dict[str, str | None]:
@@ -154,7 +167,7 @@ def train_grid(
     recorded = spark.createDataFrame(
         records, "seq int, experiment string, run_id string, params map<string,string>, uri string"
     )
-    measured = grid_metrics(score_all(prepared.test, candidates, classifiers))
+    measured = grid_metrics(score_all(prepared.test, candidates, classifiers), candidates)
     # Ids are drawn per call: append first, then rank what was appended.
     registry.append_runs(measured.join(F.broadcast(recorded), "seq"), f"{out}/runs")
     ids = [record[2] for record in records]
@@ -184,7 +197,7 @@ def train_one(
     model = models.assemble(prepared.encoding, classifier)
     save_model(model, model_path)
     scored = score_all(prepared.test, [candidate], [classifier])
-    measured = grid_metrics(scored)
+    measured = grid_metrics(scored, [candidate])
     if runs_path:
         params = {**candidate.params, "features": S.FEATURES}
         record = prepared.spark.createDataFrame(

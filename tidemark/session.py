@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Day differences depend on the session zone, so it is pinned rather than inherited.
 RUNTIME_SETTINGS = {
@@ -14,6 +14,11 @@ RUNTIME_SETTINGS = {
 }
 
 
+SHUFFLE_BYTES = 64 * 1024 * 1024  # input behind one shuffle partition
+UNKNOWN_SIZE = 2**60  # the optimizer's stand-in is the largest long
+MOST_PARTITIONS = 100_000  # beyond this the shuffle's own bookkeeping outweighs the gain
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **settings) -> SparkSession:
     """A session with the runtime settings; the cluster names the master."""
     builder = SparkSession.builder.appName(app)
@@ -31,6 +36,35 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def input_bytes(*frames: DataFrame) -> int:
+    """Size of the files the frames read, as the optimizer knows it; no job is run.
+
+    Inputs of unknown size, such as rows from the driver, count as nothing.
+    """
+    total = 0
+    for frame in frames:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            size = int(str(leaves.apply(i).stats().sizeInBytes()))
+            total += size if size < UNKNOWN_SIZE else 0
+    return total
+
+
+def size_shuffles(*frames: DataFrame) -> int:
+    """Raise the session's shuffle partitions to what the frames' input calls for.
+
+    The default of 200 would put half a terabyte of a 100 TB table into every partition.
+    Adaptive execution merges partitions that turn out small but never splits a plain
+    shuffle's, so the number is raised and never lowered.
+    """
+    spark = frames[0].sparkSession
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = min(input_bytes(*frames) // SHUFFLE_BYTES, MOST_PARTITIONS)
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return max(needed, current)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import features
+from tidemark.session import size_shuffles
 
 ID_TYPE = "bigint"  # order keys of a large table times ten outgrow an int
 
@@ -38,6 +39,7 @@ def raw_appointments(spark: SparkSession, folder: str) -> DataFrame:
     """
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet")
+    size_shuffles(lines, orders)
     mapped = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         *[F.expr(sql).alias(name) for name, sql in MAPPING.items()]
     )
