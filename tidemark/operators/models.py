@@ -101,7 +101,7 @@ def _logistic_regression(params: dict, rows: int) -> Estimator:
         elasticNetParam=0.0,
         standardization=False,
         maxIter=1000,
-        tol=1e-8,
+        tol=1e-7,
         weightCol="class_weight",
     )
 
