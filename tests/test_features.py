@@ -110,6 +110,16 @@ def test_copies_are_whole_rows_with_null_equal_to_null(spark):
     assert features.drop_copies(df).count() == 3
 
 
+def test_copies_fold_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw(spark, *[event()] * 500, event(Age=31)).repartition(4).write.parquet(path)
+    rows = features.drop_copies(spark.read.parquet(path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert plan.count("Exchange") == 1 and "HashAggregate" in below
+    assert rows.count() == 2
+
+
 def test_rows_that_recode_alike_are_not_copies(spark):
     df = raw(spark, event(Gender="M"), event(Gender="X"))
     assert features.silver(df).count() == 2

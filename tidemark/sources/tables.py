@@ -13,38 +13,50 @@ from tidemark.session import size_shuffles
 
 ID_TYPE = "bigint"  # order keys of a large table times ten outgrow an int
 
-MAPPING = {
+FROM_ORDERS = {
     "PatientId": "cast(o_custkey as double)",
+    "ScheduledDay": "cast(o_orderdate as timestamp)",
+    "Neighbourhood": "o_orderpriority",
+    "No-show": "case when o_orderstatus = 'F' then 'Yes' when o_orderstatus = 'O' then 'No' end",
+}
+
+FROM_LINES = {
     "AppointmentID": "l_orderkey * 10 + l_linenumber",
     "Gender": "case when l_linestatus = 'F' then 'F' when l_returnflag <> 'N' then 'M' end",
-    "ScheduledDay": "cast(o_orderdate as timestamp)",
     "AppointmentDay": "cast(l_shipdate as timestamp)",
     "Age": "case when l_quantity < 50 then cast(l_quantity as int) * 2 - 5 end",
-    "Neighbourhood": "o_orderpriority",
     "Scholarship": "case when l_returnflag = 'R' then 1 else 0 end",
     "Hipertension": "case when l_discount >= 0.08D then 1 else 0 end",
     "Diabetes": "case when l_tax >= 0.08D then null when l_tax >= 0.06D then 1 else 0 end",
     "Alcoholism": "case when l_linenumber = 7 then 1 else 0 end",
     "Handcap": "l_linenumber % 5",
     "SMS_received": "case when l_partkey % 3 = 0 then 1 else 0 end",
-    "No-show": "case when o_orderstatus = 'F' then 'Yes' when o_orderstatus = 'O' then 'No' end",
 }
 
 
 def raw_appointments(spark: SparkSession, folder: str) -> DataFrame:
     """Raw rows with timestamps.
 
-    The join strategy is left to the optimizer's size estimates, and a hot order key to
-    its run-time skew split. The copies come out of the same pass, not of a second join.
+    Each side is mapped before the join, once per order and once per line. The join
+    strategy is left to the optimizer's size estimates, and a hot order key to its
+    run-time skew split. The copies come out of the same pass, not of a second join.
     """
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     size_shuffles(lines, orders)
-    mapped = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        *[F.expr(sql).alias(name) for name, sql in MAPPING.items()]
+
+    def mapped(df, key, expressions):
+        return df.select(
+            F.col(key).alias("_order"), *[F.expr(sql).alias(n) for n, sql in expressions.items()]
+        )
+
+    rows = (
+        mapped(lines, "l_orderkey", FROM_LINES)
+        .join(mapped(orders, "o_orderkey", FROM_ORDERS), "_order")
+        .select(*[name for name, _ in S.RAW_FIELDS])
     )
     times = F.when(F.col("AppointmentID") % 50 == 1, 2).otherwise(1)
-    return mapped.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
 
 
 def as_events(raw: DataFrame) -> DataFrame:
