@@ -4,15 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, simhash
+from tidemark.llm import decontaminate, exact_dedup, langid, packing, simhash
 from tidemark.llm.common import read, staged
 from tidemark.session import configure
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", langid.stage),
     ("exact_dedup", exact_dedup.stage),
     ("simhash", simhash.stage),
+    ("decontamination", decontaminate.stage),
+    ("packing", packing.stage),
 ]
 
 ORACLE_SQL = None  # a fitted classifier and a tokenizer's ids are beyond SQL

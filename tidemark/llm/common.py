@@ -1,11 +1,15 @@
 """What the corpus operators share: reading, staging, fixed hash splits, Arrow maps."""
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
+from tempfile import mkdtemp
+from zipfile import ZipFile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidemark
 from tidemark.session import scratch_path
 
 # --- Fixed values: white space of the word contracts, as bytes.split() and as a pattern ---
@@ -24,7 +28,7 @@ ARROW = {
     "array<double>": pa.list_(pa.float64()),
 }
 
-BATCH_ROWS = 1000  # rows that a Python task gets at once
+BATCH_ROWS = 500  # rows that a Python task gets at once
 
 
 def read(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
@@ -48,10 +52,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once, unless they have it already."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    root = Path(tidemark.__file__).parent
+    archive = Path(mkdtemp(prefix="tidemark-code-")) / "tidemark.zip"  # Spark serves it from here
+    with ZipFile(archive, "w") as out:
+        for path in root.rglob("*.py"):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._tidemark_shipped = True
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` with small batches; ``function`` yields columns by name."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     arrow = pa.schema([(n, ARROW[kind]) for n, kind in (c.split() for c in schema.split(", "))])
 
@@ -62,3 +81,15 @@ def map_batches(
             )
 
     return df.mapInArrow(run, schema)
+
+
+def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """Whole rows for which ``keep`` says so, batch by batch."""
+    ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, simhash
+from tidemark.llm import decontaminate, exact_dedup, langid, packing, simhash
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language_id(spark, folder):
+    return langid.identify(read(spark, folder))
+
+
 @query
 def op2_exact_dedup(spark, folder):
     return exact_dedup.exact_dedup(read(spark, folder))
@@ -37,6 +42,16 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+@query
+def op4_decontamination(spark, folder):
+    return decontaminate.contaminated(read(spark, folder), read(spark, folder, "benchmark"))
+
+
+@query
+def op9_packing(spark, folder):
+    return packing.pack(read(spark, folder))
+
+
 @query
 def op10_simhash(spark, folder):
     return simhash.simhash_groups(read(spark, folder))
