@@ -5,6 +5,7 @@ from pathlib import Path
 from tempfile import mkdtemp
 from zipfile import ZipFile
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,18 @@ def ship(spark: SparkSession) -> None:
     context._tidemark_shipped = True
 
 
+def _array(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, type=kind)
+
+
+def lists(values, sizes) -> pa.Array:
+    """Consecutive runs of ``values`` as lists."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
@@ -77,7 +90,7 @@ def map_batches(
     def run(batches):
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
+                [_array(columns[f.name], f.type) for f in arrow], schema=arrow
             )
 
     return df.mapInArrow(run, schema)

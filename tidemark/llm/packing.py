@@ -17,7 +17,7 @@ K1, B = 1.2, 0.75
 
 VOCABULARY = "word_bpe_49k.json"
 SHARD_DOCS = 512  # documents of one inverted index
-MOST_WORDS = 400_000  # words whose ids a worker remembers
+MOST_WORDS = 1_000_000  # words whose ids a worker remembers
 
 _TOKENIZERS: dict[str, "WordIds"] = {}
 
@@ -54,7 +54,7 @@ class WordIds:
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         missing = list({w for words in split for w in words}.difference(self.known))
-        encoded = self.tokenizer.encode_batch(
+        encoded = self.tokenizer.encode_batch_fast(
             [w.decode("utf-8", "replace") for w in missing], add_special_tokens=False
         )
         self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(missing, encoded))
