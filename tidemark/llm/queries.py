@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, langid, packing, simhash, substring_dedup
+from tidemark.llm import decontaminate, exact_dedup, langid, packing, simhash, substring_dedup, toxicity
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -47,6 +47,11 @@ def op4_decontamination(spark, folder):
     return decontaminate.contaminated(read(spark, folder), read(spark, folder, "benchmark"))
 
 
+@query
+def op6_toxicity(spark, folder):
+    return toxicity.toxicity(read(spark, folder), read(spark, folder, "labels"))
+
+
 @query
 def op7_substring_dedup(spark, folder):
     return substring_dedup.remove_repeats(read(spark, folder))
