@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, langid, packing, simhash, substring_dedup, toxicity
+from tidemark.llm import decontaminate, exact_dedup, langid, lm, packing, simhash, substring_dedup, toxicity
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -57,6 +57,11 @@ def op7_substring_dedup(spark, folder):
     return substring_dedup.remove_repeats(read(spark, folder))
 
 
+@query
+def op8_lm_score(spark, folder):
+    return lm.lm_scores(read(spark, folder))
+
+
 @query
 def op9_packing(spark, folder):
     return packing.pack(read(spark, folder))
