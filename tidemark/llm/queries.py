@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, langid, lm, packing, simhash, substring_dedup, toxicity
+from tidemark.llm import decontaminate, exact_dedup, langid, licenses, lm, packing, simhash, substring_dedup, toxicity
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -42,6 +42,14 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+@query
+def op3_license_scan(spark, folder):
+    return licenses.scan(read(spark, folder))
+
+
+ORACLES["op3_license_scan"] = licenses.oracle()
+
+
 @query
 def op4_decontamination(spark, folder):
     return decontaminate.contaminated(read(spark, folder), read(spark, folder, "benchmark"))
