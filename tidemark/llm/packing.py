@@ -1,6 +1,7 @@
 """Packing token sequences: documents beside their nearest unused neighbours by BM25."""
 
 import zlib
+from string import ascii_lowercase, digits, punctuation
 
 import numpy as np
 from pyspark import TaskContext
@@ -17,7 +18,10 @@ K1, B = 1.2, 0.75
 
 VOCABULARY = "word_bpe_49k.json"
 SHARD_DOCS = 512  # documents of one inverted index
-MOST_WORDS = 1_000_000  # words whose ids a worker remembers
+MOST_WORDS = 800_000  # words whose ids a worker remembers
+
+PUNCTUATION = punctuation.encode()
+ALPHANUMERIC = (ascii_lowercase + digits).encode()
 
 _TOKENIZERS: dict[str, "WordIds"] = {}
 
@@ -33,7 +37,9 @@ class WordIds:
     """Ids of whole texts, one white-space-free word at a time.
 
     The vocabulary's rules never join characters across white space, so a text's ids are its
-    words' ids in a row; each distinct word is encoded once and remembered.
+    words' ids in a row; each distinct word is encoded once and remembered. They don't tell
+    A-Z from a-z either, and always part a letter or digit from a run of punctuation, so a
+    word's stem and its ending are encoded, and remembered, apart.
     """
 
     def __init__(self, path: str):
@@ -42,6 +48,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
 
     @classmethod
     def at(cls, path: str) -> "WordIds":
@@ -49,15 +56,32 @@ class WordIds:
             _TOKENIZERS[path] = cls(path)
         return _TOKENIZERS[path]
 
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
-        split = [t.encode("utf-8", "surrogatepass").split() for t in batch]
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        missing = list({w for words in split for w in words}.difference(self.known))
+    def _learn(self, words) -> None:
+        """Remember the ids of new words."""
+        cut = []
+        for word in words:
+            if b"<|" in word:  # may hold a special token, which is matched as it is written
+                cut.append((word, word, b""))
+                continue
+            low = word.lower()
+            stem = low.rstrip(PUNCTUATION)
+            whole = not stem or stem[-1:] not in ALPHANUMERIC
+            cut.append((word, low, b"") if whole else (word, stem, low[len(stem) :]))
+        new = list({p for _, *parts in cut for p in parts}.difference(self.parts))
         encoded = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in missing], add_special_tokens=False
+            [p.decode("utf-8", "replace") for p in new], add_special_tokens=False
         )
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(missing, encoded))
+        parts = self.parts
+        parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, encoded))
+        self.known.update((word, parts[stem] + parts[ending]) for word, stem, ending in cut)
+
+    def encode(self, batch: list[str]) -> list[np.ndarray]:
+        split = [t.encode("utf-8", "surrogatepass").split() for t in batch]
+        for memory in (self.known, self.parts):
+            if len(memory) > MOST_WORDS:
+                memory.clear()
+        self.parts[b""] = b""
+        self._learn(set().union(*split).difference(self.known))
         end = np.array([END], "<u4").tobytes()
         known = self.known
         return [
