@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, langid, licenses, lm, packing, simhash, substring_dedup, toxicity
+from tidemark.llm import decontaminate, exact_dedup, langid, licenses, lm, packing, pii, simhash, substring_dedup, toxicity
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -55,6 +55,14 @@ def op4_decontamination(spark, folder):
     return decontaminate.contaminated(read(spark, folder), read(spark, folder, "benchmark"))
 
 
+@query
+def op5_pii(spark, folder):
+    return pii.personal_data(read(spark, folder))
+
+
+ORACLES["op5_pii"] = pii.oracle()
+
+
 @query
 def op6_toxicity(spark, folder):
     return toxicity.toxicity(read(spark, folder), read(spark, folder, "labels"))
