@@ -1,0 +1,189 @@
+"""Fitted operators: held-out accuracy, exact parts against plain versions."""
+
+import math
+from collections import Counter
+
+import numpy as np
+
+from llm.corpus import awkward, held, prose, table
+from tidemark.llm import langid, lm, toxicity
+from tidemark.llm.common import read
+
+
+def test_languages(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = read(spark, folder)
+    known = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    rows = langid.identify(docs).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(known)
+    for r in rows:
+        assert r["held_out"] == held(r["doc_id"], 4, 2) and 0 <= r["score"] <= 1
+    unseen = [r for r in rows if r["held_out"]]
+    assert np.mean([r["lang_pred"] == known[r["doc_id"]] for r in unseen]) > 0.98
+
+
+def test_languages_of_awkward_rows(spark):
+    rows = [(i, t, "xx" if i and i % 2 else "yy") for i, t in awkward()] + [(50, "123 --- ", "xx"), (51, "abc", None)]
+    got = langid.identify(table(spark, rows, extra=True)).collect()
+    assert len(got) == len(rows)
+    by_id = {r["doc_id"]: r for r in got}
+    for i in (1, 2, 3, 50):
+        assert (by_id[i]["lang_pred"], by_id[i]["score"]) == ("und", 0.0)
+    assert by_id[51]["lang_pred"] in ("xx", "yy")
+    none = langid.identify(table(spark, [(1, "abc", None)])).first()
+    assert (none["lang_pred"], none["score"]) == ("und", 0.0)
+    assert langid.identify(table(spark, [])).collect() == []
+
+
+def test_regularised_leader_is_sparse_and_separates():
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(400):
+        k = int(rng.integers(2))
+        at = np.unique(np.concatenate([rng.integers(0, 50, 5), rng.integers(100 + 50 * k, 150 + 50 * k, 5)]))
+        rows.append((at, np.full(len(at), 1 / math.sqrt(len(at))), k))
+    w = langid.ftrl(rows, 2)
+    assert np.mean([int((x @ w[at]).argmax()) == k for at, x, k in rows]) > 0.97
+    assert (w != 0).sum() < 500
+
+
+def test_toxicity(spark):
+    words = ["blarg", "zonkface", "grumpus"]
+    common = prose(0, 150).split()
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        text = rng.choice(common, 60).tolist()
+        if toxic:
+            for k in range(3):
+                text[7 + 11 * k] = words[(i + k) % 3]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    labels += [(0, 1), (3, None), (None, 1)]
+    docs = table(spark, rows + [(1000, None), (1001, ""), (None, "x")], extra=True)
+    frame = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, frame).collect()}
+    assert len(got) == 603
+    for r in got.values():
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+        assert r["held_out"] == held(r["doc_id"], 4, 2)
+    assert got[1000]["score"] == got[1001]["score"]
+    unseen = [(got[i]["predicted"], int(i % 3 == 0)) for i in range(600) if got[i]["held_out"]]
+    assert np.mean([a == b for a, b in unseen]) > 0.93
+
+
+def test_toxicity_without_two_classes(spark):
+    docs = table(spark, [(1, "a b"), (2, None)])
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert {r["score"] for r in toxicity.toxicity(docs, none).collect()} == {0.0}
+    one = spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int")
+    assert {r["score"] for r in toxicity.toxicity(docs, one).collect()} <= {0.0, 1.0}
+    assert toxicity.toxicity(table(spark, []), none).collect() == []
+
+
+def plain_base_scores(rows):
+    words = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    c = Counter()
+    for i, w in words:
+        if not held(i, 10, 0):
+            c.update(w + [None])
+    n, v = sum(c.values()), len(c)
+    return {
+        i: (
+            len(w) + 1,
+            sum(c[x] > 0 for x in w + [None]),
+            n,
+            sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w + [None]),
+        )
+        for i, w in words
+    }
+
+
+def test_base_scores(spark, monkeypatch):
+    """Also with so few broadcast counts that most words go through the join."""
+    monkeypatch.setattr(lm, "FREQUENT", 20)
+    rows = [(i, t) for i, t in awkward() if i and i != 12] + [(100 + i, prose(i % 7, 50)) for i in range(60)]
+    want = plain_base_scores(rows)
+    got = lm.lm_scores(table(spark, rows, extra=True)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n_tokens, n_known, n, base = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n_tokens, n_known, n)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9)
+        assert r["held_out"] == held(r["doc_id"], 10, 0) and r["score"] < 0
+
+
+def test_scores_without_training_rows(spark):
+    ids = [i for i in range(200) if held(i, 10, 0)][:3]
+    got = lm.lm_scores(table(spark, [(i, "a b") for i in ids])).collect()
+    assert all((r["train_tokens"], r["n_known"], r["base_score"]) == (0, 0, 0.0) for r in got)
+    assert lm.lm_scores(table(spark, [])).collect() == []
+
+
+def plain_sequence(net, ids):
+    h = np.zeros(lm.HIDDEN)
+    x, total = lm.END, 0.0
+    for y in ids:
+        g, u, H = net.inputs[x].astype(float), h @ net.state.astype(float), lm.HIDDEN
+        s = lambda a: 1 / (1 + np.exp(-a))
+        r, z = s(g[:H] + u[:H]), s(g[H : 2 * H] + u[H : 2 * H])
+        n = np.tanh(g[2 * H :] + r * u[2 * H :])
+        h = (1 - z) * n + z * h
+        k, w = divmod(int(y), lm.PER_CLASS)
+        a = h @ net.groups + net.group_bias
+        b = h @ net.words[k] + net.word_bias[k]
+        total += a[k] - np.log(np.exp(a).sum()) + b[w] - np.log(np.exp(b).sum())
+        x = y
+    return total
+
+
+def test_side_by_side_scores_equal_one_by_one():
+    rng = np.random.default_rng(2)
+    net = lm.Network(rng.normal(0, 0.3, lm.Network.SIZE).astype(np.float32))
+    sequences = [rng.integers(0, lm.MODEL_WORDS, n).astype(np.uint16) for n in (1, 3, 70, 64, 65, 200, 3)]
+    got = lm.sequence_scores(net, sequences)
+    for score, ids in zip(got, sequences):
+        assert math.isclose(score, plain_sequence(net, ids), rel_tol=1e-4)
+
+
+def test_outcomes_add_up_to_one():
+    rng = np.random.default_rng(3)
+    net = lm.Network(rng.normal(0, 0.3, lm.Network.SIZE).astype(np.float32))
+    h = rng.normal(size=(1, lm.HIDDEN)).astype(np.float32).repeat(lm.MODEL_WORDS, 0)
+    assert math.isclose(np.exp(net.outputs(h, np.arange(lm.MODEL_WORDS))).sum(), 1, rel_tol=1e-4)
+
+
+def test_gradient_by_differences():
+    rng = np.random.default_rng(4)
+    flat = rng.normal(0, 0.3, lm.Network.SIZE)
+    x, y = rng.integers(0, lm.MODEL_WORDS, (2, 3, 5))
+
+    def loss(flat):
+        net, h, total = lm.Network(flat), np.zeros((3, lm.HIDDEN)), 0.0
+        for t in range(5):
+            h, _ = net.step(x[:, t], h)
+            total -= net.outputs(h, y[:, t]).sum()
+        return total / y.size
+
+    learner = lm.Learner(flat)
+    learner.window(x, y, np.zeros((3, lm.HIDDEN)))
+    g = learner.m / 0.1  # the first moment after one step is a tenth of the clipped gradient
+    checked = np.flatnonzero(np.abs(g) > 1e-3)[:: max(1, (np.abs(g) > 1e-3).sum() // 25)]
+    numeric = []
+    for i in checked:
+        up, down = flat.copy(), flat.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        numeric.append((loss(up) - loss(down)) / 2e-5)
+    ratio = np.array(numeric) / g[checked]
+    assert np.allclose(ratio, ratio[0], rtol=2e-2) and ratio[0] > 0.99
+
+
+def test_learning_lowers_the_loss():
+    ids = np.tile(np.arange(2, 12), (8, 6))
+    learner = lm.Learner(lm.Network.initial(np.ones(lm.MODEL_WORDS)).flat)
+    before = lm.sequence_scores(learner.net, list(ids.astype(np.uint16))).sum()
+    for _ in range(60):
+        learner.learn(ids)
+    assert lm.sequence_scores(learner.net, list(ids.astype(np.uint16))).sum() > before / 2
