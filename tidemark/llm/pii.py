@@ -25,7 +25,7 @@ CARD_RUN = rf"(?<![0-9{JOINT}])[0-9][0-9{JOINT}]{{12,}}"
 TERM = "[A-Za-zÀ-ÖØ-öø-ÿ]{4,}"  # words that may give an entity away
 NOT_TERM = "[^a-zß-öø-ÿ]+"
 CONTEXT = 60  # characters on either side of a span
-LEAST_SUPPORT = 3  # documents in which a term stands near an entity
+LEAST_SUPPORT = 2  # documents in which a term stands near an entity
 DISCLOSURE = 0.9  # share of an entity's information that a term may not reach
 
 

@@ -86,8 +86,8 @@ class Distances:
 def dictionaries(sample: DataFrame, rows: dict[int, int]) -> tuple[bytes, bytes]:
     """Toxic and ordinary content, of equal size.
 
-    Both end with the same frequent words, so ordinary text compresses alike; before them
-    stands what is typical of one class, by the log odds of a text to hold it.
+    Both end with the same frequent words that are typical of neither, so most text compresses
+    alike; before them stands what is typical of one class, by the log odds of a text to hold it.
     """
 
     def run(batches):
@@ -103,18 +103,21 @@ def dictionaries(sample: DataFrame, rows: dict[int, int]) -> tuple[bytes, bytes]
         .groupBy("piece")
         .agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
     )
-    common = counted.orderBy(F.desc(F.col("t") + F.col("o")), "piece").limit(COMMON_WORDS).collect()
-    shared = b"".join(bytes(r["piece"]) for r in reversed(common))[-COMMON_BYTES:]
-    odds = lambda a, b: F.log((F.col(a) + 0.5) / (rows[a == "t"] + 1)) - F.log(
-        (F.col(b) + 0.5) / (rows[b == "t"] + 1)
+    odds = F.log((F.col("t") + 0.5) / (rows[1] + 1)) - F.log((F.col("o") + 0.5) / (rows[0] + 1))
+    counted = staged(counted.withColumn("odds", odds), "pieces")
+    common = (
+        counted.filter((F.col("odds") < LEAST_ODDS[1]) & (F.col("odds") > -LEAST_ODDS[0]))
+        .orderBy(F.desc(F.col("t") + F.col("o")), "piece")
+        .limit(COMMON_WORDS)
+        .collect()
     )
+    shared = b"".join(bytes(r["piece"]) for r in reversed(common))[-COMMON_BYTES:]
     own = []
-    for label, (a, b) in ((1, ("t", "o")), (0, ("o", "t"))):
+    for label, texts, own_odds in ((1, "t", F.col("odds")), (0, "o", -F.col("odds"))):
         typical = (
-            counted.filter(F.col(a) >= max(LEAST_TEXTS, LEAST_SHARE * rows[label]))
-            .withColumn("odds", odds(a, b))
-            .filter(F.col("odds") >= LEAST_ODDS[label])
-            .orderBy(F.desc("odds"), "piece")
+            counted.filter(F.col(texts) >= max(LEAST_TEXTS, LEAST_SHARE * rows[label]))
+            .filter(own_odds >= LEAST_ODDS[label])
+            .orderBy(own_odds.desc(), "piece")
             .limit(OWN_BYTES)
             .collect()
         )
