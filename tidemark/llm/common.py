@@ -49,7 +49,7 @@ def remainder(modulus: int) -> Column:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -93,7 +93,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     """Rows with a key of their own, the compressed text and the anchored runs."""
 
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=6)
         for batch in batches:
             body = batch.column(2).to_pylist()
             runs, at, n, left, g = anchors([split(t) for t in body])
