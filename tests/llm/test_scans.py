@@ -149,7 +149,7 @@ def test_words_that_disclose_an_entity(spark):
     assert all(rows[i]["spans"] == "" for i, _ in filler)
     clean = {r["doc_id"]: r["text"] for r in pii.redacted(table(spark, filler + told)).collect()}
     assert "Zanzibar" not in clean[900] and "[EMAIL]" in clean[900] and "zed@" not in clean[900]
-    assert "common words about" in clean[900] and clean[5] == filler[5][1]
+    assert clean[900].startswith("common words ") and clean[5] == filler[5][1]
 
 
 def test_personal_data_in_nothing(spark):
