@@ -10,10 +10,10 @@ from tidemark.llm.common import filter_batches, map_batches, read, texts
 
 SIMILARITY = 0.8  # 1 - edits / characters of the item
 STEPS = 96  # of a walk; it reads about half as many characters
-WALKS = 2  # independent embeddings
-BANDS = 6  # samples of each embedding
+WALKS = 3  # independent embeddings
+BANDS = 10  # samples of each embedding
 SAMPLED = 12  # embedded characters in a sample
-STRIDE = 4  # words between the windows of a document; items have a window at every word
+STRIDE = 2  # words between the windows of a document; items have a window at every word
 BLOCK_CHARS = 1 << 25  # characters of benchmark that one pass over the documents looks for
 CHUNK = 1 << 15  # windows that are walked together
 SEED = 20
