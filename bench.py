@@ -8,6 +8,7 @@ does not own (raw files, a trained model) is outside its time.
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -53,6 +54,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

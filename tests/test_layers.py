@@ -110,20 +110,51 @@ def test_sessions_pin_the_zone(spark):
     assert build_session("again") is not None
 
 
-def test_shuffles_grow_with_the_input_and_never_shrink(spark, tmp_path, monkeypatch):
-    path = write_layer(edits(spark, {}, {}), str(tmp_path / "layer"))
-    rows = features.silver(read_layer(spark, path))
-    size = session.input_bytes(rows)
-    assert 0 < size < 100_000
-    assert session.input_bytes(edits(spark, {})) < 100_000  # size unknown
+def test_shuffles_are_sized_once_by_the_input(spark):
+    assert session.shuffle_partitions(0) == 200
+    assert session.shuffle_partitions(100 * 10**12) == -(-100 * 10**12 // session.SHUFFLE_BYTES)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert session.size_shuffles(rows) == int(before)
-        monkeypatch.setattr(session, "SHUFFLE_BYTES", size // 20)
-        assert session.size_shuffles(rows) >= 20
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 20
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    queries = __import__("__spark_entry__").queries()
+    queries["gold"](spark, "/root/testdata/sf0.001").count()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_csv_columns_go_by_name(spark, tmp_path, seed):
+    import random
+
+    order = list(S.raw_schema().names)
+    random.Random(seed).shuffle(order)
+    values = {n: str(i) for i, n in enumerate(S.raw_schema().names)}
+    values |= {"ScheduledDay": "2024-01-01T00:00:00Z", "AppointmentDay": "2024-01-02T00:00:00Z"}
+    path = tmp_path / "in.csv"
+    path.write_text(",".join(order) + "\n" + ",".join(values[n] for n in order) + "\n")
+    row = read_csv(spark, str(path)).first()
+    assert list(row.asDict()) == S.raw_schema().names
+    assert (row["Hipertension"], row["Alcoholism"], row["Age"]) == (8, 10, 5)
+
+
+def test_csv_with_a_missing_or_unknown_column_is_refused(spark, tmp_path):
+    names = S.raw_schema().names
+    (tmp_path / "missing.csv").write_text(",".join(names[1:]) + "\n")
+    (tmp_path / "unknown.csv").write_text(",".join([*names, "Extra"]) + "\n")
+    for name in ("missing", "unknown"):
+        with pytest.raises(ValueError, match=name):
+            read_csv(spark, str(tmp_path / f"{name}.csv"))
+
+
+def test_bad_csv_rows_can_be_put_aside(spark, tmp_path):
+
+    names = S.raw_schema().names
+    good = {n: "1" for n in names} | {
+        "ScheduledDay": "2024-01-01T00:00:00Z", "AppointmentDay": "2024-01-02T00:00:00Z"
+    }
+    lines = [",".join(names), ",".join(good.values()), ",".join((good | {"Age": "old"}).values())]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    layers.run_etl(spark, str(tmp_path / "in.csv"), out, quarantine=bad).collect()
+    assert read_layer(spark, f"{out}/bronze").count() == 1
+    assert "old" in read_layer(spark, bad).first()[S.CORRUPT]
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):

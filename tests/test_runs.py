@@ -2,6 +2,7 @@ import csv
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import models, ranking
@@ -94,7 +95,7 @@ def test_grid_end_to_end(spark, tmp_path):
     assert registry.latest_uri(spark, f"{out}/registry") == best["uri"]
     assert {r["run_name"]: r["params"] for r in board}["rf"] == {
         "n_estimators": "3",
-        "max_depth": None,
+        "max_depth": "30",
     }
     (file,) = glob.glob(f"{out}/leaderboard/*.csv")
     with open(file) as f:
@@ -114,3 +115,31 @@ def test_grid_end_to_end(spark, tmp_path):
     training.train_grid(gold, out, SMALL[:1], select=False)
     assert registry.read_runs(spark, f"{out}/runs").count() == 4
     assert registry.read_registry(spark, f"{out}/registry").count() == 1
+
+
+def test_a_grid_without_the_metric_says_so(spark, tmp_path):
+    """One positive row: the test part has one class, so no run has an AUC."""
+    gold_path = str(tmp_path / "gold")
+    rows = planted(spark, 100).withColumn("no_show", (F.col("AppointmentID") == 1).cast("int"))
+    rows.write.parquet(gold_path)
+    with pytest.raises(ValueError, match="roc_auc"):
+        training.train_grid(spark.read.parquet(gold_path), str(tmp_path / "out"), SMALL[:1])
+
+
+def test_a_hot_profile_is_in_both_parts(spark):
+    """Half of a class has the same features: a fifth of its rows are test rows."""
+    gold = planted(spark, 4000)
+    hot = F.col("AppointmentID") % 2 == 0
+    same = {c: F.when(hot, F.lit(1)).otherwise(F.col(c)) for c in S.NUMERIC}
+    same |= {"Gender": F.when(hot, "Male").otherwise(F.col("Gender"))}
+    same |= {"age_group": F.when(hot, "child").otherwise(F.col("age_group"))}
+    same |= {"no_show": F.when(hot, 1).otherwise(F.col("no_show"))}
+    prepared = training.prepare(gold.withColumns(same), keep=S.IDS)
+    parts = [prepared.rows(part).filter(hot).count() for part in ("train", "test")]
+    assert 0.16 < parts[1] / sum(parts) < 0.24
+
+
+def test_fitting_may_be_bounded(spark):
+    prepared = training.prepare(planted(spark, 4000), fit_rows=500)
+    assert 400 < prepared.train.count() < 600
+    assert training.prepare(planted(spark, 400)).train.count() == 320

@@ -175,6 +175,7 @@ split_rows AS (
 
 SPLIT_FEATURES = f"AppointmentID, {FEATURES}, no_show"
 SPLIT = _split(SPLIT_FEATURES)
+SPLIT_TRAINING = _split(f"PatientId, AppointmentID, {FEATURES}, no_show")
 SPLIT_FEW = "Gender, age_group, Scholarship, no_show"
 
 _CELLS = """cells AS (
@@ -242,6 +243,7 @@ def _moments() -> str:
 ORACLES = {
     "bronze_roundtrip": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
     "csv_scan": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
+    "csv_scan_reordered": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
     "deduplicated": f"WITH {RAW} {RAW_AS_TEXT} FROM (SELECT DISTINCT * FROM raw)",
     "silver": f"WITH {SILVER} {RAW_AS_TEXT} FROM silver",
     "gold": f"WITH {GOLD} SELECT * FROM gold",
@@ -322,8 +324,43 @@ ORACLES = {
         predictions AS (SELECT *, CASE WHEN no_show_probability >= CAST(0.3 AS DOUBLE) THEN 1
           ELSE 0 END AS predicted_no_show FROM scored)
         {LABELLED} FROM predictions""",
-    "lr_moments": f"""WITH {SPLIT},
+    "training_split": f"""WITH {SPLIT_TRAINING},
+        profiles AS (SELECT no_show, {FEATURES}, count(*) AS n FROM split_rows GROUP BY ALL),
+        top AS (SELECT * FROM profiles ORDER BY n DESC, no_show, {FEATURES} LIMIT 1)
+        SELECT no_show, split, count(*) AS "rows",
+          CAST(sum(CASE WHEN (no_show, {FEATURES}) IN (SELECT (no_show, {FEATURES}) FROM top)
+            THEN 1 ELSE 0 END) AS BIGINT) AS top_profile_rows
+        FROM split_rows GROUP BY no_show, split""",
+    "lr_moments": f"""WITH {SPLIT_TRAINING},
         train AS (SELECT * FROM split_rows WHERE split = 'train') {_moments()}""",
+    "rf_scores_checked": f"""WITH {SPLIT_TRAINING}
+        SELECT PatientId, AppointmentID, 'rf_20_depth_5' AS run_name, no_show AS label,
+          1 AS is_probability FROM split_rows WHERE split = 'test'""",
+    "gbt_scores_checked": f"""WITH {SPLIT_TRAINING}
+        SELECT PatientId, AppointmentID, 'gb_10_lr_0_1_depth_3' AS run_name, no_show AS label,
+          1 AS is_probability FROM split_rows WHERE split = 'test'""",
+    "grid_records": """SELECT *, 1 AS accuracy_holds, 1 AS roc_auc_holds, 1 AS precision_holds,
+          1 AS recall_holds, 1 AS f1_score_holds, 1 AS listed, 1 AS best_holds
+        FROM (VALUES (0, 'lr_c_1', 'logistic_regression', 'C=1'),
+          (1, 'rf_20_depth_5', 'random_forest', 'max_depth=5;n_estimators=20'),
+          (2, 'gb_10_lr_0_1_depth_3', 'gradient_boosting',
+            'learning_rate=0.1;max_depth=3;n_estimators=10'))
+        AS grid(seq, run_name, model_type, params)""",
+    "train_report_checked": f"""WITH {SPLIT_TRAINING},
+        test AS (SELECT count(*) AS n, count(*) FILTER (no_show = 1) AS pos
+          FROM split_rows WHERE split = 'test')
+        SELECT position, "row", CASE "row" WHEN '0' THEN n - pos WHEN '1' THEN pos ELSE n END
+          AS support, 1 AS holds
+        FROM test, (VALUES (0, '0'), (1, '1'), (2, 'accuracy'), (3, 'macro avg'),
+          (4, 'weighted avg')) AS lines(position, "row")""",
+    "request_responses_checked": f"""WITH {SCORING}
+        SELECT {FEATURES}, CAST(0.3 AS DOUBLE) AS threshold, 1 AS holds, count(*) AS requests
+        FROM scoring GROUP BY ALL""",
+    "stream_restarted": f"""WITH {STREAMED},
+        scored AS (SELECT *, {SCORE} AS no_show_probability FROM streamed),
+        predictions AS (SELECT *, CASE WHEN no_show_probability >= CAST(0.3 AS DOUBLE) THEN 1
+          ELSE 0 END AS predicted_no_show FROM scored)
+        {LABELLED} FROM predictions""",
     "batch_inference_checked": f"WITH {SCORING} SELECT *, {HOLDS} FROM scoring",
     "stream_inference_checked": f"WITH {STREAMED} SELECT *, {HOLDS} FROM streamed",
     "stream_file_sink_checked": f"WITH {STREAMED} SELECT *, {HOLDS} FROM streamed",

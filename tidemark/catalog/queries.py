@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -12,7 +12,7 @@ from tidemark.plans import inference, layers, registry, training
 from tidemark.session import configure, scratch_path
 from tidemark.sinks.files import save_model, write_layer
 from tidemark.sources import tables
-from tidemark.sources.files import load_model, read_csv, read_layer
+from tidemark.sources.files import load_model, read_csv, read_layer, read_requests
 from tidemark.streaming import events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,15 +62,16 @@ def runs_fixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_files(spark: SparkSession, folder: str) -> str:
-    """The raw rows as JSON event files."""
+    """The raw rows as six JSON event files."""
     path = scratch_path(spark, "events")
-    tables.as_events(tables.raw_appointments(spark, folder)).write.json(path)
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    rows.repartition(6, "AppointmentID").write.json(path)
     return path
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = S.event_schema(tables.ID_TYPE, corrupt=True)
-    return events.read_events(spark, event_files(spark, folder), schema=schema)
+    return events.read_events(spark, event_files(spark, folder), max_files=2, schema=schema)
 
 
 # --- layers ---
@@ -92,6 +93,18 @@ def csv_scan(spark, folder):
     return days_as_text(rows).withColumnRenamed("No-show", "no_show_text")
 
 
+@query
+def csv_scan_reordered(spark, folder):
+    """The same rows from a file whose columns stand in another order."""
+    path = scratch_path(spark, "csv")
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    rows.select(*[F.col(f"`{c}`") for c in sorted(rows.columns)]).write.option("header", True).csv(
+        path
+    )
+    read = read_csv(spark, path, S.raw_schema(tables.ID_TYPE))
+    return days_as_text(read).withColumnRenamed("No-show", "no_show_text")
+
+
 @query
 def silver(spark, folder):
     return days_as_text(features.silver(tables.raw_appointments(spark, folder)))
@@ -155,6 +168,24 @@ def stratified_split_copies(spark, folder):
     return split.stratified_split(rows.select("Gender", "age_group", "Scholarship", S.LABEL))
 
 
+@query
+def training_split(spark, folder):
+    """What training splits: rows of each class and part, and those of the commonest profile."""
+    rows = training.prepare(gold_rows(spark, folder)).split_rows
+    profiles = rows.groupBy(S.LABEL, "split", *S.FEATURES).agg(F.count("*").alias("n"))
+    every = rows.groupBy(S.LABEL, *S.FEATURES).agg(F.count("*").alias("n"))
+    top = every.orderBy(F.desc("n"), S.LABEL, *S.FEATURES).limit(1).drop("n")
+    of_top = profiles.join(
+        F.broadcast(top.select(S.LABEL, *S.FEATURES, F.lit(True).alias("top"))),
+        [S.LABEL, *S.FEATURES],
+        "left",
+    )
+    return of_top.groupBy(S.LABEL, "split").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("top"), F.col("n"))), F.lit(0)).alias("top_profile_rows"),
+    )
+
+
 @query
 def class_weights(spark, folder):
     return split.class_weights(features.training_set(gold_rows(spark, folder)))
@@ -339,6 +370,28 @@ def stream_consolidated(spark, folder):
     return events.consolidate(spark, out, scratch_path(spark, "consolidated"))
 
 
+@query
+def stream_restarted(spark, folder):
+    """Half of the files, a stop, the other half from the same checkpoint."""
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    path, out = scratch_path(spark, "events"), scratch_path(spark, "stream")
+    checkpoint = scratch_path(spark, "checkpoint")
+
+    def decide(batch):
+        scored = tables.scored_rows(features.featurize(batch))
+        return scoring.decide(scored).select(*S.PREDICTIONS)
+
+    late = F.col("AppointmentID") % 2 == 1
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.repartition(4, "AppointmentID").write.mode("append").json(path)
+        schema = S.event_schema(tables.ID_TYPE, corrupt=True)
+        stream = events.read_events(spark, path, max_files=2, schema=schema)
+        events.start_batches(
+            stream, decide, out, checkpoint, trigger=events.WHAT_IS_THERE
+        ).awaitTermination()
+    return events.consolidate(spark, out, scratch_path(spark, "consolidated"))
+
+
 # --- models ---
 
 
@@ -363,6 +416,108 @@ def gbt_scores(spark, folder):
     return candidate_scores(spark, folder, SMALL_GB)
 
 
+def checked_scores(scores: DataFrame) -> DataFrame:
+    """Who is scored, and whether each score is a probability."""
+    return scores.select(
+        *S.IDS, "run_name", "label", F.col("p").between(0, 1).cast("int").alias("is_probability")
+    )
+
+
+@query
+def rf_scores_checked(spark, folder):
+    return checked_scores(rf_scores(spark, folder))
+
+
+@query
+def gbt_scores_checked(spark, folder):
+    return checked_scores(gbt_scores(spark, folder))
+
+
+def grid_out(spark, folder):
+    out = scratch_path(spark, "experiment")
+    training.train_grid(
+        gold_rows(spark, folder), out, candidates=[SMALL_LR, SMALL_RF, SMALL_GB], parallelism=2
+    )
+    return out
+
+
+@query
+def grid_records(spark, folder):
+    """Run records and leaderboard file of a grid, without what a fit decides."""
+    out = grid_out(spark, folder)
+    runs = registry.read_runs(spark, f"{out}/runs")
+    listed = spark.read.option("header", True).csv(f"{out}/leaderboard")
+    best = registry.read_registry(spark, f"{out}/registry").select("run_id").withColumn("best", F.lit(1))
+    ahead = F.max("roc_auc").over(Window.partitionBy())
+    return (
+        runs.withColumn("is_best", (F.col("roc_auc") == ahead).cast("int"))
+        .join(listed.select("run_id", F.lit(1).alias("listed")), "run_id", "left")
+        .join(best, "run_id", "left")
+        .select(
+            "seq",
+            "run_name",
+            "model_type",
+            F.array_join(
+                F.array_sort(
+                    F.transform(
+                        F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])
+                    )
+                ),
+                ";",
+            ).alias("params"),
+            *[F.col(m).between(0, 1).cast("int").alias(f"{m}_holds") for m in S.METRICS],
+            F.coalesce("listed", F.lit(0)).alias("listed"),
+            (F.coalesce("best", F.lit(0)) <= F.col("is_best")).cast("int").alias("best_holds"),
+        )
+    )
+
+
+@query
+def train_report_checked(spark, folder):
+    """Supports of a trained model's report, and that its averages follow from its classes."""
+    report = train_report(spark, folder)
+    names = ("precision", "recall", "f1_score")
+    every = Window.partitionBy()
+
+    def of(row, column):
+        return F.max(F.when(F.col("row") == row, F.col(column))).over(every)
+
+    holds = F.lit(True)
+    for n in names:
+        total = of("0", "support") + of("1", "support")
+        mean = (of("0", n) + of("1", n)) / 2
+        weighted = (of("0", n) * of("0", "support") + of("1", n) * of("1", "support")) / total
+        expected = F.when(F.col("row") == "macro avg", mean).when(
+            F.col("row") == "weighted avg", weighted
+        )
+        holds = holds & (F.abs(F.col(n) - F.coalesce(expected, F.col(n))) < 1e-9)
+    return report.select("position", "row", "support", F.coalesce(holds, F.lit(True)).cast("int").alias("holds"))
+
+
+@query
+def request_responses_checked(spark, folder):
+    """Requests as JSON lines to responses of a saved model, and that each agrees with itself."""
+    gold_path, model_path = trained(spark, folder)
+    path = scratch_path(spark, "requests")
+    names = [f.name for f in S.request_schema()]
+    features.scoring_set(read_layer(spark, gold_path)).select(*names).write.json(path)
+    requests = read_requests(spark, path)
+    answers = inference.respond(requests, load_model(model_path), keep=names)
+    p = F.col("no_show_probability")
+    decided = F.col("predicted_no_show") == 1
+    holds = (
+        p.between(0, 1)
+        & (p == F.round(p, 4))
+        & F.when(decided, p >= 0.3).otherwise(p <= 0.3)
+        & (F.col("prediction_label") == F.when(decided, S.POSITIVE_LABEL).otherwise(S.NEGATIVE_LABEL))
+    )
+    return (
+        answers.withColumn("holds", holds.cast("int"))
+        .groupBy(*names, "threshold", "holds")
+        .agg(F.count("*").alias("requests"))
+    )
+
+
 @query
 def lr_moments(spark, folder):
     """The fitted regression's expected feature sums on its own training rows.

@@ -13,7 +13,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from tidemark import schemas as S
 
 UNLIMITED_DEPTH = 30  # the deepest tree Spark ML grows
-DEEP = 10  # from here on trees cache node ids, so that late levels need not walk from the root
+# Candidate splits of a feature: above the distinct ages and the days of a year ahead, so that
+# every value is tried; longer waits share a few bins.
+SPLITS = 512
 
 
 @dataclass(frozen=True)
@@ -91,6 +93,11 @@ def encoder() -> Pipeline:
     )
 
 
+def in_force(params: dict) -> dict:
+    """Parameters as they act: a tree of unlimited depth stops at ``UNLIMITED_DEPTH``."""
+    return {k: UNLIMITED_DEPTH if k == "max_depth" and v is None else v for k, v in params.items()}
+
+
 def _logistic_regression(params: dict, rows: int) -> Estimator:
     """L2 with inverse strength ``C`` on the summed loss.
 
@@ -101,19 +108,19 @@ def _logistic_regression(params: dict, rows: int) -> Estimator:
         elasticNetParam=0.0,
         standardization=False,
         maxIter=1000,
-        tol=1e-7,
+        tol=1e-10,
         weightCol="class_weight",
     )
 
 
 def _random_forest(params: dict, rows: int) -> Estimator:
-    depth = UNLIMITED_DEPTH if params["max_depth"] is None else params["max_depth"]
     return RandomForestClassifier(
         numTrees=params["n_estimators"],
-        maxDepth=depth,
+        maxDepth=in_force(params)["max_depth"],
+        maxBins=SPLITS,
         featureSubsetStrategy="sqrt",
         weightCol="class_weight",
-        cacheNodeIds=depth >= DEEP,
+        cacheNodeIds=True,  # late levels need not walk from the root
         seed=S.SEED,
     )
 
@@ -123,6 +130,7 @@ def _gradient_boosting(params: dict, rows: int) -> Estimator:
         maxIter=params["n_estimators"],
         stepSize=params["learning_rate"],
         maxDepth=params["max_depth"],
+        maxBins=SPLITS,
         seed=S.SEED,
     )
 
@@ -137,7 +145,7 @@ BUILDERS = {
 def estimator(model_type: str, params: dict, rows: int, label: str = S.LABEL) -> Estimator:
     """An unfitted classifier over ``features``; ``rows`` is the size of the training part."""
     if model_type not in BUILDERS:
-        raise ValueError(f"Unsupported model type: {model_type}")
+        raise ValueError(f"{model_type!r} is none of {sorted(BUILDERS)}")
     built = BUILDERS[model_type](params, rows)
     return built.setFeaturesCol("features").setLabelCol(label)
 

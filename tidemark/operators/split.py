@@ -15,7 +15,7 @@ HASH_BYTES = 16
 LEVEL_BYTES = 2
 PIECES = 256**LEVEL_BYTES  # counts per class and level, and the most that one task orders
 COPIES_PER_CHUNK = 1_000_000
-MAX_CLASSES = 100
+CLASSES = (0, 1)  # the label's values by contract; other labels name theirs
 
 
 def row_hash(columns: list[str], seed: int) -> Column:
@@ -24,11 +24,15 @@ def row_hash(columns: list[str], seed: int) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x1f", *values, F.lit(str(seed)))))
 
 
-def per_class(table: DataFrame, label: str) -> dict:
-    """A table with one row per class, keyed by class. Refuses a column of many values."""
-    rows = table.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+def per_class(table: DataFrame, label: str, classes: tuple = CLASSES) -> dict:
+    """A table with one row per class, keyed by class. Refuses a value that is no class.
+
+    NULL counts as a class of its own.
+    """
+    rows = table.limit(len(classes) + 2).collect()
+    strange = {row[label] for row in rows} - {*classes, None}
+    if strange:
+        raise ValueError(f"{label} has values beside {list(classes)}: {sorted(map(str, strange))[:3]}")
     return {row[label]: row for row in rows}
 
 
@@ -65,7 +69,7 @@ def _inside(label: str, prefixes: dict) -> Column:
     return reduce(or_, tests, F.lit(False))
 
 
-def cut_points(hashed: DataFrame, label: str, fraction: float) -> dict:
+def cut_points(hashed: DataFrame, label: str, fraction: float, classes: tuple = CLASSES) -> dict:
     """Per class: the hash where the test part ends, rows to take of it, rows having it.
 
     No class is sorted as a whole. Counts per hash prefix show which prefix holds the
@@ -73,7 +77,7 @@ def cut_points(hashed: DataFrame, label: str, fraction: float) -> dict:
     whole hashes. Class sizes tell how many passes leave about ``PIECES`` hashes to order.
     Counting folds copies inside each task. The driver sees one row per class and pass.
     """
-    counted = per_class(hashed.groupBy(label).agg(F.count("*").alias("n")), label)
+    counted = per_class(hashed.groupBy(label).agg(F.count("*").alias("n")), label, classes)
     sizes = {c: row["n"] for c, row in counted.items()}
     wanted = {c: n for c, n in test_sizes(sizes, fraction).items() if n > 0}
     prefixes = dict.fromkeys(wanted, b"")
@@ -96,6 +100,7 @@ def cut_points(hashed: DataFrame, label: str, fraction: float) -> dict:
             .withColumn("upto", F.sum("n").over(running))
             .filter((F.col("upto") - F.col("n") < target) & (F.col("upto") >= target)),
             label,
+            classes,
         )
         prefixes = {c: bytes(row["piece"]) for c, row in found.items()}
         wanted = {c: wanted[c] - (row["upto"] - row["n"]) for c, row in found.items()}
@@ -107,9 +112,14 @@ def stratified_split(
     label: str = S.LABEL,
     fraction: float = S.TEST_FRACTION,
     seed: int = S.SEED,
+    key: list[str] | None = None,
+    classes: tuple = CLASSES,
 ) -> DataFrame:
     """Add ``split`` (``train`` or ``test``), exact per class.
 
+    ``key`` names the columns that tell rows apart, all of them by default; rows with equal
+    keys are copies. ``classes`` are the label's values; another value raises.
+
     Within a class the rows with the smallest hashes are the test part, so membership
     depends on values only and survives any repartitioning or recomputation. ``df`` is
     computed once: its rows and their hashes are written to the shared folder, the passes
@@ -120,9 +130,9 @@ def stratified_split(
     """
     columns = df.columns
     path = scratch_path(df.sparkSession, "hashed")
-    df.withColumn(HASH, row_hash(columns, seed)).write.parquet(path)
+    df.withColumn(HASH, row_hash(key or columns, seed)).write.parquet(path)
     hashed = df.sparkSession.read.parquet(path)
-    cuts = cut_points(hashed.select(label, HASH), label, fraction)
+    cuts = cut_points(hashed.select(label, HASH), label, fraction, classes)
     cut = by_class(label, {c: point[0] for c, point in cuts.items()})
     is_test = F.coalesce(F.col(HASH) <= cut, F.lit(False))
     marked = hashed.withColumn("split", F.when(is_test, "test").otherwise("train"))

@@ -1,10 +1,11 @@
 """Bronze, silver and gold as written layers."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schemas as S
 from tidemark.operators import features, reports
-from tidemark.session import size_shuffles
 from tidemark.sinks.files import write_layer
 from tidemark.sources.files import read_csv, read_layer
 
@@ -29,7 +30,6 @@ def run_layers(raw: DataFrame, out: str) -> DataFrame:
     ran twice after a lost executor is still counted once.
     """
     spark = raw.sparkSession
-    size_shuffles(raw)
     paths = {name: f"{out}/{name}" for name in ("bronze", "silver", "gold")}
     bronze_layer(raw, paths["bronze"])
     silver_layer(spark, paths["bronze"], paths["silver"])
@@ -43,6 +43,15 @@ def run_etl(
     out: str,
     schema: T.StructType | None = None,
     infer: bool = False,
+    quarantine: str | None = None,
 ) -> DataFrame:
-    """CSV at ``source`` through all layers."""
-    return run_layers(read_csv(spark, source, schema, infer), out)
+    """CSV at ``source`` through all layers.
+
+    A row that does not fit the schema fails the job, unless ``quarantine`` names a folder
+    for such rows; the others then go on.
+    """
+    if quarantine is None:
+        return run_layers(read_csv(spark, source, schema, infer), out)
+    rows = read_csv(spark, source, schema, corrupt=True)
+    write_layer(rows.filter(F.col(S.CORRUPT).isNotNull()), quarantine)
+    return run_layers(rows.filter(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT), out)

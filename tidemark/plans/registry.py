@@ -4,11 +4,13 @@ One writer at a time: the next version is the highest one plus one, read before
 """
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import ranking
+from tidemark.sources.files import load_model
 
 
 def _read_table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -58,6 +60,24 @@ def latest_uri(spark: SparkSession, path: str, name: str = S.MODEL_NAME) -> str:
     return newest["uri"]
 
 
+class LatestModel:
+    """The newest registered model, called for each use.
+
+    The registry is read each time, which is one small table; the artifact is loaded only
+    when another version has become the newest.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str = S.MODEL_NAME):
+        self.spark, self.path, self.name = spark, path, name
+        self.uri = self.model = None
+
+    def __call__(self) -> PipelineModel:
+        uri = latest_uri(self.spark, self.path, self.name)
+        if uri != self.uri:
+            self.model, self.uri = load_model(uri), uri
+        return self.model
+
+
 def register_best_past_run(
     spark: SparkSession,
     runs_path: str,

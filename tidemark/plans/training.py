@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.operators import features, metrics, models, ranking, split
 from tidemark.plans import registry
-from tidemark.session import scratch_path, shared_folder, size_shuffles
+from tidemark.session import shared_folder
 from tidemark.sinks.files import save_model, write_leaderboard_csv
+from tidemark.sources.files import load_model
+
+DRAWS = 1 << 20  # steps of a drawn share
 
 
 @dataclass(frozen=True)
@@ -22,21 +25,28 @@ class Prepared:
     """Split rows, written once, and what was learnt from their training part."""
 
     spark: SparkSession
-    path: str
+    split_rows: DataFrame
+    keep: list[str]
     encoding: PipelineModel
     weights: dict
     train_rows: int
+    fit_rows: int | None = None
 
     def rows(self, part: str) -> DataFrame:
-        """Plain rows of ``train`` or ``test``; the other part's files are not opened."""
-        return self.spark.read.parquet(self.path).filter(F.col("split") == part).drop("split")
+        """Plain rows of ``train`` or ``test``: a scan with a test of the row's hash."""
+        unwanted = [c for c in S.IDS if c not in self.keep]
+        return self.split_rows.filter(F.col("split") == part).drop("split", *unwanted)
 
     @property
     def train(self) -> DataFrame:
         """Encoded and weighted. Encoding is narrow and the vectors are wider than the rows,
         so every fit encodes as it reads; Spark ML keeps its own working copy."""
-        rows = split.with_class_weight(self.rows("train"), self.weights)
-        return self.encoding.transform(rows).select("features", S.LABEL, "class_weight")
+        rows = self.split_rows.filter(F.col("split") == "train")
+        if self.fit_rows is not None and self.fit_rows < self.train_rows:
+            draw = F.pmod(F.xxhash64(*S.IDS), F.lit(DRAWS))
+            rows = rows.filter(draw < int(DRAWS * self.fit_rows / self.train_rows))
+        weighted = split.with_class_weight(rows, self.weights)
+        return self.encoding.transform(weighted).select("features", S.LABEL, "class_weight")
 
     @property
     def test(self) -> DataFrame:
@@ -45,30 +55,32 @@ class Prepared:
 
 def prepare(
     gold_df: DataFrame,
-    path: str | None = None,
     keep: list[str] | None = None,
     fraction: float = S.TEST_FRACTION,
     seed: int = S.SEED,
+    fit_rows: int | None = None,
 ) -> Prepared:
-    """Split the training rows into files below ``path``; learn encoding and weights.
+    """Split the training rows; learn encoding and weights.
 
-    Both come from the training part alone, and once for all candidates.
+    Rows are told apart by ids and features together, so the many patients of one profile
+    are spread over both parts like any others; ids not in ``keep`` are dropped afterwards.
+    Encoding and weights come from the training part alone, and once for all candidates.
+    ``fit_rows`` bounds the labelled rows a classifier is fitted on (about so many, drawn by
+    the hash of their ids); by default it is fitted on all.
     """
     spark = gold_df.sparkSession
-    size_shuffles(gold_df)
-    path = path or scratch_path(spark, "prepared")
-    rows = split.stratified_split(
-        features.training_set(gold_df, keep), fraction=fraction, seed=seed
-    )
-    rows.write.mode("overwrite").partitionBy("split").parquet(path)
-    train = spark.read.parquet(path).filter(F.col("split") == "train")
+    rows = features.training_set(gold_df, S.IDS)
+    split_rows = split.stratified_split(rows, fraction=fraction, seed=seed, key=rows.columns)
+    train = split_rows.filter(F.col("split") == "train")
     classes = split.per_class(split.class_weights(train), S.LABEL)
     return Prepared(
         spark,
-        path,
+        split_rows,
+        keep or [],
         models.encoder().fit(train),
         {label: row["class_weight"] for label, row in classes.items()},
         sum(row["class_rows"] for row in classes.values()),
+        fit_rows,
     )
 
 
@@ -94,14 +106,17 @@ def score_all(
     candidates: list[models.Candidate],
     classifiers: list,
     keep: list[str] | None = None,
+    first: int = 0,
 ) -> DataFrame:
     """Scores of all candidates in one long frame: seq, run_name, model_type, label, p.
 
+    ``seq`` counts from ``first``.
+
     The test rows are read once; every classifier adds its column and the columns are
     then unfolded into rows.
     """
     wide, scores = test, []
-    for seq, (candidate, classifier) in enumerate(zip(candidates, classifiers)):
+    for seq, (candidate, classifier) in enumerate(zip(candidates, classifiers), first):
         column = f"_probability_{seq}"
         quiet = classifier.copy()
         quiet.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(column)
@@ -119,14 +134,16 @@ def score_all(
     ).select(*(keep or []), "_s.seq", "_s.run_name", "_s.model_type", "label", "_s.p")
 
 
-def grid_metrics(scored: DataFrame, candidates: list[models.Candidate]) -> DataFrame:
-    """Metrics per candidate.
+def grid_metrics(
+    scored: DataFrame, candidates: list[models.Candidate], first: int = 0
+) -> DataFrame:
+    """Metrics per candidate; ``seq`` counts from ``first``.
 
     Only the position travels with the scores; names join the measured rows, of which
     there is one per candidate.
     """
     names = scored.sparkSession.createDataFrame(
-        [(seq, c.run_name, c.model_type) for seq, c in enumerate(candidates)],
+        [(seq, c.run_name, c.model_type) for seq, c in enumerate(candidates, first)],
         "seq int, run_name string, model_type string",
     )
     measured = metrics.run_metrics(scored.select("seq", "label", "p"), ["seq"])
@@ -136,7 +153,10 @@ def grid_metrics(scored: DataFrame, candidates: list[models.Candidate]) -> DataF
 
 
 def params_text(params: dict) -> dict[str, str | None]:
-    return {key: None if value is None else str(value) for key, value in params.items()}
+    return {
+        key: None if value is None else str(value)
+        for key, value in models.in_force(params).items()
+    }
 
 
 def train_grid(
@@ -148,28 +168,41 @@ def train_grid(
     metric: str = S.SELECTION_METRIC,
     parallelism: int = 4,
     select: bool = True,
+    fit_rows: int | None = None,
 ) -> DataFrame:
     """Fit and compare the candidates, record every run, register the best; the leaderboard.
 
     Below ``out``: ``models/<run_id>``, ``runs``, ``registry`` and ``leaderboard`` (CSV).
-    With ``select=False`` the candidates are only compared and recorded.
+    With ``select=False`` the candidates are only compared and recorded. ``parallelism``
+    candidates are fitted, saved, scored and released together, so the driver never holds
+    more models than that. ``fit_rows`` bounds the rows each is fitted on, see ``prepare``.
     """
     spark = gold_df.sparkSession
     candidates = candidates or models.GRID
-    prepared = prepare(gold_df)
-    classifiers = fit_all(prepared, candidates, parallelism)
+    prepared = prepare(gold_df, fit_rows=fit_rows)
     records = []
-    for seq, (candidate, classifier) in enumerate(zip(candidates, classifiers)):
-        run_id = uuid.uuid4().hex
-        uri = f"{out}/models/{run_id}"
-        save_model(models.assemble(prepared.encoding, classifier), uri)
-        records.append((seq, experiment, run_id, params_text(candidate.params), uri))
-    recorded = spark.createDataFrame(
-        records, "seq int, experiment string, run_id string, params map<string,string>, uri string"
-    )
-    measured = grid_metrics(score_all(prepared.test, candidates, classifiers), candidates)
-    # Ids are drawn per call: append first, then rank what was appended.
-    registry.append_runs(measured.join(F.broadcast(recorded), "seq"), f"{out}/runs")
+    for first in range(0, len(candidates), parallelism):
+        group = candidates[first : first + parallelism]
+        own = []
+        for seq, (candidate, classifier) in enumerate(
+            zip(group, fit_all(prepared, group, parallelism)), first
+        ):
+            run_id = uuid.uuid4().hex
+            uri = f"{out}/models/{run_id}"
+            save_model(models.assemble(prepared.encoding, classifier), uri)
+            own.append((seq, experiment, run_id, params_text(candidate.params), uri))
+        # The saved artifacts are scored, and the group's models go before the next group's.
+        saved = [load_model(record[4]).stages[-1] for record in own]
+        recorded = spark.createDataFrame(
+            own,
+            "seq int, experiment string, run_id string, params map<string,string>, uri string",
+        )
+        scored = score_all(prepared.test, group, saved, first=first)
+        # Ids are drawn per call: append first, then rank what was appended.
+        registry.append_runs(
+            grid_metrics(scored, group, first).join(F.broadcast(recorded), "seq"), f"{out}/runs"
+        )
+        records += own
     ids = [record[2] for record in records]
     runs = registry.read_runs(spark, f"{out}/runs").filter(F.col("run_id").isin(ids))
     board = ranking.leaderboard(runs, metric)
@@ -177,6 +210,8 @@ def train_grid(
     write_leaderboard_csv(board, f"{out}/leaderboard", names)
     if select:
         best = ranking.best_run(runs, metric).first()
+        if best is None:
+            raise ValueError(f"no run has a {metric}: the test part may hold one class only")
         registry.register(spark, f"{out}/registry", best["run_id"], best["uri"], name)
     return board
 

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Day differences depend on the session zone, so it is pinned rather than inherited.
 RUNTIME_SETTINGS = {
@@ -15,16 +15,33 @@ RUNTIME_SETTINGS = {
 
 
 SHUFFLE_BYTES = 64 * 1024 * 1024  # input behind one shuffle partition
-UNKNOWN_SIZE = 2**60  # the optimizer's stand-in is the largest long
-MOST_PARTITIONS = 100_000  # beyond this the shuffle's own bookkeeping outweighs the gain
+LEAST_PARTITIONS = 200  # Spark's own default
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **settings) -> SparkSession:
-    """A session with the runtime settings; the cluster names the master."""
+def shuffle_partitions(input_bytes: int, each: int = SHUFFLE_BYTES) -> int:
+    """Partitions for shuffles of so much input: about ``each`` bytes in one.
+
+    Adaptive execution merges partitions that turn out small but never splits a plain
+    shuffle's, so a session for large tables starts from this number.
+    """
+    return max(LEAST_PARTITIONS, -(-input_bytes // each))
+
+
+def build_session(
+    app: str = "tidemark", master: str | None = None, input_bytes: int | None = None, **settings
+) -> SparkSession:
+    """A session with the runtime settings; the cluster names the master.
+
+    ``input_bytes`` is the size of the tables the session will read; it sizes the shuffles,
+    once. No later call changes them.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **settings}.items():
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    for key, value in {**RUNTIME_SETTINGS, **sized, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -36,46 +53,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def input_bytes(*frames: DataFrame) -> int:
-    """Size of the files the frames read, as the optimizer knows it; no job is run.
-
-    Inputs of unknown size, such as rows from the driver, count as nothing.
-    """
-    total = 0
-    for frame in frames:
-        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-        for i in range(leaves.size()):
-            size = int(str(leaves.apply(i).stats().sizeInBytes()))
-            total += size if size < UNKNOWN_SIZE else 0
-    return total
-
-
-def size_shuffles(*frames: DataFrame) -> int:
-    """Raise the session's shuffle partitions to what the frames' input calls for.
-
-    The default of 200 would put half a terabyte of a 100 TB table into every partition.
-    Adaptive execution merges partitions that turn out small but never splits a plain
-    shuffle's, so the number is raised and never lowered.
-    """
-    spark = frames[0].sparkSession
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(input_bytes(*frames) // SHUFFLE_BYTES, MOST_PARTITIONS)
-    if needed > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
-    return max(needed, current)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a session in one process without that setting gets a temporary folder.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
     if not sc.getCheckpointDir():

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import features
-from tidemark.session import size_shuffles
 
 ID_TYPE = "bigint"  # order keys of a large table times ten outgrow an int
 
@@ -43,7 +42,6 @@ def raw_appointments(spark: SparkSession, folder: str) -> DataFrame:
     """
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet")
-    size_shuffles(lines, orders)
 
     def mapped(df, key, expressions):
         return df.select(
