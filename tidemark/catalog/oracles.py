@@ -59,7 +59,7 @@ gold AS (SELECT * FROM ({DERIVE} FROM silver) WHERE days_until_appointment >= 0)
 
 TRAINING = f"""{GOLD},
 training AS (
-  SELECT AppointmentID, Neighbourhood, {FEATURES}, no_show
+  SELECT PatientId, AppointmentID, Neighbourhood, {FEATURES}, no_show
   FROM gold WHERE {COMPLETE} AND no_show IS NOT NULL
 )"""
 
