@@ -16,7 +16,7 @@ THRESHOLD = 0.3  # fixed value
 FIT_ROWS = {1: 1500, 0: 6000}  # labelled rows the dictionaries are trained on, chosen by hash
 CALIBRATION_ROWS = {1: 1500, 0: 6000}  # others, for the thresholds
 FIT_SHARE = 0.5  # of the labelled rows of a class, at most
-WINDOW_BYTES = 48
+WINDOW_BYTES = 32
 COMMON_BYTES, OWN_BYTES = 6000, 1024  # of a dictionary: shared and its class's own
 COMMON_WORDS = 1500
 LEAST_SHARE = 0.01  # of a class's texts that hold a piece
