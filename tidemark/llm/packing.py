@@ -1,5 +1,6 @@
 """Packing token sequences: documents beside their nearest unused neighbours by BM25."""
 
+import struct
 import zlib
 from string import ascii_lowercase, digits, punctuation
 
@@ -23,6 +24,10 @@ MOST_WORDS = 800_000  # words whose ids a worker remembers
 PUNCTUATION = punctuation.encode()
 ALPHANUMERIC = (ascii_lowercase + digits).encode()
 
+# Byte-level vocabularies write printable bytes as themselves, others from U+0100 on.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTES = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 _TOKENIZERS: dict[str, "WordIds"] = {}
 
 
@@ -47,6 +52,11 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        # Plain words need no splitting rules, if these are rules that leave them whole.
+        encode = self.tokenizer.encode
+        self.direct = all(
+            self._plain(w) == encode(w, add_special_tokens=False).ids for w in ("a", "word", "straße", "été")
+        )
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {b"": b""}
 
@@ -56,6 +66,16 @@ class WordIds:
             _TOKENIZERS[path] = cls(path)
         return _TOKENIZERS[path]
 
+    def _plain(self, word: str) -> list[int]:
+        """Ids of a word of lower-case letters: one piece, whose bytes go to the merges."""
+        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(BYTES))]
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        plain = [self.direct and w.isalpha() and w == w.lower() and max(w) < "\u0250" for w in words]
+        rest = [w for w, p in zip(words, plain) if not p]
+        encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [self._plain(w) if p else next(encoded).ids for w, p in zip(words, plain)]
+
     def _learn(self, words) -> None:
         """Remember the ids of new words."""
         cut = []
@@ -68,11 +88,9 @@ class WordIds:
             whole = not stem or stem[-1:] not in ALPHANUMERIC
             cut.append((word, low, b"") if whole else (word, stem, low[len(stem) :]))
         new = list({p for _, *parts in cut for p in parts}.difference(self.parts))
-        encoded = self.tokenizer.encode_batch_fast(
-            [p.decode("utf-8", "replace") for p in new], add_special_tokens=False
-        )
+        encoded = self._encode([p.decode("utf-8", "replace") for p in new])
         parts = self.parts
-        parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, encoded))
+        parts.update((p, struct.pack(f"<{len(e)}I", *e)) for p, e in zip(new, encoded))
         self.known.update((word, parts[stem] + parts[ending]) for word, stem, ending in cut)
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
@@ -89,6 +107,13 @@ class WordIds:
         ]
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order, and how often each occurs."""
+    s = np.sort(ids, kind="stable")  # a radix sort, as vocabularies fit 16 bits
+    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    return s[first], np.diff(np.concatenate((first, [len(s)])))
+
+
 def signature(ids: np.ndarray) -> int:
     """The least hash of two neighbouring ids: near texts tend to share it."""
     pairs = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:]
@@ -110,13 +135,14 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None) -> tuple[DataFrame
         total = np.zeros(words.size, np.int64)
         for batch in batches:
             encoded = words.encode(batch.column(1).to_pylist())
-            for ids in encoded:
-                total[np.unique(ids)] += 1
+            narrow = [ids.astype("<u2" if words.size <= 1 << 16 else "<u4") for ids in encoded]
+            for ids in narrow:
+                total[counted(ids)[0]] += 1
             yield {
                 "doc_id": batch.column(0),
                 "n": [len(ids) for ids in encoded],
                 "sig": [signature(ids) for ids in encoded],
-                "ids": [ids.astype("<u2" if words.size <= 1 << 16 else "<u4").tobytes() for ids in encoded],
+                "ids": [ids.tobytes() for ids in narrow],
                 "df": [None] * len(encoded),
             }
         yield {"doc_id": [None], "n": [None], "sig": [None], "ids": [None], "df": [total]}
@@ -142,7 +168,7 @@ class Shard:
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         terms, owners, weights = [], [], []
         for n, ids in enumerate(docs):
-            term, tf = np.unique(ids, return_counts=True)
+            term, tf = counted(ids)
             terms.append(term)
             owners.append(np.full(len(term), n))
             norm = K1 * (1 - B + B * len(ids) / mean)
@@ -159,7 +185,7 @@ class Shard:
         """BM25 of every document for the distinct ids of one."""
         term = self.terms[query]
         low = self.starts[term]
-        n = self.starts[term + 1] - low
+        n = self.starts[term.astype(np.int64) + 1] - low
         at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
         return np.bincount(self.owner[at], weights=self.weight[at], minlength=self.size)
 
