@@ -68,13 +68,26 @@ class WordIds:
 
     def _plain(self, word: str) -> list[int]:
         """Ids of a word of lower-case letters: one piece, whose bytes go to the merges."""
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(BYTES))]
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTES)
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
 
     def _encode(self, words: list[str]) -> list[list[int]]:
-        plain = [self.direct and w.isalpha() and w == w.lower() and max(w) < "\u0250" for w in words]
-        rest = [w for w, p in zip(words, plain) if not p]
-        encoded = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        return [self._plain(w) if p else next(encoded).ids for w, p in zip(words, plain)]
+        model, direct = self.tokenizer.model, self.direct
+        found: list = []
+        rest = []
+        for w in words:
+            if direct and w.isascii() and w.isalpha():
+                found.append([t.id for t in model.tokenize(w)])
+            elif direct and w.isalpha() and w == w.lower() and max(w) < "\u0250":
+                found.append(self._plain(w))
+            else:
+                rest.append((len(found), w))
+                found.append(None)
+        encoded = self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)
+        for (at, _), e in zip(rest, encoded):
+            found[at] = e.ids
+        return found
 
     def _learn(self, words) -> None:
         """Remember the ids of new words."""
@@ -87,7 +100,9 @@ class WordIds:
             stem = low.rstrip(PUNCTUATION)
             whole = not stem or stem[-1:] not in ALPHANUMERIC
             cut.append((word, low, b"") if whole else (word, stem, low[len(stem) :]))
-        new = list({p for _, *parts in cut for p in parts}.difference(self.parts))
+        new = {stem for _, stem, _ in cut}
+        new.update(ending for _, _, ending in cut)
+        new = list(new.difference(self.parts))
         encoded = self._encode([p.decode("utf-8", "replace") for p in new])
         parts = self.parts
         parts.update((p, struct.pack(f"<{len(e)}I", *e)) for p, e in zip(new, encoded))
