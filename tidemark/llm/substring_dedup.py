@@ -124,7 +124,9 @@ def spans(rows: DataFrame) -> DataFrame:
     runs = rows.select("rid", F.explode(F.arrays_zip("at", "shape", "g")).alias("run")).select(
         "rid", "run.*"
     )
+    # Written, so that both sides of the join are plain shuffles and a hot anchor is split.
     repeated = runs.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
+    repeated = staged(repeated, "repeated")
     wanted = (
         runs.join(repeated, "g", "left_semi")
         .groupBy("rid")
