@@ -117,6 +117,15 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert kept["packing"] == kept["decontamination"]
 
 
+def test_a_document_without_an_id_is_kept_if_its_text_is_its_own(spark):
+    from tidemark.llm import exact_dedup, simhash
+
+    rows = [(1, prose(1, 50)), (None, prose(2, 50)), (2, prose(1, 50))]
+    for module in (exact_dedup, simhash):
+        kept = module.stage(spark, table(spark, rows), "").collect()
+        assert sorted(str(r["doc_id"]) for r in kept) == ["1", "None"]
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_pipeline_on_awkward_rows(spark, extra):
     docs = table(spark, awkward(), extra)

@@ -79,6 +79,12 @@ def lists(values, sizes) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def with_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Documents whose id is in ``kept``; null counts as an id."""
+    wanted = kept.select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_kept"]), "left_semi")
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
@@ -96,12 +102,15 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def filter_batches(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
-    """Whole rows for which ``keep`` says so, batch by batch."""
+def filter_batches(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[bool]]]
+) -> DataFrame:
+    """Whole rows that pass; ``make`` gives each task its test of a batch."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches):
+        keep = make()
         for batch in batches:
             yield batch.filter(pa.array(keep(batch), pa.bool_()))
 

@@ -248,21 +248,9 @@ def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no benchmark item, judged where they are read."""
     for block in blocks(read(spark, folder, "benchmark")):
 
-        def clean(batch, block=block):
-            find = finder(cached_index(block))
-            return [not hits for hits in find([t or "" for t in batch.column("text").to_pylist()])]
+        def test(block=block):
+            find = finder(Index(block.value))
+            return lambda batch: [not hits for hits in find([t or "" for t in batch.column("text").to_pylist()])]
 
-        docs = filter_batches(docs, clean)
+        docs = filter_batches(docs, test)
     return docs
-
-
-_INDEXES: dict[int, Index] = {}
-
-
-def cached_index(block) -> Index:
-    """The block's index, built once in each worker."""
-    key = id(block.value)
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = Index(block.value)
-    return _INDEXES[key]

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, staged, texts
+from tidemark.llm.common import SPACES, staged, texts, with_ids
 
 PREFIX = 64  # characters of a text that splitters carry
 LEAST_SLICE = 1000  # copies of one text that always go to one task
@@ -81,5 +81,4 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose row stays. Rows repeated under one id stay or go together."""
-    kept = exact_dedup(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return with_ids(docs, exact_dedup(docs).filter("kept"))

@@ -280,9 +280,13 @@ def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """
     shared = spark.sparkContext.broadcast(train(docs))
 
-    def known(batch):
+    def test():
         predict = predictor(shared.value)
-        found = [predict(t) for t in batch.column("text").to_pylist()]
-        return [lang != UNKNOWN and p >= REJECT_BELOW for lang, p in found]
 
-    return filter_batches(docs, known)
+        def known(batch):
+            found = [predict(t) for t in batch.column("text").to_pylist()]
+            return [lang != UNKNOWN and p >= REJECT_BELOW for lang, p in found]
+
+        return known
+
+    return filter_batches(docs, test)

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, staged, texts
+from tidemark.llm.common import map_batches, staged, texts, with_ids
 from tidemark.llm.components import components
 
 # --- Fixed values ---
@@ -230,7 +230,6 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
 
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """The document of each component that names it; one without an id stays."""
-    kept = simhash_groups(docs).filter("doc_id = component_id").select("doc_id")
-    alone = docs.filter("doc_id IS NULL")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(alone)
+    """The document of each component that names it. Rows repeated under one id, or without an
+    id, stay or go together."""
+    return with_ids(docs, simhash_groups(docs).filter("doc_id <=> component_id"))
