@@ -4,7 +4,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, remainder, staged, texts
@@ -15,7 +15,7 @@ SMOOTHING = 0.1  # fixed value
 CLASSES, PER_CLASS = 32, 32
 MODEL_WORDS = CLASSES * PER_CLASS  # outputs: other words, the end, and the most frequent words
 OTHER, END = 0, 1
-FREQUENT = 200_000  # words whose counts every task has; the others' are joined
+FREQUENT = 100_000  # words whose counts every task has; the others' are joined
 HIDDEN = 32
 SEGMENT, SEGMENT_EVERY = 64, 1024  # tokens learnt from each started so many of a document
 TRUNCATE = 32  # steps of backpropagation
@@ -24,9 +24,9 @@ ROUNDS = 3  # each starts from the average of the last one's learners
 RATE = 0.01
 LANES = 1024  # documents scored side by side
 STEPS = 64  # of a scoring window
-TASK_TOKENS = 8_000_000  # tokens a task holds before it scores them
+TASK_TOKENS = 6_000_000  # tokens a task holds before it scores them
 COLUMNS = ["rid", "doc_id", "held_out", "n_tokens", "frequent", "others", "base", "other", "rare"]
-TASK_WORDS = 500_000  # words a task counts before it passes them on
+TASK_WORDS = 300_000  # words a task counts before it passes them on
 
 
 def split(text: str) -> list[bytes]:
@@ -50,6 +50,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return staged(counted.groupBy("word").agg(F.sum("c").alias("c")), "counts")
 
 
+def frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """The ``FREQUENT`` most frequent words at most, first ones first.
+
+    The least count among them comes from the table of counts of counts; words with a count
+    of which not all would fit are left out, so that the driver gets no more than it keeps.
+    """
+    running = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0)
+    of_counts = counts.groupBy("c").agg(F.count("*").alias("n"))
+    fits = of_counts.withColumn("upto", F.sum("n").over(running)).filter(F.col("upto") <= FREQUENT)
+    least = fits.agg(F.min("c")).first()[0]
+    if least is None:
+        return []
+    rows = counts.filter(F.col("c") >= least).collect()
+    return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
@@ -308,23 +324,22 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     n_docs = training.select("doc_id").count()
     n_words, v_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n_words + n_docs, v_words + (n_docs > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     table: dict[bytes, tuple[int, int]] = {}
     frequency = np.zeros(MODEL_WORDS)
-    for i, row in enumerate(top):
+    for i, (word, c) in enumerate(frequent(counts)):
         own = i + 2 if i + 2 < MODEL_WORDS else OTHER
-        table[bytes(row["word"])] = (own, row["c"])
+        table[word] = (own, c)
         if own:
-            frequency[own] = row["c"]
+            frequency[own] = c
     frequency[OTHER], frequency[END] = n_words - frequency[2:].sum(), n_docs
     outside = frequency[OTHER] + SMOOTHING * (v_words - (frequency[2:] > 0).sum() + 1)
     flat = train(training, table, frequency)
-    shared = spark.sparkContext.broadcast((table, flat))
+    logs = {w: (i, log10(c + SMOOTHING)) for w, (i, c) in table.items()}
+    shared = spark.sparkContext.broadcast((logs, flat))
 
     def run(batches):
         table, flat = shared.value
         net = Network(flat)
-        logs = {w: (i, log10(c + SMOOTHING)) for w, (i, c) in table.items()}
         end = log10(n_docs + SMOOTHING)
         waiting, sequences, size = [], [], 0
 
@@ -338,7 +353,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
                 ids = np.full(len(words) + 1, END, np.uint16)
                 base, other, rare = end, 0.0, []
                 for k, w in enumerate(words):
-                    hit = logs.get(w)
+                    hit = table.get(w)
                     if hit is None:
                         rare.append(w)
                         ids[k] = OTHER
