@@ -91,6 +91,12 @@ def main() -> None:
             )
         ),
     )
+    timed(
+        "train_grid",
+        lambda: consume(
+            training.train_grid(gold, scratch_path(spark, "experiment"), candidates)
+        ),
+    )
     model = models.assemble(prepared.encoding, fitted[SMALL_LR.run_name])
     timed("batch_scoring", lambda: consume(inference.batch_predictions(gold, model)))
     timed(
