@@ -45,7 +45,7 @@ class Embedding:
         rng = np.random.default_rng(SEED)
         self.coins = rng.integers(0, 2, (WALKS, STEPS, 256)).astype(np.int32)
         self.coins[:, :, 0] = 0
-        self.mixers = rng.integers(1, 1 << 62, (WALKS, BANDS, STEPS)).astype(np.uint64) * 2 + 1
+        self.words = rng.integers(0, 1 << 63, (WALKS, BANDS, SAMPLED, 256)).astype(np.uint64)
         # without repeats, so that every band sees as much of the text as any other
         self.sampled = np.array(
             [
@@ -60,16 +60,14 @@ class Embedding:
         out = np.zeros((BANDS, len(starts)), np.uint64)
         bands_at = defaultdict(list)
         for band, steps in enumerate(self.sampled[walk]):
-            for step in steps.tolist():
-                bands_at[step].append(band)
+            for nth, step in enumerate(steps.tolist()):
+                bands_at[step].append((band, nth))
         position = starts.astype(np.int64)
-        with np.errstate(over="ignore"):
-            for step in range(self.steps):
-                now = codes[position]
-                for band in bands_at[step]:
-                    out[band] += (now.astype(np.uint64) + np.uint64(7)) * self.mixers[walk, band, step]
-                    out[band] ^= out[band] >> np.uint64(29)
-                position += self.coins[walk, step][now]
+        for step in range(self.steps):
+            now = codes[position]
+            for band, nth in bands_at[step]:
+                out[band] ^= self.words[walk, band, nth][now]
+            position += self.coins[walk, step][now]
         return out
 
 
