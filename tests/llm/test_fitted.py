@@ -187,3 +187,40 @@ def test_learning_lowers_the_loss():
     for _ in range(60):
         learner.learn(ids)
     assert lm.sequence_scores(learner.net, list(ids.astype(np.uint16))).sum() > before / 2
+
+
+def test_every_token_is_learnt_once_with_its_state(monkeypatch):
+    """Also of documents far longer than a window, and with more documents than lanes."""
+    monkeypatch.setattr(lm, "BATCH", 4)
+    rng = np.random.default_rng(5)
+    documents = [rng.integers(2, lm.MODEL_WORDS, n).astype("<u2") for n in (3000, 1, 65, 32, 700, 64, 3, 1025, 31)]
+    learner = lm.Learner(lm.Network.initial(np.ones(lm.MODEL_WORDS)).flat)
+    seen = []
+
+    def window(x, y, h, fresh, real):
+        """Each lane's state is the number of tokens read of its document."""
+        h, real = h.copy(), np.ones(y.shape, bool) if real is None else real
+        for lane in range(len(y)):
+            for t in np.flatnonzero(real[lane]):
+                h[lane] = 1 if fresh[lane, t] else h[lane] + 1
+                seen.append((int(h[lane, 0]), int(x[lane, t]), int(y[lane, t])))
+        return h
+
+    learner.window = window
+    assert learner.learn_all(documents) == sum(map(len, documents))
+    want = [(k + 1, int(d[k - 1]) if k else lm.END, int(d[k])) for d in documents for k in range(len(d))]
+    assert sorted(seen) == sorted(want)
+
+
+def test_documents_that_share_a_window_learn_as_if_alone():
+    rng = np.random.default_rng(6)
+    flat = rng.normal(0, 0.3, lm.Network.SIZE)
+    x, y = rng.integers(0, lm.MODEL_WORDS, (2, 2, 5))
+    zero = np.zeros((2, lm.HIDDEN))
+    alone, shared = lm.Learner(flat), lm.Learner(flat)
+    alone.window(x, y, zero)
+    one = lambda a: np.concatenate([a.reshape(1, -1), np.full((1, 2), 7)], 1)
+    fresh = np.zeros((1, 12), bool)
+    fresh[0, [0, 5]] = True
+    h = shared.window(one(x), one(y), zero[:1] + 9, fresh, np.arange(12)[None] < 10)
+    assert np.allclose(alone.m, shared.m, rtol=1e-4, atol=1e-8) and h.shape == (1, lm.HIDDEN)

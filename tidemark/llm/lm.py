@@ -17,9 +17,8 @@ MODEL_WORDS = CLASSES * PER_CLASS  # outputs: other words, the end, and the most
 OTHER, END = 0, 1
 FREQUENT = 100_000  # words whose counts every task has; the others' are joined
 HIDDEN = 32
-SEGMENT, SEGMENT_EVERY = 64, 1024  # tokens learnt from each started so many of a document
 TRUNCATE = 32  # steps of backpropagation
-BATCH = 64  # segments learnt together
+BATCH = 256  # documents learnt side by side
 ROUNDS = 3  # each starts from the average of the last one's learners
 RATE = 0.01
 LANES = 1024  # documents scored side by side
@@ -70,6 +69,19 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
+def picked(logit, target, gradient=False):
+    """Log softmax at each target; with ``gradient``, ``logit`` becomes that of the loss."""
+    rows = np.arange(len(target))
+    logit -= logit.max(1, keepdims=True)
+    found = logit[rows, target]
+    np.exp(logit, out=logit)
+    total = logit.sum(1)
+    if gradient:
+        logit /= total[:, None]
+        logit[rows, target] -= 1
+    return found - np.log(total)
+
+
 class Network:
     """Parameters as one vector with named views.
 
@@ -115,36 +127,26 @@ class Network:
     def outputs(self, h, target, gradient=None):
         """Log probability of each target; with ``gradient``, that of the loss for ``h`` too."""
         group, within = target // PER_CLASS, target % PER_CLASS
-        rows = np.arange(len(target))
         logit = h @ self.groups + self.group_bias
-        logit -= logit.max(1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(1)
-        found = logit[rows, group] - np.log(total)
+        found = picked(logit, group, gradient is not None)
+        if gradient is not None:
+            gradient.groups += h.T @ logit
+            gradient.group_bias += logit.sum(0)
+            dh = logit @ self.groups.T
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        group, ordered = group[order], h[order]
+        edges = np.searchsorted(group, np.arange(CLASSES + 1))
+        runs = [(k, slice(edges[k], edges[k + 1])) for k in range(CLASSES) if edges[k] < edges[k + 1]]
+        logit = self.word_bias[group]
+        for k, own in runs:
+            logit[own] += ordered[own] @ self.words[k]
+        found[order] += picked(logit, within[order], gradient is not None)
         if gradient is not None:
-            d = e / total[:, None]
-            d[rows, group] -= 1
-            gradient.groups += h.T @ d
-            gradient.group_bias += d.sum(0)
-            dh = d @ self.groups.T
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            own = order[edges[k] : edges[k + 1]]
-            if not len(own):
-                continue
-            logit = h[own] @ self.words[k] + self.word_bias[k]
-            logit -= logit.max(1, keepdims=True)
-            e = np.exp(logit)
-            total = e.sum(1)
-            at = np.arange(len(own))
-            found[own] += logit[at, within[own]] - np.log(total)
-            if gradient is not None:
-                d = e / total[:, None]
-                d[at, within[own]] -= 1
-                gradient.words[k] += h[own].T @ d
-                gradient.word_bias[k] += d.sum(0)
-                dh[own] += d @ self.words[k].T
+            for k, own in runs:
+                gradient.words[k] += ordered[own].T @ logit[own]
+                gradient.word_bias[k] += logit[own].sum(0)
+                ordered[own] = logit[own] @ self.words[k].T
+            dh[order] += ordered
         return found if gradient is None else (found, dh)
 
 
@@ -163,30 +165,85 @@ class Learner:
             y = tokens[:, low + 1 : low + 1 + TRUNCATE]
             h = self.window(x[:, : y.shape[1]], y, h)
 
-    def window(self, x, y, h):
+    def learn_all(self, documents) -> int:
+        """Every token of all ``documents`` once; how many there were.
+
+        ``BATCH`` documents go side by side, a window of ``TRUNCATE`` tokens at a time. The
+        state goes on from window to window to a document's end, and the next document
+        starts there from zero, in the same window. Lanes without documents are dropped.
+        """
+        documents, seen = iter(documents), 0
+        lanes, h = [(None, 0)] * BATCH, np.zeros((BATCH, HIDDEN), np.float32)
+        while lanes:
+            x, y = np.full((2, len(lanes), TRUNCATE), END)
+            fresh = np.zeros(x.shape, bool)
+            length = np.zeros(len(lanes), np.int64)
+            for i, (ids, at) in enumerate(lanes):
+                n = 0
+                while n < TRUNCATE:
+                    if ids is None or at == len(ids):
+                        ids, at = next(documents, None), 0
+                        if ids is None:
+                            break
+                    take = min(TRUNCATE - n, len(ids) - at)
+                    y[i, n : n + take] = ids[at : at + take]
+                    if at:
+                        x[i, n : n + take] = ids[at - 1 : at + take - 1]
+                    else:
+                        fresh[i, n] = True
+                        x[i, n + 1 : n + take] = ids[: take - 1]
+                    at += take
+                    n += take
+                lanes[i], length[i] = (ids, at), n
+            full = length == TRUNCATE
+            if not full.all():
+                left = np.flatnonzero(length)
+                lanes, h = [lanes[i] for i in left], h[left]
+                x, y, fresh, length = x[left], y[left], fresh[left], length[left]
+            if lanes:
+                h = self.window(x, y, h, fresh, None if full.all() else np.arange(TRUNCATE) < length[:, None])
+                seen += int(length.sum())
+        return seen
+
+    def window(self, x, y, h, fresh=None, real=None):
+        """One step of learning. Where ``fresh`` the state starts anew; only ``real`` tokens count."""
         net = self.net
         grad = Network(np.zeros(Network.SIZE, np.float32))
         kept, states = [], []
         for t in range(x.shape[1]):
-            before = h
-            h, parts = net.step(x[:, t], h)
+            before = h if fresh is None else h * ~fresh[:, t, None]
+            h, parts = net.step(x[:, t], before)
             kept.append((before, *parts))
             states.append(h)
-        flat = np.concatenate(states)
-        _, dh_out = net.outputs(flat, y.T.reshape(-1), grad)
+        flat, target = np.concatenate(states), y.T.reshape(-1)
+        if real is None:
+            _, dh_out = net.outputs(flat, target, grad)
+        else:
+            at = np.flatnonzero(real.T.reshape(-1))
+            dh_out = np.zeros_like(flat)
+            dh_out[at] = net.outputs(flat[at], target[at], grad)[1]
         dh_out = dh_out.reshape(len(states), *h.shape)
         dh = np.zeros_like(h)
+        du = np.empty((len(states), len(h), 3 * HIDDEN), h.dtype)
+        dg = np.empty_like(du)
         for t in reversed(range(x.shape[1])):
             before, r, z, n, un = kept[t]
             dh = dh + dh_out[t]
             dan = dh * (1 - z) * (1 - n * n)
-            dar = dan * un * r * (1 - r)
-            daz = dh * (before - n) * z * (1 - z)
-            du = np.concatenate([dar, daz, dan * r], 1)
-            grad.state += before.T @ du
-            np.add.at(grad.inputs, x[:, t], np.concatenate([dar, daz, dan], 1))
-            dh = dh * z + du @ net.state.T
-        g = grad.flat / y.size
+            dg[t, :, :HIDDEN] = dan * un * r * (1 - r)
+            dg[t, :, HIDDEN : 2 * HIDDEN] = dh * (before - n) * z * (1 - z)
+            dg[t, :, 2 * HIDDEN :] = dan
+            du[t, :, : 2 * HIDDEN] = dg[t, :, : 2 * HIDDEN]
+            du[t, :, 2 * HIDDEN :] = dan * r
+            dh = dh * z + du[t] @ net.state.T
+            if fresh is not None:
+                dh *= ~fresh[:, t, None]
+        grad.state += np.concatenate([k[0] for k in kept]).T @ du.reshape(-1, 3 * HIDDEN)
+        words = x.T.reshape(-1)
+        order = np.argsort(words, kind="stable")
+        starts = np.flatnonzero(np.diff(words[order], prepend=-1))
+        grad.inputs[words[order][starts]] = np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], starts)
+        g = grad.flat / (y.size if real is None else int(real.sum()))
         g *= min(1.0, 1.0 / max(float(np.sqrt((g * g).sum())), 1e-9))
         self.steps += 1
         self.m += 0.1 * (g - self.m)
@@ -226,62 +283,41 @@ def sequence_scores(net: Network, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def segments_of(ids: np.ndarray, where: int) -> list[np.ndarray]:
-    """From each started ``SEGMENT_EVERY`` tokens a run of ``SEGMENT``, its place by hash."""
-    ids = np.concatenate(([END], ids))
-    found = []
-    for low in range(0, len(ids) - 1, SEGMENT_EVERY):
-        room = min(SEGMENT_EVERY, len(ids) - 1 - low) - SEGMENT
-        at = low + (where % (room + 1) if room > 0 else 0)
-        found.append(ids[at : at + SEGMENT + 1])
-    return found
-
-
 def train(docs: DataFrame, table: dict[bytes, tuple[int, int]], frequency: np.ndarray) -> np.ndarray:
     """The network after ``ROUNDS`` of parallel learning on all the documents given.
 
-    Every document gives segments in proportion to its length, each learnt from in one round.
-    The tasks of a round learn apart, from the same start, and their weights are averaged by
-    the segments they saw; the driver gets one row for each parameter.
+    Every token of every document is learnt from in one round, with the state of all tokens
+    before it. The tasks of a round learn apart, from the same start, and their weights are
+    averaged by the tokens they saw; the driver gets one row for each parameter.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast({w: i for w, (i, _) in table.items() if i})
 
-    def cut(batches):
+    def numbered(batches):
         for batch in batches:
             ids = shared.value
-            found = []
-            for text, where in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = np.array([*[ids.get(w, OTHER) for w in split(text)], END])
-                found += [(s.astype("<u2").tobytes(), (where + k) % ROUNDS) for k, s in enumerate(segments_of(tokens, where))]
-            yield {"ids": [f[0] for f in found], "round": [f[1] for f in found]}
-
-    chosen = docs.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("place"))
-    segments = staged(map_batches(chosen, cut, "ids binary, round int"), "segments")
+            found = [
+                np.array([*[ids.get(w, OTHER) for w in split(text)], END], "<u2").tobytes()
+                for text in batch.column(0).to_pylist()
+            ]
+            yield {"ids": found, "round": batch.column(1)}
+
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int")
+    tokens = staged(map_batches(docs.select("text", turn), numbered, "ids binary, round int"), "tokens")
     flat = Network.initial(frequency).flat
     for k in range(ROUNDS):
         start = spark.sparkContext.broadcast(flat)
 
         def learn(batches):
-            learner, waiting, seen = Learner(start.value), {}, 0
-            for batch in batches:
-                for raw in batch.column(0).to_pylist():
-                    ids = np.frombuffer(raw, "<u2").astype(np.int64)
-                    own = waiting.setdefault(len(ids) // 16, [])  # padded to like lengths
-                    own.append(ids)
-                    if len(own) == BATCH:
-                        learner.learn(padded(own))
-                        seen += BATCH
-                        own.clear()
-            for own in waiting.values():
-                if own:
-                    learner.learn(padded(own))
-                    seen += len(own)
+            learner = Learner(start.value)
+            seen = learner.learn_all(
+                np.frombuffer(raw, "<u2") for batch in batches for raw in batch.column(0).to_pylist()
+            )
             if seen:
                 yield {"weight": [seen], "flat": [learner.net.flat.astype(np.float64)]}
 
         parts = map_batches(
-            segments.filter(F.col("round") == k).select("ids"), learn, "weight bigint, flat array<double>"
+            tokens.filter(F.col("round") == k).select("ids"), learn, "weight bigint, flat array<double>"
         )
         mean = (
             parts.select("weight", F.posexplode("flat").alias("at", "value"))
@@ -295,14 +331,6 @@ def train(docs: DataFrame, table: dict[bytes, tuple[int, int]], frequency: np.nd
     return flat
 
 
-def padded(segments: list[np.ndarray]) -> np.ndarray:
-    """Segments as rows, short ones filled up with ends."""
-    out = np.full((len(segments), max(map(len, segments))), END)
-    for row, ids in zip(out, segments):
-        row[: len(ids)] = ids
-    return out
-
-
 def lm_scores(docs: DataFrame) -> DataFrame:
     """Per document: ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``
     and ``score``, the network's log10 probability of the whole text.
