@@ -126,6 +126,17 @@ def test_a_document_without_an_id_is_kept_if_its_text_is_its_own(spark):
         assert sorted(str(r["doc_id"]) for r in kept) == ["1", "None"]
 
 
+def test_one_row_of_each_text_stays_whatever_its_id(spark):
+    """Repeated ids, the same id with another text, and copies without an id."""
+    from tidemark.llm import exact_dedup, simhash
+
+    a, b, c = prose(1, 50), prose(2, 50), prose(3, 50)
+    rows = [(1, a), (1, a), (1, b), (2, b), (None, c), (None, c), (None, a), (None, b), (3, a)]
+    for module in (exact_dedup, simhash):
+        kept = module.stage(spark, table(spark, rows, extra=True), "").collect()
+        assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", a), ("1", b), ("None", c)])
+
+
 @pytest.mark.parametrize("extra", [False, True])
 def test_pipeline_on_awkward_rows(spark, extra):
     docs = table(spark, awkward(), extra)

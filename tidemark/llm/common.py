@@ -29,6 +29,7 @@ ARROW = {
     "array<double>": pa.list_(pa.float64()),
 }
 
+ROW = "_row"  # a row's key inside the pipeline's stages
 BATCH_ROWS = 500  # rows that a Python task gets at once
 
 
@@ -79,10 +80,14 @@ def lists(values, sizes) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def with_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Documents whose id is in ``kept``; null counts as an id."""
-    wanted = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_kept"]), "left_semi")
+def with_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a written key for each row, ``ROW``; ids may repeat or be missing."""
+    return staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def only_rows(keyed: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``with_rows`` whose key is in ``kept``, without the key."""
+    return keyed.join(kept.select(ROW), ROW, "left_semi").drop(ROW)
 
 
 def map_batches(

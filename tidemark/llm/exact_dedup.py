@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, staged, texts, with_ids
+from tidemark.llm.common import ROW, SPACES, only_rows, staged, with_rows
 
 PREFIX = 64  # characters of a text that splitters carry
 LEAST_SLICE = 1000  # copies of one text that always go to one task
@@ -15,8 +15,8 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, rf"{SPACES}{{2,}}|[\x09-\x0D]", " ")
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
-    """Per document: ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+def exact_dedup(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, and columns ``keys``.
 
     Sampled splitters over (start of the text, its hash) range-partition the normalised
     texts; an external sort inside each partition places equal texts side by side, and the
@@ -32,7 +32,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     group is null. Rows repeated under one id are copies like any other: one is kept. An
     empty table gives an empty result; other columns are not read.
     """
-    rows = texts(docs).select("doc_id", normalised(F.col("text")).alias("text"))
+    text = normalised(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select("doc_id", *keys, text.alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     slice_rows = max(LEAST_SLICE, docs.count() // MOST_HOT)
     hot = (
@@ -55,6 +56,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     folded = staged(
         placed.select(
             "doc_id",
+            *keys,
             "slice",
             F.col("slices").isNotNull().alias("hot"),
             F.sha2("text", 256).alias("text_sha256"),
@@ -76,9 +78,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
         F.coalesce("total", "n").alias("group_size"),
         (F.col("head") & F.coalesce(F.col("slice") == F.col("first.slice"), F.lit(True))).alias("kept"),
         "text_sha256",
+        *keys,
     )
 
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose row stays. Rows repeated under one id stay or go together."""
-    return with_ids(docs, exact_dedup(docs).filter("kept"))
+    """Exactly the rows that are kept, one for each text, whatever their ids."""
+    keyed = with_rows(docs)
+    return only_rows(keyed, exact_dedup(keyed, (ROW,)).filter("kept"))

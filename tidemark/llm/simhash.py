@@ -4,10 +4,10 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, staged, texts, with_ids
+from tidemark.llm.common import ROW, map_batches, only_rows, staged, with_rows
 from tidemark.llm.components import components
 
 # --- Fixed values ---
@@ -59,17 +59,18 @@ def fingerprints_of(batch: list[str], width: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number; whole numbers ``keys``."""
 
     def run(batches):
         for batch in batches:
-            yield {
-                "doc_id": batch.column(0),
-                "fp": fingerprints_of(batch.column(1).to_pylist(), width).view(np.int64),
-            }
+            texts = batch.column("text").to_pylist()
+            own = {name: batch.column(name) for name in ("doc_id", *keys)}
+            yield {**own, "fp": fingerprints_of(texts, width).view(np.int64)}
 
-    return map_batches(texts(docs), run, "doc_id bigint, fp bigint")
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    schema = ", ".join(f"{name} bigint" for name in ("doc_id", *keys, "fp"))
+    return map_batches(docs.select("doc_id", *keys, text), run, schema)
 
 
 class BKTree:
@@ -208,6 +209,15 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return map_batches(shards, run, "a bigint, b bigint")
 
 
+def _labelled(marked: DataFrame, least: Column, radius: int) -> DataFrame:
+    """Each distinct ``fp`` with ``least`` of its rows and the ``root`` of its component."""
+    distinct = staged(marked.groupBy("fp").agg(least.alias("least")), "distinct")
+    roots = components(links(distinct.select("fp"), radius))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def simhash_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Per document: ``fingerprint`` (hex) and ``component_id``, the smallest id reachable.
 
@@ -217,11 +227,7 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
     come out repeated; an empty table gives an empty result.
     """
     marked = staged(fingerprints(docs, width), "fingerprints")
-    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    labelled = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    labelled = _labelled(marked, F.min("doc_id"), radius)
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     named = labelled.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -230,6 +236,10 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
 
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
-    """The document of each component that names it. Rows repeated under one id, or without an
-    id, stay or go together."""
-    return with_ids(docs, simhash_groups(docs).filter("doc_id <=> component_id"))
+    """One row of each component: one with the id that names it."""
+    keyed = with_rows(docs)
+    marked = staged(fingerprints(keyed, keys=(ROW,)), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW))
+    labelled = _labelled(marked, first, RADIUS)
+    kept = labelled.groupBy("root").agg(F.min("least").alias("least"))
+    return only_rows(keyed, kept.select(f"least.{ROW}"))
