@@ -83,6 +83,23 @@ def test_short_items(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got if r["item_id"] == 1} == {(1, 1)}
 
 
+def test_short_items_at_every_word_and_in_unspaced_text():
+    """Exact copies at odd and even words, and of the shortest with an edit, all found."""
+    items = ["fox", "banana", "explain photosynthesis", "thermodynamics is the study of heat, work",
+             "characteristically the committee of the whole house met on the day of the vote",
+             "光合作用是植物利用光能把二氧化碳和水转化为有机物的过程", "การสังเคราะห์ด้วยแสงคืออะไร"]
+    find = decontaminate.finder(decontaminate.Index(list(enumerate(items))))
+    for k, item in enumerate(items):
+        for lead in range(6):
+            texts = [f"{prose(10 + lead, lead)} {item} {prose(20, 30)}"]
+            if not item.isascii():
+                texts.append("我们今天学习的内容" * lead + item + "以及其他的内容")
+            if item == "banana":
+                texts.append(f"{prose(10 + lead, lead)} banxna {prose(20, 30)}")
+            for hits in find(texts):
+                assert k in {h[0] for h in hits}, (item, lead)
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",

@@ -14,6 +14,10 @@ WALKS = 3  # independent embeddings
 BANDS = 10  # samples of each embedding
 SAMPLED = 12  # embedded characters in a sample
 STRIDE = 2  # words between the windows of a document; items have a window at every word
+LEAST_WINDOWS = 4  # of each item of a length class, or else documents have one at every word too
+SHORT = 12  # characters; shorter items are found by exact pieces
+LONG_RUN = 32  # characters without white space that have a window at each
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 BLOCK_CHARS = 1 << 25  # characters of benchmark that one pass over the documents looks for
 CHUNK = 1 << 15  # windows that are walked together
 SEED = 20
@@ -24,10 +28,14 @@ def normalise(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def coded(parts: list[str]) -> np.ndarray:
-    """Characters as one byte from 1 to 255 each; a 0 behind every text."""
+def characters(parts: list[str]) -> np.ndarray:
+    """Code points of all texts; a 0 behind every text."""
     joined = "\0".join([*(p.replace("\0", " ") for p in parts), ""])
-    raw = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def coded(raw: np.ndarray) -> np.ndarray:
+    """Characters as one byte from 1 to 255 each, 0 as it is."""
     with np.errstate(over="ignore"):
         mixed = (raw * np.uint32(2654435761)) >> np.uint32(16)
     return np.where(raw == 0, 0, mixed % 255 + 1).astype(np.uint8)
@@ -73,10 +81,29 @@ class Embedding:
         return out
 
 
-def word_starts(codes: np.ndarray) -> np.ndarray:
-    space = coded([" "])[0]
-    edge = (codes == space) | (codes == 0)
-    return np.flatnonzero(~edge & np.concatenate(([True], edge[:-1])))
+def window_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows start, in order, and which of these start only for want of spaces.
+
+    They start at every word, and at every character of scripts without spaces and of long runs.
+    """
+    edge = (raw == 32) | (raw == 0)
+    word = ~edge & np.concatenate(([True], edge[:-1]))
+    dense = np.zeros(len(raw), bool)
+    if len(raw) and raw.max() >= UNSPACED[0][0]:
+        for low, high in UNSPACED:
+            dense |= (raw >= low) & (raw <= high)
+    begins, ends = np.flatnonzero(word), np.flatnonzero(edge & ~np.concatenate(([True], edge[:-1])))
+    for k in np.flatnonzero(ends - begins > LONG_RUN):
+        dense[begins[k] : ends[k]] = True
+    starts = np.flatnonzero(word | dense)
+    return starts, dense[starts]
+
+
+def pieces(text: str):
+    """Parts of a short item with their places: one is left whole by any edits allowed."""
+    n = int(len(text) * (1 - SIMILARITY) + 1e-9) + 1
+    edges = [len(text) * k // n for k in range(n + 1)]
+    return [(low, text[low:high]) for low, high in zip(edges, edges[1:])]
 
 
 def steps_for(length: int) -> int:
@@ -93,20 +120,25 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [(i, normalise(t)) for i, t in items if t and t.strip()]
         self.classes = []
+        self.short = [(n, pieces(t)) for n, (_, t) in enumerate(self.items) if len(t) < SHORT]
         by_steps = defaultdict(list)
         for n, (_, text) in enumerate(self.items):
+            if len(text) < SHORT:
+                continue
             by_steps[steps_for(len(text))].append(n)
         for steps, members in by_steps.items():
             embedding = Embedding(steps)
-            codes = coded([self.items[n][1] for n in members])
+            raw = characters([self.items[n][1] for n in members])
+            codes = coded(raw)
             lengths = np.array([len(self.items[n][1]) for n in members])
             ends = np.cumsum(lengths + 1)
             begins = ends - lengths - 1
-            starts = word_starts(codes)
+            starts, _ = window_starts(raw)
             owner = np.searchsorted(ends, starts, side="right")
             offset = starts - begins[owner]
             useful = (offset == 0) | (lengths[owner] - offset >= 0.7 * steps)
             starts, owner, offset = starts[useful], owner[useful], offset[useful]
+            few = np.bincount(owner, minlength=len(members)).min() < LEAST_WINDOWS
             tables = []
             for walk in range(WALKS):
                 for keys in embedding.keys(codes, starts, walk):
@@ -114,14 +146,18 @@ class Index:
                     seen = np.zeros(1 << 18, bool)
                     seen[(keys >> np.uint64(40)) & np.uint64((1 << 18) - 1)] = True
                     tables.append((seen, keys[order], np.array(members)[owner[order]], offset[order]))
-            self.classes.append((embedding, tables))
+            self.classes.append((embedding, tables, 1 if few else STRIDE))
+
+    def candidates(self, codes: np.ndarray, starts: np.ndarray, nth: np.ndarray):
+        """Pairs (window start, item, offset in the item) that share a key.
 
-    def candidates(self, codes: np.ndarray, starts: np.ndarray):
-        """Pairs (window start, item, offset in the item) that share a key."""
+        ``nth`` is a start's number among its document's words, 0 if it must not be left out.
+        """
         found = set()
-        for embedding, tables in self.classes:
-            for low in range(0, len(starts), CHUNK):
-                part = starts[low : low + CHUNK]
+        for embedding, tables, stride in self.classes:
+            probed = starts[nth % stride == 0]
+            for low in range(0, len(probed), CHUNK):
+                part = probed[low : low + CHUNK]
                 for walk in range(WALKS):
                     for band, keys in enumerate(embedding.keys(codes, part, walk)):
                         seen, table, items, offsets = tables[walk * BANDS + band]
@@ -169,16 +205,24 @@ def finder(index: Index):
 
     def find(batch: list[str]) -> list[list[tuple]]:
         normal = [normalise(t) for t in batch]
-        codes = coded(normal)
+        raw = characters(normal)
+        codes = coded(raw)
         lengths = np.array([len(t) for t in normal], np.int64)
         ends = np.cumsum(lengths + 1)
         begins = ends - lengths - 1
-        starts = word_starts(codes)
-        owner = np.searchsorted(ends, starts, side="right")
-        nth = np.arange(len(starts)) - np.searchsorted(starts, begins)[owner]
-        starts = starts[nth % STRIDE == 0]
+        starts, dense = window_starts(raw)
+        words = np.concatenate(([0], np.cumsum(~dense)))
+        nth = words[:-1] - words[np.searchsorted(starts, begins)][np.searchsorted(ends, starts, side="right")]
+        nth[dense] = 0
         places = defaultdict(set)
-        for at, item, offset in index.candidates(codes, starts):
+        for item, parts in index.short:
+            for doc, body in enumerate(normal):
+                for offset, part in parts:
+                    at = body.find(part)
+                    while at >= 0:
+                        places[doc, item].add(at - offset)
+                        at = body.find(part, at + 1)
+        for at, item, offset in index.candidates(codes, starts, nth):
             doc = int(np.searchsorted(ends, at, side="right"))
             places[doc, item].add(at - int(begins[doc]) - offset)
         out = [[] for _ in batch]
