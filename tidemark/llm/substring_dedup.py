@@ -1,4 +1,4 @@
-"""Repeated passages: word suffixes in memory-sized groups by prefix, a suffix tree for each."""
+"""Repeated passages: windows in memory-sized groups by minimiser, numbered in each group."""
 
 from hashlib import blake2b, sha256
 
@@ -157,7 +157,7 @@ def spans(rows: DataFrame) -> DataFrame:
 
 
 def depth_nodes(words: np.ndarray) -> np.ndarray:
-    """The suffix tree's node at depth ``WINDOW`` for each suffix with so many words.
+    """A number of the first ``WINDOW`` words, by prefix doubling, for each suffix with so many words.
 
     Nodes at depth 1, 2, 4, ... are numbered from pairs of nodes at half that depth, and the
     last from two that overlap: suffixes share a node if and only if they share that prefix.
