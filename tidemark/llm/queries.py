@@ -2,7 +2,21 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, langid, licenses, lm, packing, pii, simhash, substring_dedup, toxicity
+from tidemark.llm import (
+    conversations,
+    curriculum,
+    decontaminate,
+    exact_dedup,
+    langid,
+    licenses,
+    lm,
+    packing,
+    pii,
+    simhash,
+    substring_dedup,
+    toxicity,
+    variants,
+)
 from tidemark.llm.common import read
 from tidemark.session import configure
 
@@ -86,3 +100,21 @@ def op9_packing(spark, folder):
 @query
 def op10_simhash(spark, folder):
     return simhash.simhash_groups(read(spark, folder))
+
+
+@query
+def op11_conversation_repair(spark, folder):
+    return conversations.repair(read(spark, folder, "conversations"))
+
+
+@query
+def op12_curriculum(spark, folder):
+    return curriculum.mix(read(spark, folder))
+
+
+ORACLES["op12_curriculum"] = curriculum.oracle()
+
+
+@query
+def op13_spelling_variants(spark, folder):
+    return variants.variants(read(spark, folder))
