@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions import columns as C
-from tidemark.operators import features, metrics, models, scoring
+from tidemark.operators import features, metrics, models, scoring, split
 from tidemark.plans import inference, training
 from tidemark.sources.files import load_model, read_requests
 
@@ -133,6 +133,122 @@ def test_every_family_finds_the_planted_signal(prepared, candidate):
     assert row["roc_auc"] > 0.78 and row["accuracy"] > 0.68
 
 
+TREES = [
+    models.Candidate("rf", "random_forest", {"n_estimators": 12, "max_depth": 7}),
+    models.Candidate(
+        "gb", "gradient_boosting", {"n_estimators": 8, "learning_rate": 0.1, "max_depth": 3}
+    ),
+]
+
+
+def fitted_scores(spark, path, candidates=TREES):
+    prepared = training.prepare(spark.read.parquet(path), keep=S.IDS)
+    scores = training.score_all(
+        prepared.test, candidates, training.fit_all(prepared, candidates), keep=S.IDS
+    )
+    return {(r["run_name"], r["AppointmentID"]): r["p"] for r in scores.collect()}
+
+
+def test_trees_are_the_same_for_the_same_rows_in_other_files(spark, gold, tmp_path):
+    """One file and six, whose rows stand elsewhere and in another order, a third being copies."""
+    copies = gold.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2500)))).drop("n")
+    rows = gold.unionByName(copies)
+    paths = [str(tmp_path / "one"), str(tmp_path / "six")]
+    rows.coalesce(1).write.parquet(paths[0])
+    rows.orderBy(F.rand(3)).repartition(6).write.parquet(paths[1])
+    one, six = (fitted_scores(spark, path) for path in paths)
+    assert one.keys() == six.keys() and len(set(one.values())) > 100
+    forest = [key for key in one if key[0] == "rf"]
+    assert [one[k] for k in forest] == [six[k] for k in forest]
+    assert max(abs(one[k] - six[k]) for k in one) < 1e-12
+
+
+def test_rows_in_fixed_order_are_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(split, "COPIES_PER_CHUNK", 10)
+    rows = [(i % 7, str(i % 3), 0.5) for i in range(200)] + [(1, None, None)] * 95
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    monkeypatch.setattr(split, "fixed_partitions", lambda n: 4)
+    placed = [
+        split.in_fixed_order(d, len(rows)).withColumn("at", F.spark_partition_id())
+        for d in (df.coalesce(1), df.orderBy(F.rand(1)).repartition(9))
+    ]
+    first, again = ([tuple(r) for r in d.collect()] for d in placed)
+    assert first == again and len({r[-1] for r in first}) > 1
+    assert sorted(map(str, (r[:-1] for r in first))) == sorted(map(str, rows))
+
+
+@pytest.mark.parametrize("rows, wanted", [(0, 1), (1, 1), (20_001, 2), (10**7, 200), (10**10, 5000)])
+def test_fixed_partitions_follow_the_rows(rows, wanted):
+    assert split.fixed_partitions(rows) == wanted
+
+
+def test_exact_weights_sum_alike_in_any_order():
+    weights = split.exact_weights({0: 0.6261, 1: 2.4833}, 1_000_000)
+    assert weights[0] == pytest.approx(0.6261, rel=1e-8)
+    drawn = [weights[i % 3 == 0] * (1 + i % 5) for i in range(100_000)]
+    assert sum(drawn) == sum(reversed(drawn)) == sum(sorted(drawn))
+
+
+def test_splits_tell_all_values_apart(spark, gold):
+    assert models.splits_needed(gold) == 92  # ages 0 to 90
+    wide = gold.withColumn("days_until_appointment", F.col("AppointmentID").cast("int") * 5)
+    assert models.splits_needed(wide) == models.MOST_SPLITS
+    assert models.splits_needed(gold.limit(0)) == 32
+
+
+def test_first_rounds_equal_a_shorter_fit(spark, prepared, tmp_path):
+    def boosted(rounds, rate=0.1):
+        params = {"n_estimators": rounds, "learning_rate": rate, "max_depth": 3}
+        return models.Candidate(f"gb_{rounds}_{rate}", "gradient_boosting", params)
+
+    wanted = [boosted(6), boosted(2), boosted(4, 0.2), boosted(4)]
+    assert sorted(map(sorted, training.families(wanted))) == [[0, 1, 3], [2]]
+    together = training.fit_all(prepared, wanted)
+    assert [m.getNumTrees for m in together] == [6, 2, 4, 4]
+    for candidate, cut in zip(wanted, together):
+        path = str(tmp_path / candidate.run_name)
+        models.assemble(prepared.encoding, cut).write().save(path)
+        alone = training.fit(prepared, candidate).transform(prepared.test)
+        saved = load_model(path).stages[-1].transform(prepared.test)
+        p = vector_to_array("probability")[1].alias("p")
+        assert sorted(map(tuple, alone.select("AppointmentID", p).collect())) == sorted(
+            map(tuple, saved.select("AppointmentID", p).collect())
+        )
+    with pytest.raises(ValueError, match="2 rounds"):
+        models.first_rounds(together[1], 3)
+
+
+def test_tree_nodes_predict_like_the_model(spark, prepared, tmp_path):
+    """A saved forest's nodes as rows lead every test row to the model's probability."""
+    candidate = models.Candidate("rf", "random_forest", {"n_estimators": 3, "max_depth": 4})
+    forest, path = training.fit(prepared, candidate), str(tmp_path / "forest")
+    forest.write().save(path)
+    names = models.feature_names(prepared.encoding)
+    nodes = {(r["tree"], r["node"]): r for r in models.tree_nodes(spark, path, names).collect()}
+    rows = forest.transform(prepared.test).select(
+        vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p")
+    )
+    for x, p in rows.limit(200).collect():
+        total = 0.0
+        for tree in range(3):
+            at = nodes[tree, 0]
+            while at["feature"] is not None:
+                low = x[names.index(at["feature"])] <= at["threshold"]
+                at = nodes[tree, at["low"] if low else at["high"]]
+            total += at["stats"][1] / sum(at["stats"])
+        assert p == pytest.approx(total / 3)
+
+
+def test_gradient_is_zero_at_the_fit_and_not_beside_it(spark, prepared):
+    fitted = training.fit(prepared, models.Candidate("r", "logistic_regression", {"C": 0.01}))
+    row = models.loss_gradient(fitted, prepared.train).first()
+    coefficients = [*fitted.coefficients.toArray(), 0.0]
+    assert row["scale"][:-1] == [1.0] * 6 + [90.0, 1, 1, 1, 1, 4, 1, 29, 2]
+    for c, zero in ((0.01, True), (0.02, False)):
+        gradient = [g + b / (c * prepared.train_rows) for g, b in zip(row["gradient"], coefficients)]
+        assert (max(abs(g / s) for g, s in zip(gradient, row["scale"])) < 1e-7) == zero
+
+
 def test_scoring_many_reads_once_and_equals_scoring_each(spark, prepared):
     candidates = [
         models.Candidate("a", "logistic_regression", {"C": 1}),

@@ -240,6 +240,102 @@ def _moments() -> str:
     return " UNION ALL ".join(lines)
 
 
+LEVELS = [("Gender", "Female"), ("Gender", "Male")] + [
+    ("age_group", level) for level in ("adult", "child", "senior", "young_adult")
+]
+ENCODED = {f"{c}={v}": f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END" for c, v in LEVELS} | {
+    c: c for c in NUMERIC
+}
+
+
+def _stump(left: str, right: str, impurity: str, value: str, digits: int) -> str:
+    """The best single split by prefix sums over every feature's values.
+
+    A value's rows have two sums, ``left`` and ``right``; ``impurity`` and ``value`` are
+    formulas of a side's sums a and b.
+    """
+    counted = " UNION ALL ".join(
+        f"SELECT {k} AS k, '{name}' AS feature, CAST({value_of} AS DOUBLE) AS v, "
+        f"sum({left}) AS a, sum({right}) AS b FROM weighted GROUP BY v"
+        for k, (name, value_of) in enumerate(ENCODED.items())
+    )
+
+    def of(formula: str, a: str, b: str) -> str:
+        return "(" + formula.replace("{a}", f"({a})").replace("{b}", f"({b})") + ")"
+
+    return f"""
+class_sizes AS (
+  SELECT no_show, CAST(sum(count(*)) OVER () AS DOUBLE) / (2 * count(*)) AS w
+  FROM split_rows WHERE split = 'train' GROUP BY no_show
+),
+weighted AS (
+  SELECT s.*, w FROM split_rows s JOIN class_sizes USING (no_show) WHERE split = 'train'
+),
+counted AS ({counted}),
+prefixes AS (
+  SELECT k, feature, v, (v + lead(v) OVER up) / 2 AS threshold, lead(v) OVER up AS after,
+         sum(a) OVER (up ROWS UNBOUNDED PRECEDING) AS la,
+         sum(b) OVER (up ROWS UNBOUNDED PRECEDING) AS lb,
+         sum(a) OVER (PARTITION BY k) AS ta, sum(b) OVER (PARTITION BY k) AS tb
+  FROM counted WINDOW up AS (PARTITION BY k ORDER BY v)
+),
+gains AS (
+  SELECT *, {of(impurity, "ta", "tb")}
+    - (la + lb) / (ta + tb) * {of(impurity, "la", "lb")}
+    - (ta + tb - la - lb) / (ta + tb) * {of(impurity, "ta - la", "tb - lb")} AS gain
+  FROM prefixes WHERE after IS NOT NULL
+),
+best AS (SELECT * FROM gains ORDER BY round(gain, 12) DESC, k, threshold LIMIT 1)
+SELECT 'both' AS side, feature, threshold, round(gain, 9) AS gain, round(ta + tb, {digits}) AS weight,
+  round({of(value, "ta", "tb")}, 9) AS "value" FROM best
+UNION ALL SELECT 'low', NULL, NULL, NULL, round(la + lb, {digits}), round({of(value, "la", "lb")}, 9) FROM best
+UNION ALL SELECT 'high', NULL, NULL, NULL, round(ta + tb - la - lb, {digits}),
+  round({of(value, "ta - la", "tb - lb")}, 9) FROM best"""
+
+
+GINI = "1 - ({a} * {a} + {b} * {b}) / (({a} + {b}) * ({a} + {b}))"
+# Of -1 and +1: the mean square is one.
+VARIANCE = "1 - (({b} - {a}) / ({a} + {b})) * (({b} - {a}) / ({a} + {b}))"
+
+
+def _records(candidates: list[tuple]) -> str:
+    """Run records of (name, family, parameters)."""
+    values = ", ".join(
+        f"({seq}, '{name}', '{family}', '{params}')"
+        for seq, (name, family, params) in enumerate(candidates)
+    )
+    return f"""SELECT *, 1 AS accuracy_holds, 1 AS roc_auc_holds, 1 AS precision_holds,
+          1 AS recall_holds, 1 AS f1_score_holds, 1 AS listed, 1 AS best_holds
+        FROM (VALUES {values}) AS grid(seq, run_name, model_type, params)"""
+
+
+def _forest(trees, depth):
+    return "random_forest", f"max_depth={depth};n_estimators={trees}"
+
+
+def _boosted(rounds, rate):
+    return "gradient_boosting", f"learning_rate={rate};max_depth=3;n_estimators={rounds}"
+
+
+WHOLE_GRID = [
+    ("lr_c_0_01", "logistic_regression", "C=0.01"),
+    ("lr_c_0_1", "logistic_regression", "C=0.1"),
+    ("lr_c_1", "logistic_regression", "C=1"),
+    ("lr_c_10", "logistic_regression", "C=10"),
+    ("lr_c_100", "logistic_regression", "C=100"),
+    ("rf_50_depth_5", *_forest(50, 5)),
+    ("rf_100_depth_8", *_forest(100, 8)),
+    ("rf_200_depth_10", *_forest(200, 10)),
+    ("rf_300_depth_12", *_forest(300, 12)),
+    ("rf_500_depth_none", *_forest(500, 30)),
+    ("gb_50_lr_0_1_depth_3", *_boosted(50, 0.1)),
+    ("gb_100_lr_0_1_depth_3", *_boosted(100, 0.1)),
+    ("gb_200_lr_0_1_depth_3", *_boosted(200, 0.1)),
+    ("gb_100_lr_0_05_depth_3", *_boosted(100, 0.05)),
+    ("gb_100_lr_0_2_depth_3", *_boosted(100, 0.2)),
+]
+
+
 ORACLES = {
     "bronze_roundtrip": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
     "csv_scan": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
@@ -339,13 +435,22 @@ ORACLES = {
     "gbt_scores_checked": f"""WITH {SPLIT_TRAINING}
         SELECT PatientId, AppointmentID, 'gb_10_lr_0_1_depth_3' AS run_name, no_show AS label,
           1 AS is_probability FROM split_rows WHERE split = 'test'""",
-    "grid_records": """SELECT *, 1 AS accuracy_holds, 1 AS roc_auc_holds, 1 AS precision_holds,
-          1 AS recall_holds, 1 AS f1_score_holds, 1 AS listed, 1 AS best_holds
-        FROM (VALUES (0, 'lr_c_1', 'logistic_regression', 'C=1'),
-          (1, 'rf_20_depth_5', 'random_forest', 'max_depth=5;n_estimators=20'),
-          (2, 'gb_10_lr_0_1_depth_3', 'gradient_boosting',
-            'learning_rate=0.1;max_depth=3;n_estimators=10'))
-        AS grid(seq, run_name, model_type, params)""",
+    "grid_records": _records(
+        [
+            ("lr_c_1", "logistic_regression", "C=1"),
+            ("rf_20_depth_5", *_forest(20, 5)),
+            ("gb_10_lr_0_1_depth_3", *_boosted(10, 0.1)),
+        ]
+    ),
+    "grid_whole": _records(WHOLE_GRID),
+    "rf_stump_checked": f"""WITH {SPLIT_TRAINING},
+        {_stump("w * (1 - no_show)", "w * no_show", GINI, "{b} / ({a} + {b})", 3)}""",
+    "gbt_stump_checked": f"""WITH {SPLIT_TRAINING},
+        {_stump("CAST(1 - no_show AS DOUBLE)", "CAST(no_show AS DOUBLE)", VARIANCE, "({b} - {a}) / ({a} + {b})", 0)}""",
+    "lr_gradient_checked": " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, CAST(0 AS DOUBLE) AS gradient, '1' AS zero_for"
+        for name in [*ENCODED, "(intercept)"]
+    ),
     "train_report_checked": f"""WITH {SPLIT_TRAINING},
         test AS (SELECT count(*) AS n, count(*) FILTER (no_show = 1) AS pos
           FROM split_rows WHERE split = 'test')

@@ -25,6 +25,16 @@ SMALL_GB = models.Candidate(
     "gradient_boosting",
     {"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3},
 )
+RF_STUMP = models.Candidate(
+    "rf_stump",
+    "random_forest",
+    {"n_estimators": 1, "max_depth": 1, "max_features": "all", "bootstrap": False},
+)
+GB_STUMP = models.Candidate(
+    "gb_stump", "gradient_boosting", {"n_estimators": 1, "learning_rate": 0.1, "max_depth": 1}
+)
+GRADIENT_DIGITS = 7
+GRID_FIT_ROWS = 5000  # labelled rows that each of the 15 candidates is fitted on, about
 IN_EXPERIMENT = "3-MEDIUM"
 AGE_GROUPS = ["child", "young_adult", "adult", "senior"]
 
@@ -433,6 +443,90 @@ def gbt_scores_checked(spark, folder):
     return checked_scores(gbt_scores(spark, folder))
 
 
+def stump_nodes(spark, folder, candidate):
+    """The nodes of a single split, fitted on the training rows and saved, by ``side``."""
+    prepared = training.prepare(gold_rows(spark, folder))
+    path = scratch_path(spark, "stump")
+    training.fit(prepared, candidate).write().save(path)
+    nodes = models.tree_nodes(spark, path, models.feature_names(prepared.encoding))
+    low = F.max("low").over(Window.partitionBy("tree"))
+    side = F.when(F.col("feature").isNotNull(), "both").when(F.col("node") == low, "low")
+    return nodes.withColumn("side", side.otherwise("high"))
+
+
+@query
+def rf_stump_checked(spark, folder):
+    """A forest's best split by weighted Gini impurity, and the weighted share of positives."""
+    nodes = stump_nodes(spark, folder, RF_STUMP)
+    no, yes = F.get("stats", F.lit(0)), F.get("stats", F.lit(1))
+    return nodes.select(
+        "side",
+        "feature",
+        "threshold",
+        F.round("gain", 9).alias("gain"),
+        F.round(no + yes, 3).alias("weight"),
+        F.round(yes / (no + yes), 9).alias("value"),
+    )
+
+
+@query
+def gbt_stump_checked(spark, folder):
+    """Boosting's first split by squared error on -1 and +1, and the means on both sides."""
+    nodes = stump_nodes(spark, folder, GB_STUMP)
+    return nodes.select(
+        "side",
+        "feature",
+        "threshold",
+        F.round("gain", 9).alias("gain"),
+        F.get("stats", F.lit(0)).alias("weight"),
+        F.round("prediction", 9).alias("value"),
+    )
+
+
+@query
+def lr_gradient_checked(spark, folder):
+    """The penalised gradient at the fitted coefficients, as one aggregate over the rows.
+
+    Per feature: the gradient of the mean loss plus penalty, by the feature's largest value,
+    zero at the optimum of this strength. ``zero_for`` lists the grid's strengths for which every gradient is zero: a fit
+    by another strength would be caught.
+    """
+    prepared = training.prepare(gold_rows(spark, folder))
+    model = training.fit(prepared, SMALL_LR)
+    names = [*models.feature_names(prepared.encoding), "(intercept)"]
+    coefficients = [*map(float, model.coefficients), 0.0]  # the intercept has no penalty
+    gaps = models.loss_gradient(model, prepared.train)
+    strengths = [c.params["C"] for c in models.GRID if c.model_type == "logistic_regression"]
+
+    def gradient(strength):
+        penalties = F.array(*[F.lit(b / (strength * prepared.train_rows)) for b in coefficients])
+        slopes = F.zip_with("gradient", penalties, lambda g, b: g + b)
+        relative = F.zip_with(slopes, "scale", lambda g, most: g / F.greatest(most, F.lit(1.0)))
+        return F.transform(relative, lambda g: F.abs(F.round(g, GRADIENT_DIGITS)))
+
+    zero_for = F.concat(
+        *[
+            F.when(F.array_max(gradient(c)) == 0, F.array(F.lit(str(c)))).otherwise(F.array())
+            for c in strengths
+        ]
+    )
+    own = F.arrays_zip(
+        F.array(*[F.lit(n) for n in names]).alias("feature"),
+        gradient(SMALL_LR.params["C"]).alias("gradient"),
+    )
+    return gaps.select(F.array_join(zero_for, ",").alias("zero_for"), F.explode(own).alias("row")).select(
+        "row.feature", "row.gradient", "zero_for"
+    )
+
+
+@query
+def grid_whole(spark, folder):
+    """All 15 candidates through training, comparison and records."""
+    out = scratch_path(spark, "experiment")
+    training.train_grid(gold_rows(spark, folder), out, parallelism=5, fit_rows=GRID_FIT_ROWS)
+    return records_checked(spark, out)
+
+
 def grid_out(spark, folder):
     out = scratch_path(spark, "experiment")
     training.train_grid(
@@ -444,7 +538,10 @@ def grid_out(spark, folder):
 @query
 def grid_records(spark, folder):
     """Run records and leaderboard file of a grid, without what a fit decides."""
-    out = grid_out(spark, folder)
+    return records_checked(spark, grid_out(spark, folder))
+
+
+def records_checked(spark, out):
     runs = registry.read_runs(spark, f"{out}/runs")
     listed = spark.read.option("header", True).csv(f"{out}/leaderboard")
     best = registry.read_registry(spark, f"{out}/registry").select("run_id").withColumn("best", F.lit(1))

@@ -4,18 +4,22 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 
 UNLIMITED_DEPTH = 30  # the deepest tree Spark ML grows
-# Candidate splits of a feature: above the distinct ages and the days of a year ahead, so that
-# every value is tried; longer waits share a few bins.
-SPLITS = 512
+# Candidate splits of a feature: as many as tell all its values apart, up to so many. Beyond
+# that, which days up to 27 years ahead don't reach, neighbouring values share a split.
+MOST_SPLITS = 10_000
 
 
 @dataclass(frozen=True)
@@ -98,7 +102,7 @@ def in_force(params: dict) -> dict:
     return {k: UNLIMITED_DEPTH if k == "max_depth" and v is None else v for k, v in params.items()}
 
 
-def _logistic_regression(params: dict, rows: int) -> Estimator:
+def _logistic_regression(params: dict, rows: int, splits: int) -> Estimator:
     """L2 with inverse strength ``C`` on the summed loss.
 
     Spark divides the loss by the weight total, which for balanced weights is ``rows``.
@@ -113,24 +117,26 @@ def _logistic_regression(params: dict, rows: int) -> Estimator:
     )
 
 
-def _random_forest(params: dict, rows: int) -> Estimator:
+def _random_forest(params: dict, rows: int, splits: int) -> Estimator:
+    """``max_features`` (sqrt) and ``bootstrap`` (true) are optional."""
     return RandomForestClassifier(
         numTrees=params["n_estimators"],
         maxDepth=in_force(params)["max_depth"],
-        maxBins=SPLITS,
-        featureSubsetStrategy="sqrt",
+        maxBins=splits,
+        featureSubsetStrategy=params.get("max_features", "sqrt"),
+        bootstrap=params.get("bootstrap", True),
         weightCol="class_weight",
         cacheNodeIds=True,  # late levels need not walk from the root
         seed=S.SEED,
     )
 
 
-def _gradient_boosting(params: dict, rows: int) -> Estimator:
+def _gradient_boosting(params: dict, rows: int, splits: int) -> Estimator:
     return GBTClassifier(
         maxIter=params["n_estimators"],
         stepSize=params["learning_rate"],
         maxDepth=params["max_depth"],
-        maxBins=SPLITS,
+        maxBins=splits,
         seed=S.SEED,
     )
 
@@ -142,14 +148,114 @@ BUILDERS = {
 }
 
 
-def estimator(model_type: str, params: dict, rows: int, label: str = S.LABEL) -> Estimator:
-    """An unfitted classifier over ``features``; ``rows`` is the size of the training part."""
+# Families that draw rows, or samples for their splits, by partition and position.
+DRAWS_ROWS = {"random_forest", "gradient_boosting"}
+
+
+def splits_needed(train: DataFrame) -> int:
+    """Splits that tell every value of every feature apart: features are whole numbers, so the
+    widest one's span is enough. One aggregate; at least Spark's 32."""
+    spans = [(F.max(c) - F.min(c) + 2) for c in S.NUMERIC]
+    span = train.agg(F.greatest(*spans)).first()[0] or 0
+    return min(max(span, 32), MOST_SPLITS)
+
+
+def estimator(
+    model_type: str, params: dict, rows: int, label: str = S.LABEL, splits: int = 512
+) -> Estimator:
+    """An unfitted classifier over ``features``; ``rows`` is the size of the training part.
+
+    Trees try ``splits`` values of a feature at most, see ``splits_needed``.
+    """
     if model_type not in BUILDERS:
         raise ValueError(f"{model_type!r} is none of {sorted(BUILDERS)}")
-    built = BUILDERS[model_type](params, rows)
+    built = BUILDERS[model_type](params, rows, splits)
     return built.setFeaturesCol("features").setLabelCol(label)
 
 
+def shares_fit(candidate: Candidate):
+    """What candidates have in common whose models are cuts of one fit.
+
+    Boosting adds one tree after another, so fewer rounds at the same rate and depth are the
+    first trees of more. None for a candidate that stands alone.
+    """
+    if candidate.model_type != "gradient_boosting":
+        return None
+    others = {k: v for k, v in candidate.params.items() if k != "n_estimators"}
+    return (candidate.model_type, *sorted(others.items()))
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The boosted model as it was after so many rounds."""
+    if rounds > model.getNumTrees:
+        raise ValueError(f"the model has {model.getNumTrees} rounds, not {rounds}")
+    java, jvm = model._java_obj, SparkSession.active().sparkContext._jvm
+    trees = java.trees()
+    own = SparkSession.active().sparkContext._gateway
+    kept = own.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = own.new_array(own.jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], weights[i] = trees[i], model.treeWeights[i]
+    shorter = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{model.uid}_{rounds}", kept, weights
+    )
+    return model._copyValues(GBTClassificationModel(shorter))
+
+
+def loss_gradient(model, encoded: DataFrame, label: str = S.LABEL) -> DataFrame:
+    """The mean weighted loss's ``gradient`` at a fitted regression, intercept last: one row.
+
+    ``scale`` has each feature's largest absolute value, by which gradients compare.
+    ``encoded`` has features, label and class weight. Sums fold inside each task, so one row
+    per task travels.
+    """
+    p = vector_to_array("probability")[1]
+    scored = model.transform(encoded).select(
+        vector_to_array("features").alias("x"),
+        (F.col("class_weight") * (p - F.col(label))).alias("gap"),
+        "class_weight",
+    )
+    places = [F.get("x", F.lit(i)) for i in range(model.numFeatures)] + [F.lit(1.0)]
+    weight = F.sum("class_weight")
+    return scored.agg(
+        F.array(*[F.sum(x * F.col("gap")) / weight for x in places]).alias("gradient"),
+        F.array(*[F.max(F.abs(x)) for x in places]).alias("scale"),
+    )
+
+
+def feature_names(encoding: PipelineModel) -> list[str]:
+    """Names of the vector's places: a level for every one-hot place, else the column."""
+    levels = encoding.stages[0].labelsArray
+    return [f"{c}={v}" for c, found in zip(S.CATEGORICAL, levels) for v in found] + S.NUMERIC
+
+
+def tree_nodes(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Nodes of a saved forest or boosted model, one row each.
+
+    ``tree`` and ``node``; inner nodes have ``feature``, ``threshold`` (values up to it go to
+    ``low``, others to ``high``) and ``gain``, leaves have NULL there. One-hot places are two
+    categories to Spark, either of which may be the left one; here they are split at one half.
+    ``stats`` are the node's class weights, in boosting count, sum and sum of squares;
+    ``prediction`` is its own. Spark merges leaves side by side that predict the same class.
+    """
+    nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    first = F.get("split.leftCategoriesOrThreshold", F.lit(0))
+    two_way = F.col("split.numCategories") > 0
+    swapped = two_way & (first == 1)
+    return nodes.select(
+        "tree",
+        F.col("id").alias("node"),
+        F.when(inner, F.get(F.array(*[F.lit(n) for n in names]), F.col("split.featureIndex"))).alias("feature"),
+        F.when(inner, F.when(two_way, F.lit(0.5)).otherwise(first)).alias("threshold"),
+        F.when(inner, F.col("gain")).alias("gain"),
+        F.when(inner, F.when(swapped, F.col("rightChild")).otherwise(F.col("leftChild"))).alias("low"),
+        F.when(inner, F.when(swapped, F.col("leftChild")).otherwise(F.col("rightChild"))).alias("high"),
+        "prediction",
+        F.col("impurityStats").alias("stats"),
+    )
+
+
 def assemble(encoding: PipelineModel, classifier) -> PipelineModel:
     """Encoding and classifier as one artifact that scores raw feature columns."""
     return PipelineModel(stages=[*encoding.stages, classifier])

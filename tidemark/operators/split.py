@@ -169,15 +169,39 @@ def _deal(copies: DataFrame, columns: list[str], label: str, take: Column) -> Da
     return _repeat(parts, [*columns, "split"])
 
 
-def _repeat(counted: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row ``n`` times, in chunks spread over the tasks."""
+def in_fixed_order(df: DataFrame, rows: int) -> DataFrame:
+    """The same rows in the same partitions and order, whatever files they come from.
+
+    Anything drawn by partition and position, as Spark ML draws its bootstrap samples, then
+    depends on values alone. Their number follows ``rows``, the size of ``df``; copies of one
+    row are counted and dealt out again in chunks, so that they need no single partition.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    return _repeat(counted, df.columns, fixed_partitions(rows))
+
+
+def fixed_partitions(rows: int) -> int:
+    """A number of partitions that rows decide and no setting: 20,000 rows each in small
+    tables, which keeps a machine busy, and two million in large ones."""
+    return max(1, min(-(-rows // 20_000), 200), -(-rows // 2_000_000))
+
+
+def _repeat(counted: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
+    """Each row ``n`` times, in chunks spread over the tasks.
+
+    With ``partitions`` there are so many, each in the order of the rows' values.
+    """
     size = F.lit(COPIES_PER_CHUNK).cast("bigint")
     chunks = (
         counted.filter("n > 0")
         .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, size)))
         .withColumn("_rows", F.least(size, F.col("n") - F.col("_from")))
     )
-    spread = chunks.repartition(*[F.col(f"`{c}`") for c in columns], F.col("_from"))
+    keys = [*[F.col(f"`{c}`") for c in columns], F.col("_from")]
+    if partitions:
+        spread = chunks.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    else:
+        spread = chunks.repartition(*keys)
     return spread.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_rows")))
     ).select(*columns)
@@ -197,6 +221,16 @@ def class_weights(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     )
 
 
+def exact_weights(weights: dict, rows: int) -> dict:
+    """Weights as multiples of a power of two so small that sums over ``rows`` rows are exact.
+
+    Sums then don't depend on the order in which tasks deliver their parts. A weight changes
+    by some 1e-15 times the number of rows.
+    """
+    step = 2.0 ** (math.ceil(math.log2(max(rows, 1))) + 3 - 53)
+    return {label: round(weight / step) * step for label, weight in weights.items()}
+
+
 def with_class_weight(df: DataFrame, weights: dict, label: str = S.LABEL) -> DataFrame:
     """Attach the class's weight to every row; ``weights`` is keyed by class."""
     return df.withColumn("class_weight", by_class(label, weights).cast("double"))

@@ -3,8 +3,9 @@
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ class Prepared:
     encoding: PipelineModel
     weights: dict
     train_rows: int
+    splits: int
     fit_rows: int | None = None
 
     def rows(self, part: str) -> DataFrame:
@@ -38,16 +40,40 @@ class Prepared:
         return self.split_rows.filter(F.col("split") == part).drop("split", *unwanted)
 
     @property
-    def train(self) -> DataFrame:
-        """Encoded and weighted. Encoding is narrow and the vectors are wider than the rows,
-        so every fit encodes as it reads; Spark ML keeps its own working copy."""
-        rows = self.split_rows.filter(F.col("split") == "train")
+    def fitted_rows(self) -> DataFrame:
+        """Plain rows that classifiers are fitted on, ids included."""
+        rows = self.split_rows.filter(F.col("split") == "train").drop("split")
         if self.fit_rows is not None and self.fit_rows < self.train_rows:
             draw = F.pmod(F.xxhash64(*S.IDS), F.lit(DRAWS))
             rows = rows.filter(draw < int(DRAWS * self.fit_rows / self.train_rows))
-        weighted = split.with_class_weight(rows, self.weights)
+        return rows
+
+    def encoded(self, rows: DataFrame, weights: dict) -> DataFrame:
+        weighted = split.with_class_weight(rows, weights)
         return self.encoding.transform(weighted).select("features", S.LABEL, "class_weight")
 
+    @property
+    def train(self) -> DataFrame:
+        """Encoded and weighted. Encoding is narrow and the vectors are wider than the rows,
+        so every fit encodes as it reads; Spark ML keeps its own working copy."""
+        return self.encoded(self.fitted_rows, self.weights)
+
+    @cached_property
+    def in_fixed_order(self) -> DataFrame:
+        """``fitted_rows`` in partitions and an order that their values alone decide."""
+        return split.in_fixed_order(self.fitted_rows, min(self.train_rows, self.fit_rows or self.train_rows))
+
+    @property
+    def train_for_trees(self) -> DataFrame:
+        """As ``train``, for learners that draw rows by partition and position.
+
+        Weights are such that their sums are exact, so a forest is the same for the same rows
+        in any files and on any cluster.
+        """
+        return self.encoded(
+            self.in_fixed_order, split.exact_weights(self.weights, self.train_rows)
+        )
+
     @property
     def test(self) -> DataFrame:
         return self.encoding.transform(self.rows("test"))
@@ -80,6 +106,7 @@ def prepare(
         models.encoder().fit(train),
         {label: row["class_weight"] for label, row in classes.items()},
         sum(row["class_rows"] for row in classes.values()),
+        models.splits_needed(train),
         fit_rows,
     )
 
@@ -87,18 +114,43 @@ def prepare(
 def fit(prepared: Prepared, candidate: models.Candidate):
     """One fitted classifier over the prepared features."""
     shared_folder(prepared.spark)  # boosted and deep trees cut their lineage there
-    built = models.estimator(candidate.model_type, candidate.params, prepared.train_rows)
-    return built.fit(prepared.train)
+    built = models.estimator(
+        candidate.model_type, candidate.params, prepared.train_rows, splits=prepared.splits
+    )
+    trees = candidate.model_type in models.DRAWS_ROWS
+    return built.fit(prepared.train_for_trees if trees else prepared.train)
+
+
+def families(candidates: list[models.Candidate]) -> list[list[int]]:
+    """Positions of candidates that one fit serves, each family's longest fit last."""
+    found: dict = {}
+    for seq, candidate in enumerate(candidates):
+        found.setdefault(models.shares_fit(candidate) or seq, []).append(seq)
+    return [
+        sorted(family, key=lambda seq: candidates[seq].params.get("n_estimators", 0))
+        for family in found.values()
+    ]
 
 
 def fit_all(prepared: Prepared, candidates: list[models.Candidate], parallelism: int = 4) -> list:
-    """Every candidate on the same rows, a few at a time so that the cluster stays busy."""
+    """Every candidate on the same rows, a few at a time so that the cluster stays busy.
+
+    Boosted candidates that differ in rounds alone are fitted once and cut.
+    """
+    related = families(candidates)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         jobs = [
-            pool.submit(inheritable_thread_target(prepared.spark)(fit), prepared, candidate)
-            for candidate in candidates
+            pool.submit(inheritable_thread_target(prepared.spark)(fit), prepared, candidates[family[-1]])
+            for family in related
         ]
-        return [job.result() for job in jobs]
+        fitted: dict = {}
+        for family, job in zip(related, jobs):
+            longest = job.result()
+            for seq in family[:-1]:
+                rounds = candidates[seq].params["n_estimators"]
+                fitted[seq] = models.first_rounds(longest, rounds)
+            fitted[family[-1]] = longest
+    return [fitted[seq] for seq in range(len(candidates))]
 
 
 def score_all(
@@ -106,17 +158,17 @@ def score_all(
     candidates: list[models.Candidate],
     classifiers: list,
     keep: list[str] | None = None,
-    first: int = 0,
+    seqs: list[int] | None = None,
 ) -> DataFrame:
     """Scores of all candidates in one long frame: seq, run_name, model_type, label, p.
 
-    ``seq`` counts from ``first``.
+    ``seqs`` are the candidates' positions, by default from 0.
 
     The test rows are read once; every classifier adds its column and the columns are
     then unfolded into rows.
     """
     wide, scores = test, []
-    for seq, (candidate, classifier) in enumerate(zip(candidates, classifiers), first):
+    for seq, candidate, classifier in zip(seqs or range(len(candidates)), candidates, classifiers):
         column = f"_probability_{seq}"
         quiet = classifier.copy()
         quiet.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(column)
@@ -135,15 +187,18 @@ def score_all(
 
 
 def grid_metrics(
-    scored: DataFrame, candidates: list[models.Candidate], first: int = 0
+    scored: DataFrame, candidates: list[models.Candidate], seqs: list[int] | None = None
 ) -> DataFrame:
-    """Metrics per candidate; ``seq`` counts from ``first``.
+    """Metrics per candidate; ``seqs`` are their positions, by default from 0.
 
     Only the position travels with the scores; names join the measured rows, of which
     there is one per candidate.
     """
     names = scored.sparkSession.createDataFrame(
-        [(seq, c.run_name, c.model_type) for seq, c in enumerate(candidates, first)],
+        [
+            (seq, c.run_name, c.model_type)
+            for seq, c in zip(seqs or range(len(candidates)), candidates)
+        ],
         "seq int, run_name string, model_type string",
     )
     measured = metrics.run_metrics(scored.select("seq", "label", "p"), ["seq"])
@@ -174,19 +229,48 @@ def train_grid(
 
     Below ``out``: ``models/<run_id>``, ``runs``, ``registry`` and ``leaderboard`` (CSV).
     With ``select=False`` the candidates are only compared and recorded. ``parallelism``
-    candidates are fitted, saved, scored and released together, so the driver never holds
-    more models than that. ``fit_rows`` bounds the rows each is fitted on, see ``prepare``.
+    fits are made, saved, scored and released together, so the driver never holds more
+    models than that; boosted candidates that differ in rounds alone share a fit. The rows
+    that trees draw from are put in their order once and held by the executors, on disk where
+    memory ends, until the grid is done. ``fit_rows`` bounds the rows each is fitted on, see
+    ``prepare``.
     """
     spark = gold_df.sparkSession
     candidates = candidates or models.GRID
     prepared = prepare(gold_df, fit_rows=fit_rows)
-    records = []
-    for first in range(0, len(candidates), parallelism):
-        group = candidates[first : first + parallelism]
+    prepared.in_fixed_order.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        records = _grid_runs(prepared, out, candidates, experiment, parallelism)
+    finally:
+        prepared.in_fixed_order.unpersist()
+    ids = [record[2] for record in records]
+    runs = registry.read_runs(spark, f"{out}/runs").filter(F.col("run_id").isin(ids))
+    board = ranking.leaderboard(runs, metric)
+    names = list(dict.fromkeys(key for c in candidates for key in c.params))
+    write_leaderboard_csv(board, f"{out}/leaderboard", names)
+    if select:
+        best = ranking.best_run(runs, metric).first()
+        if best is None:
+            raise ValueError(f"no run has a {metric}: the test part may hold one class only")
+        registry.register(spark, f"{out}/registry", best["run_id"], best["uri"], name)
+    return board
+
+
+def _grid_runs(
+    prepared: Prepared,
+    out: str,
+    candidates: list[models.Candidate],
+    experiment: str,
+    parallelism: int,
+) -> list[tuple]:
+    """Fit, save, score and record the candidates, ``parallelism`` fits at a time."""
+    spark, records = prepared.spark, []
+    related = families(candidates)
+    for first in range(0, len(related), parallelism):
+        seqs = sorted(seq for family in related[first : first + parallelism] for seq in family)
+        group = [candidates[seq] for seq in seqs]
         own = []
-        for seq, (candidate, classifier) in enumerate(
-            zip(group, fit_all(prepared, group, parallelism)), first
-        ):
+        for seq, candidate, classifier in zip(seqs, group, fit_all(prepared, group, parallelism)):
             run_id = uuid.uuid4().hex
             uri = f"{out}/models/{run_id}"
             save_model(models.assemble(prepared.encoding, classifier), uri)
@@ -197,23 +281,13 @@ def train_grid(
             own,
             "seq int, experiment string, run_id string, params map<string,string>, uri string",
         )
-        scored = score_all(prepared.test, group, saved, first=first)
+        scored = score_all(prepared.test, group, saved, seqs=seqs)
         # Ids are drawn per call: append first, then rank what was appended.
         registry.append_runs(
-            grid_metrics(scored, group, first).join(F.broadcast(recorded), "seq"), f"{out}/runs"
+            grid_metrics(scored, group, seqs).join(F.broadcast(recorded), "seq"), f"{out}/runs"
         )
         records += own
-    ids = [record[2] for record in records]
-    runs = registry.read_runs(spark, f"{out}/runs").filter(F.col("run_id").isin(ids))
-    board = ranking.leaderboard(runs, metric)
-    names = list(dict.fromkeys(key for c in candidates for key in c.params))
-    write_leaderboard_csv(board, f"{out}/leaderboard", names)
-    if select:
-        best = ranking.best_run(runs, metric).first()
-        if best is None:
-            raise ValueError(f"no run has a {metric}: the test part may hold one class only")
-        registry.register(spark, f"{out}/registry", best["run_id"], best["uri"], name)
-    return board
+    return records
 
 
 def train_one(
