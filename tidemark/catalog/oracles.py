@@ -336,6 +336,52 @@ WHOLE_GRID = [
 ]
 
 
+DAMAGED = """damaged AS (
+  SELECT AppointmentID, 'scored' AS outcome FROM streamed WHERE AppointmentID % 7 > 1
+  UNION ALL SELECT AppointmentID, 'unreadable' FROM raw WHERE AppointmentID % 7 <= 1
+)"""
+
+GOLD_TYPES = {
+    "PatientId": "double",
+    "AppointmentID": "bigint",
+    "Gender": "string",
+    "Age": "int",
+    "age_group": "string",
+    "Neighbourhood": "string",
+} | {c: "int" for c in [*NUMERIC[1:], "no_show"]}
+
+
+def _layer_schema() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{name}' AS name, '{kind}' AS type, true AS nullable, "
+        f'count(*) AS "rows", count(*) - count({name}) AS missing FROM gold'
+        for i, (name, kind) in enumerate(GOLD_TYPES.items())
+    )
+
+
+def _widest() -> str:
+    return "greatest(" + ", ".join(f"max({c}) - min({c}) + 2" for c in NUMERIC) + ")"
+
+
+def _settings() -> str:
+    """Settings of the whole grid: strengths by training rows, trees, rounds, rates."""
+    lines = []
+    for name, family, params in WHOLE_GRID:
+        of = dict(p.split("=") for p in params.split(";"))
+        if family == "logistic_regression":
+            values = f"1.0 / ({of['C']} * n), NULL, 1000.0, NULL, NULL, NULL"
+        elif family == "random_forest":
+            values = f"NULL, {of['n_estimators']}.0, NULL, {of['max_depth']}.0, NULL, splits"
+        else:
+            values = f"NULL, NULL, {of['n_estimators']}.0, 3.0, {of['learning_rate']}, splits"
+        cast = ", ".join(f"CAST({v.strip()} AS DOUBLE)" for v in values.split(","))
+        lines.append(f"SELECT '{name}', {cast} FROM sized")
+    return (
+        "SELECT * FROM (" + " UNION ALL ".join(lines)
+        + ") AS settings(run_name, reg_param, trees, rounds, depth, step, splits)"
+    )
+
+
 ORACLES = {
     "bronze_roundtrip": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
     "csv_scan": f"WITH {RAW} {RAW_AS_TEXT} FROM raw",
@@ -466,6 +512,35 @@ ORACLES = {
         predictions AS (SELECT *, CASE WHEN no_show_probability >= CAST(0.3 AS DOUBLE) THEN 1
           ELSE 0 END AS predicted_no_show FROM scored)
         {LABELLED} FROM predictions""",
+    "csv_quarantine": f"""WITH {RAW}
+        SELECT AppointmentID, CASE WHEN AppointmentID % 7 = 0 THEN 'quarantine' ELSE 'bronze' END
+          AS place FROM raw""",
+    "layer_schema": f"""WITH {GOLD} {_layer_schema()}""",
+    "stream_empty_batches": f"""WITH {STREAMED},
+        seen AS (SELECT AppointmentID % 4 AS batch_id, count(*) AS events FROM raw GROUP BY ALL),
+        kept AS (SELECT AppointmentID % 4 AS batch_id, count(*) AS n FROM streamed GROUP BY ALL)
+        SELECT batch_id, events, CAST(0 AS BIGINT) AS unreadable,
+          CASE WHEN batch_id % 2 = 0 THEN n ELSE 0 END AS usable,
+          CASE WHEN batch_id % 2 = 0 THEN n END AS written
+        FROM seen LEFT JOIN kept USING (batch_id)""",
+    "stream_replayed": f"""WITH {STREAMED}
+        SELECT *, AppointmentID % 3 AS batch,
+          CASE WHEN AppointmentID % 3 = 2 THEN 2 ELSE 1 END AS model FROM streamed""",
+    "stream_damaged_events": f"""WITH {STREAMED}, {DAMAGED}
+        SELECT form, AppointmentID, outcome FROM damaged
+        CROSS JOIN (VALUES ('batches'), ('files')) AS forms(form)""",
+    "stream_damaged_counts": f"""WITH {STREAMED}, {DAMAGED}
+        SELECT form, (SELECT count(*) FROM raw) AS events,
+          count(*) FILTER (outcome = 'unreadable') AS unreadable,
+          count(*) FILTER (outcome = 'scored') AS usable
+        FROM damaged CROSS JOIN (VALUES ('batches'), ('files')) AS forms(form) GROUP BY form""",
+    "stream_triggered": f"""WITH {STREAMED}
+        SELECT 1 AS on_time, count(*) AS "rows", CAST(3 AS BIGINT) AS batches FROM streamed""",
+    "model_settings": f"""WITH {SPLIT_TRAINING},
+        train AS (SELECT * FROM split_rows WHERE split = 'train'),
+        sized AS (SELECT CAST(count(*) AS DOUBLE) AS n,
+          CAST(least(greatest(32, {_widest()}), 10000) AS DOUBLE) AS splits FROM train)
+        {_settings()}""",
     "batch_inference_checked": f"WITH {SCORING} SELECT *, {HOLDS} FROM scoring",
     "stream_inference_checked": f"WITH {STREAMED} SELECT *, {HOLDS} FROM streamed",
     "stream_file_sink_checked": f"WITH {STREAMED} SELECT *, {HOLDS} FROM streamed",

@@ -1,6 +1,7 @@
 """The registered queries: each takes a session and a table folder, and reads whole tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from tidemark.functions import columns as C
 from tidemark.operators import features, metrics, models, ranking, reports, scoring, split
 from tidemark.plans import inference, layers, registry, training
 from tidemark.session import configure, scratch_path
-from tidemark.sinks.files import save_model, write_layer
+from tidemark.sinks.files import remove, save_model, write_layer
 from tidemark.sources import tables
 from tidemark.sources.files import load_model, read_csv, read_layer, read_requests
 from tidemark.streaming import events
@@ -115,6 +116,30 @@ def csv_scan_reordered(spark, folder):
     return days_as_text(read).withColumnRenamed("No-show", "no_show_text")
 
 
+@query
+def csv_quarantine(spark, folder):
+    """Where each line of a CSV ends up whose ages are partly no numbers."""
+    source, out, bad = (scratch_path(spark, n) for n in ("csv", "layers", "bad"))
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    age = F.when(F.col("AppointmentID") % 7 == 0, F.lit("old")).otherwise(F.col("Age").cast("string"))
+    rows.withColumn("Age", age).write.option("header", True).csv(source)
+    layers.run_etl(spark, source, out, S.raw_schema(tables.ID_TYPE), quarantine=bad)
+    kept = read_layer(spark, f"{out}/bronze").select("AppointmentID", F.lit("bronze").alias("place"))
+    line = F.split(F.col(S.CORRUPT), ",")
+    at = [name for name, _ in S.RAW_FIELDS].index("AppointmentID")
+    refused = read_layer(spark, bad).select(
+        F.get(line, F.lit(at)).cast("bigint").alias("AppointmentID"), F.lit("quarantine").alias("place")
+    )
+    return kept.unionByName(refused)
+
+
+@query
+def layer_schema(spark, folder):
+    """The gold layer's columns as written, with what is missing in each."""
+    path = write_layer(gold_rows(spark, folder), scratch_path(spark, "gold"))
+    return reports.column_report(read_layer(spark, path))
+
+
 @query
 def silver(spark, folder):
     return days_as_text(features.silver(tables.raw_appointments(spark, folder)))
@@ -402,9 +427,239 @@ def stream_restarted(spark, folder):
     return events.consolidate(spark, out, scratch_path(spark, "consolidated"))
 
 
+def in_parts(spark, folder, parts, prepare=None):
+    """Folders for events and output, and writers that add a part of the raw rows each."""
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    path = scratch_path(spark, "events")
+
+    def add(part):
+        chosen = rows.filter(F.col("AppointmentID") % parts == part)
+        (prepare(chosen, part) if prepare else chosen).write.mode("append").json(path)
+
+    def stream():
+        schema = S.event_schema(tables.ID_TYPE, corrupt=True)
+        return events.read_events(spark, path, schema=schema)
+
+    return add, stream
+
+
+@query
+def stream_empty_batches(spark, folder):
+    """What each of four batches counts and leaves; the odd ones hold past appointments only."""
+
+    def past(chosen, part):
+        return chosen.withColumn("AppointmentDay", F.lit("1970-01-01T00:00:00Z")) if part % 2 else chosen
+
+    add, stream = in_parts(spark, folder, 4, past)
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    told = {}
+    for part in range(4):
+        add(part)
+        events.start_batches(
+            stream(),
+            features.featurize,
+            out,
+            checkpoint,
+            trigger=events.WHAT_IS_THERE,
+            counted=told.__setitem__,
+        ).awaitTermination()
+    counts = spark.createDataFrame(
+        [(i, c["events"], c["unreadable"], c["usable"]) for i, c in told.items()],
+        "batch_id bigint, events bigint, unreadable bigint, usable bigint",
+    )
+    batch = F.regexp_extract(F.input_file_name(), r"batch_(\d+)", 1).cast("bigint")
+    written = (
+        spark.read.parquet(f"{out}/*")
+        .groupBy(batch.alias("batch_id"))
+        .agg(F.count("*").alias("written"))
+    )
+    return counts.join(written, "batch_id", "left")
+
+
+@query
+def stream_replayed(spark, folder):
+    """Three batches; the second loses its commit and is replayed after another model came.
+
+    ``model`` is the registered version whose score the row carries.
+    """
+    gold = write_layer(gold_rows(spark, folder), scratch_path(spark, "gold"))
+    prepared = training.prepare(read_layer(spark, gold))
+    weak = models.Candidate("lr_c_weak", "logistic_regression", {"C": 1e-9})
+    uris = [
+        save_model(
+            models.assemble(prepared.encoding, training.fit(prepared, candidate)),
+            scratch_path(spark, "model"),
+        )
+        for candidate in (SMALL_LR, weak)
+    ]
+    versions = scratch_path(spark, "registry")
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    add, stream = in_parts(spark, folder, 3)
+
+    def run():
+        events.start_scoring(
+            stream(),
+            registry.LatestModel(spark, versions),
+            out,
+            checkpoint,
+            trigger=events.WHAT_IS_THERE,
+        ).awaitTermination()
+
+    registry.register(spark, versions, "one", uris[0])
+    for part in range(2):
+        add(part)
+        run()
+    remove(spark, f"{checkpoint}/commits/1")
+    registry.register(spark, versions, "two", uris[1])
+    add(2)
+    run()
+    batch = F.regexp_extract(F.input_file_name(), r"batch_(\d+)", 1).cast("bigint")
+    rows = spark.read.parquet(f"{out}/*").withColumn("batch", batch)
+    for version, uri in enumerate(uris, 1):
+        rows = rows.withColumnRenamed("no_show_probability", "_written")
+        rows = scoring.apply_model(rows, load_model(uri)).withColumn(
+            f"_{version}", F.abs(F.col("no_show_probability") - F.col("_written")) < 1e-12
+        )
+        rows = rows.drop("no_show_probability").withColumnRenamed("_written", "no_show_probability")
+    version = F.when(F.col("_1"), 1).when(F.col("_2"), 2)
+    return rows.select(*S.SCORING, "batch", version.alias("model"))
+
+
+def damaged_events(spark, folder):
+    """Event files with days that are none and with lines cut short, through both stream forms.
+
+    Per form: where events went, and what was counted.
+    """
+    path = scratch_path(spark, "events")
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    kind = F.col("AppointmentID") % 7
+    day = F.when(kind == 0, "soon").otherwise(F.col("ScheduledDay"))
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+    short = F.expr("substring(line, 1, length(line) - 3)")
+    cut = F.when(F.col("kind") == 1, short).otherwise(F.col("line"))
+    rows.withColumn("ScheduledDay", day).select(kind.alias("kind"), line.alias("line")).select(
+        cut.alias("value")
+    ).write.text(path)
+
+    def stream():
+        return events.read_events(spark, path, schema=S.event_schema(tables.ID_TYPE, corrupt=True))
+
+    def place(name):
+        return scratch_path(spark, name)
+
+    def decide(batch):
+        scored = tables.scored_rows(features.featurize(batch))
+        return scoring.decide(scored).select(*S.PREDICTIONS)
+
+    told = {"batches": [], "files": []}
+    out, bad, sink, bad_sink = place("out"), place("bad"), place("sink"), place("bad")
+    events.start_batches(
+        stream(),
+        decide,
+        out,
+        place("checkpoint"),
+        quarantine=bad,
+        trigger=events.WHAT_IS_THERE,
+        counted=lambda _, counts: told["batches"].append(counts),
+    ).awaitTermination()
+    listener = events.Counted(spark, lambda _, counts: told["files"].append(counts))
+    events.start_to_files(
+        stream(), decide, sink, place("checkpoint"), trigger=events.WHAT_IS_THERE, counted=listener
+    ).awaitTermination()
+    events.start_quarantine(
+        stream(), bad_sink, place("checkpoint"), trigger=events.WHAT_IS_THERE
+    ).awaitTermination()
+    if not listener.wait(60):
+        raise TimeoutError("the stream's last counts did not come")
+    places = {"batches": (f"{out}/*", f"{bad}/*"), "files": (sink, bad_sink)}
+    return places, told
+
+
+@query
+def stream_damaged_events(spark, folder):
+    """Every event of both stream forms: scored, or kept as unreadable."""
+    places, _ = damaged_events(spark, folder)
+    in_text = F.regexp_extract(F.col(S.CORRUPT), r'"AppointmentID":(\d+)', 1).cast("bigint")
+    parts = []
+    for form, (scored, kept) in places.items():
+        by_form = F.lit(form).alias("form")
+        parts.append(
+            read_layer(spark, scored).select(by_form, "AppointmentID", F.lit("scored").alias("outcome"))
+        )
+        ids = F.when(F.col(S.CORRUPT).isNotNull(), in_text).otherwise(F.col("AppointmentID"))
+        parts.append(
+            read_layer(spark, kept).select(
+                by_form, ids.alias("AppointmentID"), F.lit("unreadable").alias("outcome")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stream_damaged_counts(spark, folder):
+    """What both stream forms tell of the same events, over all their batches."""
+    _, told = damaged_events(spark, folder)
+    names = ("events", "unreadable", "usable")
+    return spark.createDataFrame(
+        [(form, *[sum(c[n] for c in counts) for n in names]) for form, counts in told.items()],
+        "form string, events bigint, unreadable bigint, usable bigint",
+    )
+
+
+@query
+def stream_triggered(spark, folder):
+    """Three batches under the default trigger: their rows, and whether each began on a
+    multiple of five seconds (the first one begins at once)."""
+    path, out = event_files(spark, folder), scratch_path(spark, "stream")
+    schema = S.event_schema(tables.ID_TYPE, corrupt=True)
+    stream = events.read_events(spark, path, max_files=2, schema=schema)
+    started = events.start_batches(
+        stream, features.featurize, out, scratch_path(spark, "checkpoint")
+    )
+    try:
+        started.processAllAvailable()
+        begun = {p.batchId: p.timestamp for p in started.recentProgress if p.numInputRows}
+    finally:
+        started.stop()
+    batches = spark.createDataFrame(
+        sorted(begun.items()), "batch_id bigint, began string"
+    ).withColumn("off", F.pmod(F.unix_millis(F.to_timestamp("began")), F.lit(5000)))
+    batch = F.regexp_extract(F.input_file_name(), r"batch_(\d+)", 1).cast("bigint")
+    on_time = (F.col("batch_id") == 0) | F.least("off", 5000 - F.col("off")).between(0, 999)
+    rows = spark.read.parquet(f"{out}/*").withColumn("batch_id", batch)
+    return (
+        rows.join(F.broadcast(batches), "batch_id")
+        .groupBy(on_time.cast("int").alias("on_time"))
+        .agg(F.count("*").alias("rows"), F.count_distinct("batch_id").alias("batches"))
+    )
+
+
 # --- models ---
 
 
+@query
+def model_settings(spark, folder):
+    """What the factory sets for each of the 15 candidates on the training rows."""
+    prepared = training.prepare(gold_rows(spark, folder))
+    shown = {
+        "regParam": "reg_param",
+        "numTrees": "trees",
+        "maxIter": "rounds",
+        "maxDepth": "depth",
+        "stepSize": "step",
+        "maxBins": "splits",
+    }
+    rows = []
+    for candidate in models.GRID:
+        built = models.estimator(
+            candidate.model_type, candidate.params, prepared.train_rows, splits=prepared.splits
+        )
+        of = {p.name: built.getOrDefault(p) for p in built.params if built.hasDefault(p) or built.isSet(p)}
+        rows.append((candidate.run_name, *[float(of[p]) if p in of else None for p in shown]))
+    columns = ", ".join(f"{name} double" for name in shown.values())
+    return spark.createDataFrame(rows, f"run_name string, {columns}")
+
+
 def candidate_scores(spark, folder, candidate):
     prepared = training.prepare(gold_rows(spark, folder), keep=S.IDS)
     classifier = training.fit(prepared, candidate)

@@ -54,3 +54,17 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         fields, "ordinal int, name string, type string, nullable boolean"
     )
+
+
+def column_report(df: DataFrame) -> DataFrame:
+    """The schema as rows, with each column's rows and missing values from one aggregate."""
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.array(*[F.count_if(c.isNull()) for c in columns]).alias("missing"),
+    )
+    return (
+        schema_report(df)
+        .crossJoin(F.broadcast(counted))  # a single row
+        .withColumn("missing", F.get("missing", F.col("ordinal")))
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import ranking
+from tidemark.sinks.files import remove
 from tidemark.sources.files import load_model
 
 
@@ -71,12 +72,43 @@ class LatestModel:
         self.spark, self.path, self.name = spark, path, name
         self.uri = self.model = None
 
-    def __call__(self) -> PipelineModel:
-        uri = latest_uri(self.spark, self.path, self.name)
+    def __call__(self, uri: str | None = None) -> PipelineModel:
+        """The newest one, or the one stored at ``uri``."""
+        uri = uri or self.newest()
         if uri != self.uri:
             self.model, self.uri = load_model(uri), uri
         return self.model
 
+    def newest(self) -> str:
+        return latest_uri(self.spark, self.path, self.name)
+
+
+class PinnedModel:
+    """The model of a micro-batch: the newest one when the batch is first begun, then that one.
+
+    The choice is written down before the batch is scored, so a batch replayed after a failure
+    is scored by its first model though another version has been registered since. A record
+    that a failure cut short counts as none: nothing was scored yet. As in Spark's own logs the
+    last ``RECORDS`` batches are kept.
+    """
+
+    RECORDS = 100
+
+    def __init__(self, latest: LatestModel, log: str):
+        self.latest, self.log = latest, log
+
+    def __call__(self, batch_id: int) -> PipelineModel:
+        spark, path = self.latest.spark, f"{self.log}/batch_{batch_id}"
+        known = _read_table(spark, path, S.PINNED_SCHEMA).first()
+        if known:
+            return self.latest(known["uri"])
+        uri = self.latest.newest()
+        record = spark.createDataFrame([(batch_id, uri)], S.PINNED_SCHEMA)
+        record.coalesce(1).write.mode("overwrite").parquet(path)
+        if batch_id >= self.RECORDS:
+            remove(spark, f"{self.log}/batch_{batch_id - self.RECORDS}")
+        return self.latest(uri)
+
 
 def register_best_past_run(
     spark: SparkSession,

@@ -118,7 +118,11 @@ def fit(prepared: Prepared, candidate: models.Candidate):
         candidate.model_type, candidate.params, prepared.train_rows, splits=prepared.splits
     )
     trees = candidate.model_type in models.DRAWS_ROWS
-    return built.fit(prepared.train_for_trees if trees else prepared.train)
+    fitted = built.fit(prepared.train_for_trees if trees else prepared.train)
+    if getattr(fitted, "hasSummary", False):
+        # It would carry the session along into every task that scores.
+        fitted._java_obj.setSummary(prepared.spark._jvm.scala.Option.empty())
+    return fitted
 
 
 def families(candidates: list[models.Candidate]) -> list[list[int]]:

@@ -113,3 +113,5 @@ RUNS_SCHEMA = _struct(
 REGISTRY_SCHEMA = _struct(
     [("name", "string"), ("version", "int"), ("run_id", "string"), ("uri", "string")]
 )
+
+PINNED_SCHEMA = _struct([("batch_id", "bigint"), ("uri", "string")])

@@ -1,7 +1,7 @@
 """Batch file sinks."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -18,6 +18,23 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> str:
     return write_layer(df, f"{folder}/batch_{batch_id}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store the path names; one that is absent is fine."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(context._jsc.hadoopConfiguration()).delete(found, True)
+
+
+def remove_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
+    """Take a batch's output away, and the folder if nothing else is in it."""
+    remove(spark, f"{folder}/batch_{batch_id}")
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(folder)
+    store = found.getFileSystem(context._jsc.hadoopConfiguration())
+    if store.exists(found) and not len(store.listStatus(found)):
+        store.delete(found, False)
+
+
 def write_leaderboard_csv(board: DataFrame, path: str, params: list[str]) -> str:
     """One CSV file in rank order, each named parameter in a column of its own.
 
