@@ -1,10 +1,12 @@
 """Exact, near and substring de-duplication against plain versions."""
 
+import random
 import re
 from hashlib import sha256
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from llm.corpus import awkward, components, prose, repeated, table
 from tidemark.llm import components as graph
@@ -79,8 +81,6 @@ def test_simhash_of_nothing(spark):
 
 
 def test_bk_tree_finds_what_is_near():
-    import random
-
     rng = random.Random(3)
     values = [rng.getrandbits(16) for _ in range(300)]
     tree = simhash.BKTree()
@@ -98,6 +98,56 @@ def test_components_of_a_long_chain_and_loops(spark):
     assert got == {**{i: 0 for i in range(1, 61)}, 201: 200}
 
 
+def test_the_hub_of_a_star_needs_no_single_task(spark):
+    """A star of 200,000 leaves, whose joins Spark may split, as both sides are plain shuffles."""
+    size = 200_000
+    df = spark.range(1, size + 1).selectExpr("0L AS a", "id AS b")
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        edges = graph.staged(df.repartition(64), "edges")
+        stars = graph._large_star(edges)
+        tasks = stars.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.max(F.xxhash64("a", "b"))
+        )
+        assert max(r["n"] for r in tasks.collect()) < size / 4
+        got = graph.components(edges)
+        assert got.count() == size and got.filter("root <> 0").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("rows", [4096, 6, 2])
+def test_crowded_shards_lose_no_link(spark, monkeypatch, rows):
+    """Fingerprints that agree on most blocks: finer blocks, then slices."""
+    monkeypatch.setattr(simhash, "TREE_ROWS", rows)
+    rng = random.Random(rows)
+    bases = [rng.getrandbits(64) for _ in range(3)]
+    values = {rng.getrandbits(64) for _ in range(20)}
+    for _ in range(150):
+        value = rng.choice(bases)
+        for _ in range(rng.randint(0, 6)):
+            value ^= 1 << rng.choice([3, 9, 17, 18, 19, 33, 40, 49, 60, 63])
+        values.add(value)
+    values = sorted(values)
+    signed = [(v + (1 << 63)) % (1 << 64) - (1 << 63) for v in values]
+    distinct = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    roots = {r["node"]: r["root"] for r in graph.components(simhash.links(distinct, 2)).collect()}
+    for group in components(values, lambda a, b: (a ^ b).bit_count() <= 2):
+        least = min(signed[i] for i in group)
+        assert {roots.get(signed[i], signed[i]) for i in group} == {least}
+
+
 @pytest.mark.parametrize("spans", [2000, 1])
 def test_substring_dedup(spark, monkeypatch, spans):
     """Also where every prefix grows to a whole window."""

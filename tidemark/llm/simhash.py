@@ -133,39 +133,68 @@ def _linked(own: list[int], other: list[int], radius: int):
             yield value, root
 
 
-def _blocks(radius: int) -> list[list[tuple[int, int]]]:
-    """Bit ranges that fingerprints within ``radius`` share at least one choice of.
+def _masks(positions: list[int], radius: int) -> list[int]:
+    """Sets of bits, one of which any two values within ``radius`` agree on.
 
-    The 64 bits are cut into ``radius + 2`` blocks; two of them stay untouched.
+    The positions are cut into ``radius + 2`` blocks; two of them stay untouched.
     """
-    edges = [64 * i // (radius + 2) for i in range(radius + 3)]
-    return [list(c) for c in combinations(list(zip(edges, edges[1:])), 2)]
+    n, parts = len(positions), radius + 2
+    blocks = [positions[n * i // parts : n * (i + 1) // parts] for i in range(parts)]
+    return [sum(1 << p for p in [*one, *two]) for one, two in combinations(blocks, 2)]
 
 
-def _shards(distinct: DataFrame, radius: int) -> DataFrame:
-    """Each fingerprint once per choice of blocks and pair of tree slices it takes part in."""
-    mask = lambda lo, hi: ((1 << hi) - (1 << lo) + (1 << 63)) % (1 << 64) - (1 << 63)
-    keys = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("choice"),
-                F.col("fp").bitwiseAND(F.lit(mask(*one) | mask(*two))).alias("bits"),
-            )
-            for n, (one, two) in enumerate(_blocks(radius))
-        ]
+def _signed(mask: int) -> int:
+    return (mask + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def _keyed(values: DataFrame, masks: Column, choice) -> DataFrame:
+    """Each ``fp`` once for every mask, with the bits below it."""
+    keys = F.transform(
+        masks,
+        lambda m, i: F.struct(
+            choice(i).cast("int").alias("choice"), F.col("fp").bitwiseAND(m).alias("bits")
+        ),
     )
-    keyed = distinct.select("fp", F.explode(keys).alias("key")).select("fp", "key.*")
-    sizes = (
-        keyed.groupBy("choice", "bits")
-        .agg(F.count("*").alias("n"))
-        .filter("n > 1")
-        .withColumn("slices", F.ceil(F.col("n") / TREE_ROWS).cast("int"))
+    return values.select("fp", F.inline(keys))
+
+
+def _sizes(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy("choice", "bits").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def _shards(distinct: DataFrame, radius: int) -> DataFrame:
+    """Each fingerprint once per choice of blocks and pair of tree slices it takes part in.
+
+    Where more than ``TREE_ROWS`` agree on two blocks, the other bits are cut into blocks in
+    their turn, and two of those are asked for as well. Only what is crowded even then is cut
+    into slices that meet in pairs.
+    """
+    masks = _masks(list(range(64)), radius)
+    finer = [
+        [m | more for more in _masks([p for p in range(64) if not m >> p & 1], radius)] for m in masks
+    ]
+    literal = lambda ms: F.array(*[F.lit(_signed(m)).cast("bigint") for m in ms])
+    keyed = _keyed(distinct, literal(masks), lambda i: i)
+    sizes = staged(_sizes(keyed), "shards")
+    crowded = sizes.filter(F.col("n") > TREE_ROWS).select("choice", "bits")
+    again = _keyed(
+        keyed.join(crowded, ["choice", "bits"]),
+        F.get(F.array(*[literal(ms) for ms in finer]), F.col("choice")),
+        lambda i: len(masks) * (F.col("choice") + 1) + i,
     )
-    placed = keyed.join(sizes, ["choice", "bits"]).withColumn(
+    wanted = [(keyed, sizes.filter(F.col("n") <= TREE_ROWS)), (again, staged(_sizes(again), "shards"))]
+    placed = [
+        rows.join(
+            found.select("choice", "bits", F.ceil(F.col("n") / TREE_ROWS).cast("int").alias("slices")),
+            ["choice", "bits"],
+        )
+        for rows, found in wanted
+    ]
+    sliced = placed[0].unionByName(placed[1]).withColumn(
         "own", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int")
     )
     others = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other")
-    return placed.select("fp", "choice", "bits", "own", others).select(
+    return sliced.select("fp", "choice", "bits", "own", others).select(
         "fp",
         "choice",
         "bits",
@@ -180,8 +209,9 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Fingerprints are sharded by the bits of two of ``radius + 2`` blocks: near ones agree on
     such a pair of blocks, so each finds the other in some shard. A shard's BK-tree holds
-    ``TREE_ROWS`` fingerprints at most; a larger shard is cut into slices, and each pair of
-    slices is a task's work of its own (one slice's tree, asked by the other). Trees travel
+    ``TREE_ROWS`` fingerprints at most; a larger shard is keyed by two finer blocks too, and
+    what is larger still is cut into slices, each pair of which is a task's work of its own
+    (one slice's tree, asked by the other). Trees travel
     with the shuffle, not by broadcast: all trees together are as large as the corpus.
     A shard gives at most one link per fingerprint, however many are near.
     """

@@ -241,8 +241,11 @@ def _single(folded: DataFrame) -> DataFrame:
     schema = "key binary, nth int, copies bigint, window binary"
     windows = staged(map_batches(folded.select("key", "n", "copies", "span"), run, schema), "windows")
     twice = windows.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1")
+    # Written first, so that both sides of the join are plain shuffles: Spark splits a window
+    # that very many spans share.
+    twice = staged(twice.select("window"), "twice")
     return (
-        windows.join(twice.select("window"), "window", "left_semi")
+        windows.join(twice, "window", "left_semi")
         .groupBy("key")
         .agg(F.sum(F.expr("shiftleft(1L, nth)")).alias("mask"))
     )
