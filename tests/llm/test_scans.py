@@ -2,8 +2,10 @@
 
 import random
 import re
+from collections import Counter
 from hashlib import sha256
 
+import regex
 from compare import assert_same  # noqa: F401  (the path of the tests is set up)
 
 from llm.corpus import awkward, prose, table
@@ -155,18 +157,90 @@ def test_base_spans_equal_the_patterns(spark):
             assert got[doc_id][f"n_{kind}"] == sum(b.startswith(kind) for b in base)
 
 
+def plain_revealing(rows):
+    """Words whose smoothed information about an entity of their documents is too high."""
+    docs = []
+    for _, text in rows:
+        spans = [tuple(map(int, b.split(":")[1:])) + (b.split(":")[0],) for b in plain_base(text)]
+        body = list(text or "")
+        entities = set()
+        for start, end, kind in spans:
+            value = (text or "")[start:end]
+            digits = re.sub("[^0-9]", "", value)
+            name = {"email": value.lower(), "ip": value, "card": digits, "phone": "+" + digits}[kind]
+            entities.add((kind, name))
+            body[start:end] = " " * (end - start)
+        words = regex.findall(r"[\p{L}\p{M}\p{N}]+", "".join(body))
+        docs.append((entities, {w.lower() for w in words}, "".join(body)))
+    n, found = len(docs), set()
+    holding, having = Counter(), Counter()
+    for entities, words, _ in docs:
+        holding.update(entities)
+        having.update(words)
+    both = Counter((e, w) for entities, words, _ in docs for e in entities for w in words)
+    for (e, w), together in both.items():
+        share = holding[e] / n
+        given = (together + pii.SMOOTHING * share) / (having[w] + pii.SMOOTHING)
+        if holding[e] < n and given >= share ** (1 - pii.DISCLOSURE):
+            found.add(w)
+    return [
+        [(m.start(), m.end()) for m in regex.finditer(r"[\p{L}\p{M}\p{N}]+", body) if m[0].lower() in found]
+        for _, _, body in docs
+    ]
+
+
+def term_spans(row):
+    return [tuple(map(int, s.split(":")[1:])) for s in row["spans"].split(",") if s.startswith("term:")]
+
+
+def test_revealing_words_equal_plain_counts(spark):
+    """Shared and single entities, words of many scripts, tricky spans, nulls and long texts."""
+    rng = random.Random(11)
+    vocabulary = [prose(500 + i, 1) for i in range(150)] + ["Привет", "λόγος", "光合作用", "naïve", "42"]
+    people = [f"user{i}@mail.example.org" for i in range(12)] + ["+49 30 123456789", "10.1.2.3"]
+    rows = []
+    for i in range(250):
+        words = rng.choices(vocabulary, k=rng.randint(1, 30))
+        if rng.random() < 0.3:
+            words.insert(rng.randrange(len(words)), people[int(len(people) * rng.random() ** 2)])
+            words += [f"only{i}"] * rng.randint(0, 2)
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, t) for i, t in enumerate(TRICKY)] + [(2000 + i, t) for i, (_, t) in enumerate(awkward())]
+    got = {r["doc_id"]: r for r in pii.personal_data(table(spark, rows, extra=True)).collect()}
+    want = plain_revealing(rows)
+    assert sum(map(len, want)) > 20
+    for (doc_id, _), spans in zip(rows, want):
+        assert term_spans(got[doc_id]) == spans, doc_id
+        assert got[doc_id]["n_term"] == len(spans)
+
+
 def test_words_that_disclose_an_entity(spark):
+    """In one document of an entity, 200 characters away; and in documents without the entity."""
     filler = [(i, "common words stand here and there " + prose(i, 30)) for i in range(300)]
-    told = [(900 + i, f"common words about Zanzibar boss zed@x.example.com there {prose(i, 5)}") for i in range(4)]
+    told = [
+        (900, f"common words Zanzibar {prose(7, 60)} from zed@x.example.com there and zanzibar"),
+        *[(901 + i, "words and Βόλος there +49 30 5550 100 here") for i in range(3)],
+        (910, "words stand Βόλος and here"),
+    ]
     rows = {r["doc_id"]: r for r in pii.personal_data(table(spark, filler + told)).collect()}
-    for doc_id, text in told:
-        at = text.index("Zanzibar")
-        assert f"term:{at}:{at + 8}" in rows[doc_id]["spans"]
-        assert f"term:{text.index('words')}" not in rows[doc_id]["spans"]
-    assert all(rows[i]["spans"] == "" for i, _ in filler)
+    text = told[0][1]
+    assert text.index("zed@") - text.index("Zanzibar") > 200
+    assert {(13, 21), (len(text) - 8, len(text))} <= set(term_spans(rows[900]))
+    assert (0, 6) not in term_spans(rows[900])
+    for doc_id in (901, 902, 903):
+        assert term_spans(rows[doc_id]) == [(10, 15)]
+    assert term_spans(rows[910]) == [(12, 17)] and rows[910]["n_phone"] == 0
     clean = {r["doc_id"]: r["text"] for r in pii.redacted(table(spark, filler + told)).collect()}
-    assert "Zanzibar" not in clean[900] and "[EMAIL]" in clean[900] and "zed@" not in clean[900]
+    assert "anzibar" not in clean[900] and "[EMAIL]" in clean[900] and "zed@" not in clean[900]
     assert clean[900].startswith("common words ") and clean[5] == filler[5][1]
+    assert clean[901] == "words and  there [PHONE] here" and clean[910] == "words stand  and here"
+
+
+def test_redaction_keeps_rows_without_or_with_repeated_ids(spark):
+    rows = [(None, "a b@c.de"), (None, None), (4, "same"), (4, "same"), (5, "1.2.3.4@x.y")]
+    got = [(r["doc_id"], r["text"]) for r in pii.redacted(table(spark, rows)).collect()]
+    assert len(got) == 5 and sorted(t for i, t in got if i == 4) == ["same", "same"]
+    assert [t for i, t in got if i == 5] == ["[IP]"]  # what overlaps it is gone as well
 
 
 def test_personal_data_in_nothing(spark):

@@ -1,6 +1,6 @@
-"""Personal data: patterned spans, and words near them that give them away."""
+"""Personal data: patterned spans, and words that give them away."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged, texts
@@ -22,11 +22,10 @@ JOINT, NOT_JOINT = "\x01", "\x02"
 SEPARATOR = r"(?<=[0-9])[\x20-](?=[0-9])"
 CARD_RUN = rf"(?<![0-9{JOINT}])[0-9][0-9{JOINT}]{{12,}}"
 
-TERM = "[A-Za-zÀ-ÖØ-öø-ÿ]{4,}"  # words that may give an entity away
-NOT_TERM = "[^a-zß-öø-ÿ]+"
-CONTEXT = 60  # characters on either side of a span
-LEAST_SUPPORT = 2  # documents in which a term stands near an entity
+TERM = r"[\p{L}\p{M}\p{N}]+"  # words that may give an entity away
+NOT_TERM = r"[^\p{L}\p{M}\p{N}]+"
 DISCLOSURE = 0.9  # share of an entity's information that a term may not reach
+SMOOTHING = 0.5  # documents without the entity that every term is taken to have besides
 
 
 def found(text: Column, pattern: str) -> Column:
@@ -116,94 +115,112 @@ def _entities() -> Column:
     return F.concat(*[named(kind) for kind in KINDS])
 
 
-def spotted(docs: DataFrame) -> DataFrame:
-    """Spans of each kind, and words around them with the entity they stand by."""
-    rows = texts(docs).withColumn("rid", F.monotonically_increasing_id())
-    rows = rows.withColumns(base_spans(F.col("text"))).withColumn("entities", _entities())
+def _blanked() -> Column:
+    """The text with spaces in place of every span, so that all other words stay where they are."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def around(span):
-        low = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        high = F.least(span["end"] + CONTEXT, F.length("text"))
-        piece = F.substr(F.col("text"), low + 1, high - low)
-        inside = lambda w: (  # noqa: E731  a word that the piece may have cut is left out
-            ((w["start"] > 0) | (low == 0))
-            & ((w["end"] < high - low) | (high == F.length("text")))
-            & ~F.exists(
-                "entities",
-                lambda e: (e["start"] < low + w["end"]) & (e["end"] > low + w["start"]),
-            )
-        )
-        return F.transform(
-            F.filter(found(piece, TERM), inside),
-            lambda w: F.struct(
-                span["entity"].alias("entity"),
-                F.lower(w["value"]).alias("term"),
-                (low + w["start"]).alias("start"),
-                (low + w["end"]).alias("end"),
-            ),
+    def add(done, s):
+        gap = F.substr(F.col("text"), done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(done["at"], s["start"]), F.lit(0)))
+        return F.struct(
+            F.greatest(done["at"], s["end"]).alias("at"),
+            F.concat(done["out"], gap, blank).alias("out"),
         )
 
-    near = F.when(F.size("entities") > 0, F.flatten(F.transform("entities", around)))
+    rest = lambda done: F.concat(done["out"], F.substr(F.col("text"), done["at"] + 1))
+    return F.when(
+        F.size("entities") > 0, F.aggregate(F.array_sort("entities"), start, add, rest)
+    ).otherwise(F.col("text"))
+
+
+def spotted(docs: DataFrame) -> DataFrame:
+    """Rows ``rid``, ``doc_id``: spans of each kind, ``entities``, and ``body``, the text without
+    them. Written once, so that a row keeps its key."""
+    rows = texts(docs).withColumn("rid", F.monotonically_increasing_id())
+    rows = rows.withColumns(base_spans(F.col("text"))).withColumn("entities", _entities())
     return staged(
-        rows.withColumn("near", near).select(
+        rows.withColumn("body", _blanked()).select(
             "rid",
             "doc_id",
             *[F.transform(k, lambda s: F.struct(s["start"], s["end"])).alias(k) for k in KINDS],
             F.array_distinct(F.transform("entities", lambda e: e["entity"])).alias("entities"),
-            "near",
+            "body",
         ),
         "spotted",
     )
 
 
-def revealing(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs ``entity``, ``term``: the term's information about the entity is too high.
+def _terms(rows: DataFrame) -> DataFrame:
+    """``rid`` and each of its distinct words, in lower case."""
+    words = F.array_distinct(F.split(F.lower("body"), NOT_TERM))
+    return rows.select("rid", F.explode(words).alias("term")).filter("term <> ''")
+
+
+def revealing(rows: DataFrame) -> DataFrame:
+    """``term``: its information about some entity is too high.
 
-    Over all documents, a term's pointwise mutual information with an entity is compared with
-    the entity's own information: log P(t, e) / (P(t) P(e)) >= DISCLOSURE * -log P(e).
+    Counted in whole documents over the whole corpus. A term's pointwise mutual information
+    with an entity is compared with the entity's own information, log P(e | t) / P(e) >=
+    DISCLOSURE * -log P(e), where P(e | t) is smoothed by ``SMOOTHING`` documents that hold the
+    term and are like any other. There is no least number of documents: a word found nowhere
+    but beside an entity gives it away. An entity in every document tells nothing.
+
+    Only terms rare enough to qualify meet the entities of a document; a common word would
+    have to stand in most of the entity's documents and few others.
     """
-    n = docs.count()
-    words = F.array_distinct(F.split(F.lower("text"), NOT_TERM))
-    term_docs = (
-        texts(docs)
-        .select(F.explode(words).alias("term"))
-        .filter(F.length("term") >= 4)
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
-    )
-    entity_docs = (
-        rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    n = rows.count()
+    entity_rows = rows.select("rid", F.explode("entities").alias("entity"))
+    entity_docs = staged(entity_rows.groupBy("entity").agg(F.count("*").alias("n_entity")), "entities")
+    term_docs = staged(_terms(rows).groupBy("term").agg(F.count("*").alias("n_term")), "terms")
+    share = F.col("n_entity") / F.lit(float(n))
+    least = F.pow(share, F.lit(1 - DISCLOSURE))
+    mostly = (F.col("n_entity") + SMOOTHING * share) / least  # of a term's documents, smoothed
+    beside = entity_rows.join(entity_docs.filter(F.col("n_entity") < n), "entity").withColumn(
+        "most", mostly + 1e-6
     )
+    known = _terms(rows.filter(F.size("entities") > 0)).join(term_docs, "term")
     together = (
-        rows.select("rid", F.explode("near").alias("w"))
-        .select("rid", "w.entity", "w.term")
-        .distinct()
-        .groupBy("entity", "term")
+        beside.join(known, "rid")
+        .filter(F.col("n_term") + SMOOTHING <= F.col("most"))
+        .groupBy("entity", "n_entity", "term", "n_term")
         .agg(F.count("*").alias("n_both"))
-        .filter(F.col("n_both") >= LEAST_SUPPORT)
-    )
-    ratio = F.col("n_both").cast("double") * n / (F.col("n_term") * F.col("n_entity"))
-    return (
-        together.join(entity_docs, "entity")
-        .join(term_docs, "term")
-        .filter(ratio >= F.pow(F.lit(float(n)) / F.col("n_entity"), DISCLOSURE))
-        .select("entity", "term")
     )
+    given = (F.col("n_both") + SMOOTHING * share) / (F.col("n_term") + SMOOTHING)
+    return together.filter(given >= least).select("term").distinct()
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Per row ``rid``, ``doc_id``, an array of (start, end) for each kind, and ``term``."""
+    """Per row ``rid``, ``doc_id``, ``body``, an array of (start, end) for each kind, and ``term``.
+
+    Every occurrence of a revealing word is found, in all documents. Only those that have one
+    are looked at word by word; starts are running sums over a document's words.
+    """
     rows = spotted(docs)
-    pairs = staged(revealing(rows, docs), "revealing")
-    terms = (
-        rows.select("rid", F.explode("near").alias("w"))
-        .select("rid", "w.*")
-        .join(pairs, ["entity", "term"])
-        .select("rid", F.struct("start", "end").alias("span"))
+    terms = staged(revealing(rows), "revealing")
+    holders = staged(_terms(rows).join(terms, "term").select("rid").distinct(), "holders")
+    words = F.regexp_extract_all("body", F.lit(TERM), F.lit(0))
+    pieces = F.arrays_zip(
+        F.split("body", TERM, -1).alias("gap"), F.concat(words, F.array(F.lit(""))).alias("word")
+    )
+    each = rows.join(holders, "rid").select("rid", F.posexplode(pieces).alias("i", "piece"))
+    upto = Window.partitionBy("rid").orderBy("i")
+    ends = each.select("rid", "i", F.length("piece.gap").alias("gap"), "piece.word").withColumn(
+        "end", F.sum(F.col("gap") + F.length("word")).over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    spans = (
+        ends.withColumn("term", F.lower("word"))
+        .join(terms, "term")
+        .select(
+            "rid",
+            F.struct(
+                (F.col("end") - F.length("word")).cast("int").alias("start"),
+                F.col("end").cast("int").alias("end"),
+            ).alias("span"),
+        )
         .groupBy("rid")
-        .agg(F.array_sort(F.collect_set("span")).alias("term"))
+        .agg(F.array_sort(F.collect_list("span")).alias("term"))
     )
-    return rows.drop("near", "entities").join(terms, "rid", "left")
+    return rows.join(spans, "rid", "left")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -211,10 +228,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     ``base_sha256`` and ``spans``.
 
     Spans are code points with the end exclusive. Null and empty texts have none. Beside the
-    patterned spans stand ``term`` spans: words of at least four letters within ``CONTEXT``
-    characters of an entity that, by counts over the whole corpus, disclose it. Rows repeated
-    under one id are documents of their own; an empty table gives an empty result; other
-    columns are not read.
+    patterned spans stand ``term`` spans: every occurrence, in any document, of a word outside
+    the patterned spans that by counts over the whole corpus discloses an entity. Rows
+    repeated under one id are documents of their own; an empty table gives an empty result;
+    other columns are not read.
     """
     listed = lambda k: F.transform(
         k, lambda s: F.concat_ws(":", F.lit(k), s["start"].cast("string"), s["end"].cast("string"))
@@ -234,7 +251,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` with each patterned span generalised to its kind in brackets and
     each revealing word removed. Of overlapping spans the one that starts first counts.
 
-    Documents are found again by id, so ids are taken to be unique here.
+    One row for each row, whatever its id. Patterned spans are blank in the text that was
+    written, so nothing of them is read again.
     """
     tagged = lambda k, label: F.transform(
         F.coalesce(k, F.array().cast("array<struct<start:int,end:int>>")),
@@ -244,15 +262,15 @@ def redacted(docs: DataFrame) -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(done, s):
-        gap = F.substr(F.col("text"), done["at"] + 1, s["start"] - done["at"])
+        gap = F.substr(F.col("body"), done["at"] + 1, s["start"] - done["at"])
         longer = F.struct(s["end"].alias("at"), F.concat(done["out"], gap, s["label"]).alias("out"))
-        return F.when(s["start"] >= done["at"], longer).otherwise(done)
+        within = F.struct(F.greatest(done["at"], s["end"]).alias("at"), done["out"].alias("out"))
+        return F.when(s["start"] >= done["at"], longer).otherwise(within)
 
-    body = F.aggregate(
-        "spans", start, add, lambda done: F.concat(done["out"], F.substr(F.col("text"), done["at"] + 1))
+    text = F.aggregate(
+        "spans", start, add, lambda done: F.concat(done["out"], F.substr(F.col("body"), done["at"] + 1))
     )
-    marked = find(docs).select("doc_id", spans.alias("spans"))
-    return texts(docs).join(marked, "doc_id").select("doc_id", body.alias("text"))
+    return find(docs).withColumn("spans", spans).select("doc_id", text.alias("text"))
 
 
 def oracle() -> str:
@@ -292,33 +310,35 @@ checked AS (
                      WHEN reverse(d)[k]::INTEGER > 4 THEN 2 * reverse(d)[k]::INTEGER - 9
                      ELSE 2 * reverse(d)[k]::INTEGER END for k in range(1, length(d) + 1)]) % 10 = 0
         ELSE length(d) BETWEEN 9 AND 15 END
-), pieces AS (
-    SELECT c.rid, entity, greatest(s - {CONTEXT}, 0) AS low,
-           least(e + {CONTEXT}, length(text)) AS high, length(text) AS n,
-           substr(text, greatest(s - {CONTEXT}, 0) + 1,
-                  least(e + {CONTEXT}, length(text)) - greatest(s - {CONTEXT}, 0)) AS piece
-    FROM checked c JOIN t USING (rid)
-), words AS ({spans("pieces", "rid, entity, low, high, n", "term", "piece", TERM)}),
-near AS (
-    SELECT rid, entity, lower(v) AS term, low + s AS ws, low + s + length(v) AS we FROM words w
-    WHERE (s > 0 OR low = 0) AND (s + length(v) < high - low OR high = n)
-      AND NOT EXISTS (SELECT 1 FROM checked c WHERE c.rid = w.rid AND c.s < w.low + w.s + length(w.v) AND c.e > w.low + w.s)
-), entity_docs AS (SELECT entity, count(DISTINCT rid) AS n_entity FROM checked GROUP BY entity),
-term_docs AS (
-    SELECT term, count(*) AS n_term FROM (
-        SELECT DISTINCT rid, unnest(string_split_regex(lower(text), '{NOT_TERM}')) AS term FROM t)
-    GROUP BY term
-), pairs AS (
-    SELECT entity, term FROM (
-        SELECT entity, term, count(DISTINCT rid) AS n_both FROM near GROUP BY ALL
-        HAVING count(DISTINCT rid) >= {LEAST_SUPPORT})
-    JOIN entity_docs USING (entity) JOIN term_docs USING (term)
-    WHERE n_both::DOUBLE * (SELECT count(*) FROM t) / (n_term * n_entity)
-          >= pow((SELECT count(*) FROM t)::DOUBLE / n_entity, {DISCLOSURE})
+), chars AS (
+    SELECT rid, i, substr(text, i, 1) AS c
+    FROM (SELECT rid, text, unnest(range(1, length(text) + 1)) AS i
+          FROM t WHERE rid IN (SELECT rid FROM checked))
+), blanked AS (
+    SELECT rid, string_agg(CASE WHEN EXISTS (
+        SELECT 1 FROM checked s WHERE s.rid = c.rid AND c.i > s.s AND c.i <= s.e)
+        THEN ' ' ELSE c END, '' ORDER BY i) AS body
+    FROM chars c GROUP BY rid
+), bodies AS (
+    SELECT rid, text AS body FROM t WHERE rid NOT IN (SELECT rid FROM blanked)
+    UNION ALL SELECT rid, body FROM blanked
+), words AS ({spans("bodies", "rid", "term", "body", TERM)}),
+held AS (SELECT DISTINCT rid, lower(v) AS term FROM words),
+entity_docs AS (SELECT entity, count(DISTINCT rid) AS n_entity FROM checked GROUP BY entity),
+term_docs AS (SELECT term, count(*) AS n_term FROM held GROUP BY term),
+together AS (
+    SELECT entity, term, count(*) AS n_both
+    FROM (SELECT DISTINCT rid, entity FROM checked) JOIN held USING (rid) GROUP BY ALL
+), sized AS (SELECT count(*)::DOUBLE AS n FROM t),
+revealing AS (
+    SELECT DISTINCT term
+    FROM together JOIN entity_docs USING (entity) JOIN term_docs USING (term), sized
+    WHERE n_entity < n
+      AND (n_both + {SMOOTHING} * (n_entity / n)) / (n_term + {SMOOTHING}) >= pow(n_entity / n, {1 - DISCLOSURE!r})
 ), spans AS (
     SELECT rid, kind, s, e FROM checked
     UNION ALL
-    SELECT DISTINCT rid, 'term', ws, we FROM near JOIN pairs USING (entity, term)
+    SELECT rid, 'term', s, s + length(v) FROM words WHERE lower(v) IN (SELECT term FROM revealing)
 ), listed AS (
     SELECT rid, kind, kind || ':' || s || ':' || e AS item, s,
            list_position(['email', 'ip', 'card', 'phone', 'term'], kind) AS place FROM spans
