@@ -247,24 +247,109 @@ def test_personal_data_in_nothing(spark):
     assert pii.personal_data(table(spark, [])).collect() == []
 
 
+def plain_matches(text):
+    """Ranges from one bigram of a template to another, all of them tried."""
+    words = re.sub("[^a-z0-9]+", " ", "".join(c.lower() if c.isascii() else c for c in text or "")).split()
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    found = []
+    for number, (licence, template) in enumerate(licenses.TEMPLATES):
+        held = Counter(licenses.bigrams(template))
+        size = sum(held.values())
+        hits = [i for i, p in enumerate(pairs) if p in held]
+        for start in hits:
+            best, bag = None, Counter()
+            for i in hits:
+                if i < start or i - start + 1 > licenses.HIGH * size + 1e-9:
+                    continue
+                bag[pairs[i]] += 1
+                common = sum(min(n, held[p]) for p, n in bag.items())
+                dice = 2.0 * common / (i - start + 1 + size)
+                if dice >= licenses.LEAST and (best is None or dice > best[0]):
+                    best = (dice, i)
+            if best:
+                found.append((best[0], best[1] - start, -start, -number, licence, start, best[1]))
+    return [
+        f for f in found
+        if not any(o[5] <= f[6] and o[6] >= f[5] and o[:4] > f[:4] for o in found)
+    ]
+
+
+def plain_scan(rows):
+    out = {}
+    for doc_id, text in rows:
+        for dice, *_, licence, _, _ in plain_matches(text):
+            notices, most = out.get((doc_id, licence), (0, 0.0))
+            out[doc_id, licence] = (notices + 1, max(most, dice))
+    return out
+
+
+def scanned(spark, rows):
+    found = licenses.scan(table(spark, rows, extra=True)).collect()
+    return {(r["doc_id"], r["licence"]): (r["notices"], r["dice"]) for r in found}
+
+
+def damaged(text, share, seed):
+    """Some words replaced, dropped or added."""
+    rng, words = random.Random(seed), text.split()
+    for _ in range(max(1, int(len(words) * share))):
+        at = rng.randrange(len(words))
+        words[at : at + 1] = rng.choice([["thing"], [], [words[at], "and"]])
+    return " ".join(words)
+
+
 def test_licences(spark):
     notice = "Licensed under the Apache License, Version 2.0."
     rows = [
         (1, f"{prose(1, 20)}\n  {notice.upper()} \n{prose(2, 20)}\nReleased under the MIT License."),
-        (2, "licensed under the apache license"),  # short of the size bound's neighbour
+        (2, "licensed under the apache license"),  # too short
         (3, prose(3, 100)),
         (4, notice.replace(" ", "\n", 3)),
         (5, "\n\n" + notice + "\n" + notice),
+        (6, f"Foo is a tool. {notice} See the manual. All rights reserved by Foo."),
         *[(10 + i, t) for i, (_, t) in enumerate(awkward())],
     ]
-    got = {(r["doc_id"], r["licence"]): (r["notices"], r["dice"]) for r in licenses.scan(table(spark, rows, extra=True)).collect()}
+    got = scanned(spark, rows)
+    assert got == plain_scan(rows)
     assert got[1, "apache-2.0"] == (1, 1.0) and got[1, "mit"] == (1, 1.0)
-    assert got[4, "apache-2.0"] == (1, 1.0)  # a paragraph of several lines
-    assert got[5, "apache-2.0"][0] == 2
-    assert {d for d, _ in got} <= {1, 2, 4, 5}
+    assert got[4, "apache-2.0"] == (1, 1.0)
+    assert got[5, "apache-2.0"] == (2, 1.0)
+    assert got[6, "apache-2.0"] == got[6, "proprietary"] == (1, 1.0)
+    assert {d for d, _ in got} <= {1, 2, 4, 5, 6}
     assert licenses.scan(table(spark, [])).collect() == []
 
 
+def test_damaged_licences_in_running_text(spark):
+    """Every template, whole and damaged, amid a line, wrapped, and without any line break."""
+    rows, some = [], 0
+    for k, (licence, text) in enumerate(licenses.TEMPLATES):
+        for j, share in enumerate((0.0, 0.05, 0.1)):
+            bad = damaged(text, share, 100 * k + j) if share else text
+            wrapped = re.sub(r"((?:\S+ ){7})", r"\1\n * ", bad)
+            body = wrapped if j % 2 else bad
+            rows.append((10 * k + j, f"{prose(k, 15)} {body} {prose(50 + k, 15)}"))
+    rows.append((5000, " ".join(t for _, t in licenses.TEMPLATES)))  # all, side by side
+    rows.append((5001, "All rights reserved. " * 400))
+    rows.append((5002, "Released under the MIT License.\n" * 300))
+    got = scanned(spark, rows)
+    assert got == plain_scan(rows)
+    for k, (licence, text) in enumerate(licenses.TEMPLATES):
+        assert got[10 * k, licence] == (1, 1.0)
+        some += sum(0.8 <= got.get((10 * k + j, licence), (0, 0))[1] < 1 for j in (1, 2))
+    assert some > 30
+    assert got[5001, "proprietary"] == (400, 1.0)
+
+
+def test_every_match_holds_a_telling_word():
+    single, together = licenses.telling_words()
+    rng = random.Random(3)
+    for _, text in licenses.TEMPLATES:
+        pairs = licenses.bigrams(text)
+        for _ in range(300):
+            chosen = rng.sample(pairs, licenses.least_common(len(pairs)))
+            words = {w for p in chosen for w in p.split()}
+            assert words & set(single) or any(words >= set(t) for t in together)
+
+
 def test_dice_bound_is_the_coefficients():
     """No bag pair outside the size bounds reaches the least coefficient."""
     low, high = licenses.LEAST / (2 - licenses.LEAST), (2 - licenses.LEAST) / licenses.LEAST
