@@ -237,13 +237,17 @@ def hits(docs: DataFrame) -> DataFrame:
     keeps its key.
     """
     single, together = telling_words()
-    holds = lambda w: F.contains("lower", F.lit(w))
-    telling = reduce(or_, [*map(holds, single), *[reduce(and_, map(holds, ws)) for ws in together]])
+
+    def telling(text):
+        holds = lambda w: F.contains(text, F.lit(w))
+        return reduce(or_, [*map(holds, single), *[reduce(and_, map(holds, ws)) for ws in together]])
+
     rows = staged(
         texts(docs)
-        .withColumn("lower", _lower(F.col("text")))
-        .filter(telling)
-        .select(F.monotonically_increasing_id().alias("rid"), "doc_id", "lower"),
+        .filter(F.exists(F.array(F.lower("text")), telling))  # lower-cased once for all words
+        .select(
+            F.monotonically_increasing_id().alias("rid"), "doc_id", _lower(F.col("text")).alias("lower")
+        ),
         "telling",
     )
     words = F.filter(F.split("lower", NOT_WORD), lambda w: w != "")
