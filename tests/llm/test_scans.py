@@ -5,6 +5,7 @@ import re
 from collections import Counter
 from hashlib import sha256
 
+import pytest
 import regex
 from compare import assert_same  # noqa: F401  (the path of the tests is set up)
 
@@ -193,10 +194,12 @@ def term_spans(row):
     return [tuple(map(int, s.split(":")[1:])) for s in row["spans"].split(",") if s.startswith("term:")]
 
 
-def test_revealing_words_equal_plain_counts(spark):
+@pytest.mark.parametrize("searched", [1000, 2])
+def test_revealing_words_equal_plain_counts(spark, monkeypatch, searched):
     """Shared and single entities, words of many scripts, tricky spans, nulls and long texts."""
+    monkeypatch.setattr(pii, "MOST_SEARCHED", searched)
     rng = random.Random(11)
-    vocabulary = [prose(500 + i, 1) for i in range(150)] + ["Привет", "λόγος", "光合作用", "naïve", "42"]
+    vocabulary = [prose(500 + i, 1) for i in range(150)] + ["Привет", "ΛΌΓΟΣ", "光合作用", "naïve", "42", "İstanbul"]
     people = [f"user{i}@mail.example.org" for i in range(12)] + ["+49 30 123456789", "10.1.2.3"]
     rows = []
     for i in range(250):

@@ -25,12 +25,15 @@ CARD_RUN = rf"(?<![0-9{JOINT}])[0-9][0-9{JOINT}]{{12,}}"
 TERM = r"[\p{L}\p{M}\p{N}]+"  # words that may give an entity away
 NOT_TERM = r"[^\p{L}\p{M}\p{N}]+"
 DISCLOSURE = 0.9  # share of an entity's information that a term may not reach
+MOST_SEARCHED = 1000  # terms of a document that one search looks for
+BITMAP_WORDS = 1 << 19  # of 64 bits: what is broadcast of a set of words, at most
 SMOOTHING = 0.5  # documents without the entity that every term is taken to have besides
 
 
-def found(text: Column, pattern: str) -> Column:
+def found(text: Column, pattern: str | Column) -> Column:
     """All matches, leftmost first, as structs of start, end and value."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
     steps = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value")))
     start = F.struct(
@@ -156,6 +159,28 @@ def _terms(rows: DataFrame) -> DataFrame:
     return rows.select("rid", F.explode(words).alias("term")).filter("term <> ''")
 
 
+def _maybe_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` may be one of ``keys``: all that are, and few others.
+
+    The set is a bitmap of hashes, whose size doesn't grow with it and which may therefore be
+    broadcast. Most of a corpus ends here instead of in a shuffle; an exact join follows.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(64 * BITMAP_WORDS))
+    mask = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    bitmap = (
+        keys.select(bit.alias("_bit"))
+        .groupBy(F.shiftright("_bit", 6).alias("_word"))
+        .agg(F.bit_or(mask).alias("_bits"))
+    )
+    return (
+        rows.withColumn("_bit", bit)
+        .withColumn("_word", F.shiftright("_bit", 6))
+        .join(F.broadcast(bitmap), "_word")
+        .filter(F.col("_bits").bitwiseAND(mask) != 0)
+        .drop("_bit", "_word", "_bits")
+    )
+
+
 def revealing(rows: DataFrame) -> DataFrame:
     """``term``: its information about some entity is too high.
 
@@ -171,14 +196,18 @@ def revealing(rows: DataFrame) -> DataFrame:
     n = rows.count()
     entity_rows = rows.select("rid", F.explode("entities").alias("entity"))
     entity_docs = staged(entity_rows.groupBy("entity").agg(F.count("*").alias("n_entity")), "entities")
-    term_docs = staged(_terms(rows).groupBy("term").agg(F.count("*").alias("n_term")), "terms")
+    beside_terms = staged(_terms(rows.filter(F.size("entities") > 0)), "beside")
+    wanted = staged(beside_terms.select("term").distinct(), "wanted")
+    term_docs = (
+        _maybe_among(_terms(rows), wanted, "term").groupBy("term").agg(F.count("*").alias("n_term"))
+    )
     share = F.col("n_entity") / F.lit(float(n))
     least = F.pow(share, F.lit(1 - DISCLOSURE))
     mostly = (F.col("n_entity") + SMOOTHING * share) / least  # of a term's documents, smoothed
     beside = entity_rows.join(entity_docs.filter(F.col("n_entity") < n), "entity").withColumn(
         "most", mostly + 1e-6
     )
-    known = _terms(rows.filter(F.size("entities") > 0)).join(term_docs, "term")
+    known = beside_terms.join(staged(term_docs, "terms"), "term")
     together = (
         beside.join(known, "rid")
         .filter(F.col("n_term") + SMOOTHING <= F.col("most"))
@@ -189,37 +218,59 @@ def revealing(rows: DataFrame) -> DataFrame:
     return together.filter(given >= least).select("term").distinct()
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """Per row ``rid``, ``doc_id``, ``body``, an array of (start, end) for each kind, and ``term``.
+def _searched(held: DataFrame) -> DataFrame:
+    """Places of ``terms`` in ``lower``, as a search for any of them as a whole word."""
+    edge = TERM.removesuffix("+")
+    pattern = F.concat(
+        F.lit(f"(?<!{edge})(?:"), F.array_join("terms", "|"), F.lit(f")(?!{edge})")
+    )
+    spans = F.transform(
+        found(F.col("lower"), pattern), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
+    )
+    return held.select("rid", spans.alias("term"))
 
-    Every occurrence of a revealing word is found, in all documents. Only those that have one
-    are looked at word by word; starts are running sums over a document's words.
-    """
-    rows = spotted(docs)
-    terms = staged(revealing(rows), "revealing")
-    holders = staged(_terms(rows).join(terms, "term").select("rid").distinct(), "holders")
+
+def _word_by_word(held: DataFrame) -> DataFrame:
+    """The same for rows with very many terms, or whose letters change in number in lower case:
+    every word is a row, and starts are running sums over a document's words."""
     words = F.regexp_extract_all("body", F.lit(TERM), F.lit(0))
     pieces = F.arrays_zip(
         F.split("body", TERM, -1).alias("gap"), F.concat(words, F.array(F.lit(""))).alias("word")
     )
-    each = rows.join(holders, "rid").select("rid", F.posexplode(pieces).alias("i", "piece"))
-    upto = Window.partitionBy("rid").orderBy("i")
+    each = held.select("rid", F.posexplode(pieces).alias("i", "piece"))
+    upto = Window.partitionBy("rid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     ends = each.select("rid", "i", F.length("piece.gap").alias("gap"), "piece.word").withColumn(
-        "end", F.sum(F.col("gap") + F.length("word")).over(upto.rowsBetween(Window.unboundedPreceding, 0))
+        "end", F.sum(F.col("gap") + F.length("word")).over(upto)
     )
-    spans = (
+    span = F.struct(
+        (F.col("end") - F.length("word")).cast("int").alias("start"), F.col("end").cast("int").alias("end")
+    )
+    own = held.select("rid", F.explode("terms").alias("term"))
+    return (
         ends.withColumn("term", F.lower("word"))
-        .join(terms, "term")
-        .select(
-            "rid",
-            F.struct(
-                (F.col("end") - F.length("word")).cast("int").alias("start"),
-                F.col("end").cast("int").alias("end"),
-            ).alias("span"),
-        )
+        .join(own, ["rid", "term"])
         .groupBy("rid")
-        .agg(F.array_sort(F.collect_list("span")).alias("term"))
+        .agg(F.array_sort(F.collect_list(span)).alias("term"))
     )
+
+
+def find(docs: DataFrame) -> DataFrame:
+    """Per row ``rid``, ``doc_id``, ``body``, an array of (start, end) for each kind, and ``term``.
+
+    Every occurrence of a revealing word is found, in all documents. Only texts that have one
+    are shuffled and searched.
+    """
+    rows = spotted(docs)
+    terms = staged(revealing(rows), "revealing")
+    own = _maybe_among(_terms(rows), terms, "term").join(terms, "term")
+    own = staged(own.groupBy("rid").agg(F.collect_list("term").alias("terms")), "holders")
+    held = staged(
+        _maybe_among(rows.select("rid", "body"), own.select("rid"), "rid")
+        .join(own, "rid"),
+        "held",
+    ).withColumn("lower", F.lower("body"))
+    plain = (F.size("terms") <= MOST_SEARCHED) & (F.length("lower") == F.length("body"))
+    spans = _searched(held.filter(plain)).unionByName(_word_by_word(held.filter(~plain)))
     return rows.join(spans, "rid", "left")
 
 
