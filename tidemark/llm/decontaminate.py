@@ -1,6 +1,8 @@
 """Benchmark passages in documents: CGK embedding, bit-sampling LSH, edit verification."""
 
+import uuid
 from collections import defaultdict
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -11,14 +13,14 @@ from tidemark.llm.common import filter_batches, map_batches, read, texts
 SIMILARITY = 0.8  # 1 - edits / characters of the item
 STEPS = 96  # of a walk; it reads about half as many characters
 WALKS = 3  # independent embeddings
-BANDS = 10  # samples of each embedding
-SAMPLED = 12  # embedded characters in a sample
-STRIDE = 2  # words between the windows of a document; items have a window at every word
-LEAST_WINDOWS = 4  # of each item of a length class, or else documents have one at every word too
+READS = 0.55  # characters that a step reads, a little over one half
+BANDS = 12  # samples of each embedding
+SAMPLED = 9  # embedded characters in a sample
+ALIKE = 0.5  # of all steps of a walk, in windows that are looked at; unrelated texts agree on less
 SHORT = 12  # characters; shorter items are found by exact pieces
 LONG_RUN = 32  # characters without white space that have a window at each
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
-BLOCK_CHARS = 1 << 25  # characters of benchmark that one pass over the documents looks for
+BLOCK_CHARS = 1 << 21  # characters of benchmark that one pass over the documents looks for
 CHUNK = 1 << 15  # windows that are walked together
 SEED = 20
 
@@ -45,58 +47,68 @@ class Embedding:
     """CGK walks: each step writes the character it is at and moves on if a coin says so.
 
     The coin belongs to the step and the character, so two texts that differ by few edits
-    meet again and write the same from there on. Windows are walked side by side; only the
-    sampled steps are kept, hashed into one key for each band. A text's end repeats itself.
+    meet again and write the same from there on. Windows are walked side by side, and what
+    they write is kept step by step, so that items of any length sample the same walks. A
+    text's end repeats itself, as a coin of character 0 always says no.
     """
 
-    def __init__(self, steps: int):
+    def __init__(self):
         rng = np.random.default_rng(SEED)
-        self.coins = rng.integers(0, 2, (WALKS, STEPS, 256)).astype(np.int32)
-        self.coins[:, :, 0] = 0
-        self.mixers = rng.integers(1, 1 << 62, (WALKS, BANDS, STEPS)).astype(np.uint64) * 2 + 1
-        # without repeats, so that every band sees as much of the text as any other
-        self.sampled = np.array(
-            [
-                [np.sort(rng.permutation(steps)[:SAMPLED]) for _ in range(BANDS)]
-                for _ in range(WALKS)
-            ]
-        )
-        self.steps = steps
+        # A coin is the top bit of the character times an odd number of the step.
+        self.coins = (rng.integers(0, 128, (WALKS, STEPS)) * 2 + 1).astype(np.uint8)
+        self.written = np.empty((STEPS, CHUNK), np.uint8)
+        self.moves = np.empty(CHUNK, np.uint8)
 
-    def keys(self, codes: np.ndarray, starts: np.ndarray, walk: int) -> np.ndarray:
-        """A key for each band and window."""
-        out = np.zeros((BANDS, len(starts)), np.uint64)
-        bands_at = defaultdict(list)
-        for band, steps in enumerate(self.sampled[walk]):
-            for step in steps.tolist():
-                bands_at[step].append(band)
-        position = starts.astype(np.int64)
-        with np.errstate(over="ignore"):
-            for step in range(self.steps):
-                now = codes[position]
-                for band in bands_at[step]:
-                    out[band] += (now.astype(np.uint64) + np.uint64(7)) * self.mixers[walk, band, step]
-                    out[band] ^= out[band] >> np.uint64(29)
-                position += self.coins[walk, step][now]
-        return out
+    def walk(self, codes: np.ndarray, starts: np.ndarray, walk: int, steps: int) -> np.ndarray:
+        """A row for each step: what each window has written."""
+        n = len(starts)
+        position, moves = starts.astype(np.int64), self.moves[:n]
+        for step in range(steps):
+            now = self.written[step, :n]
+            np.take(codes, position, out=now, mode="clip")
+            np.multiply(now, self.coins[walk, step], out=moves)
+            np.right_shift(moves, 7, out=moves)
+            np.add(position, moves, out=position, casting="unsafe")
+        return self.written[:, :n]
 
 
-def window_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where windows start, in order, and which of these start only for want of spaces.
+class Samples:
+    """Bit sampling of walks of so many steps: ``BANDS`` keys of ``SAMPLED`` characters each."""
 
-    They start at every word, and at every character of scripts without spaces and of long runs.
-    """
+    FACTOR = np.uint32(0x9E3779B1)
+
+    def __init__(self, steps: int):
+        rng = np.random.default_rng(SEED + steps)
+        self.steps = steps
+        # without repeats, so that every band sees as much of the text as any other
+        self.chosen = [
+            [np.sort(rng.permutation(steps)[: min(SAMPLED, steps)]).tolist() for _ in range(BANDS)]
+            for _ in range(WALKS)
+        ]
+
+    def keys(self, written: np.ndarray, walk: int):
+        """A key of each window for each band, one after another."""
+        for steps in self.chosen[walk]:
+            key = written[steps[0]].astype(np.uint32)
+            for step in steps[1:]:
+                np.multiply(key, self.FACTOR, out=key)
+                np.add(key, written[step], out=key)
+            np.multiply(key, self.FACTOR, out=key)
+            yield key ^ (key >> np.uint32(15))
+
+
+def window_starts(raw: np.ndarray) -> np.ndarray:
+    """Where windows start: at every word, and at every character of scripts without spaces and
+    of long runs."""
     edge = (raw == 32) | (raw == 0)
     word = ~edge & np.concatenate(([True], edge[:-1]))
-    dense = np.zeros(len(raw), bool)
+    begins, ends = np.flatnonzero(word), np.flatnonzero(edge & ~np.concatenate(([True], edge[:-1])))
     if len(raw) and raw.max() >= UNSPACED[0][0]:
         for low, high in UNSPACED:
-            dense |= (raw >= low) & (raw <= high)
-    begins, ends = np.flatnonzero(word), np.flatnonzero(edge & ~np.concatenate(([True], edge[:-1])))
+            word |= (raw >= low) & (raw <= high)
     for k in np.flatnonzero(ends - begins > LONG_RUN):
-        dense[begins[k] : ends[k]] = True
-    starts = np.flatnonzero(word | dense)
-    return starts, dense[starts]
+        word[begins[k] : ends[k]] = True
+    return np.flatnonzero(word)
 
 
 def pieces(text: str):
@@ -114,59 +126,78 @@ def steps_for(length: int) -> int:
     return steps
 
 
+SLOTS = 18  # bits of a key by which most windows are told to have no item
+
+
 class Index:
-    """Keys of the items' windows; items of like length share an embedding."""
+    """Keys of the items' windows, one at every word; items of like length sample alike."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [(i, normalise(t)) for i, t in items if t and t.strip()]
-        self.classes = []
+        self.embedding = Embedding()
+        self.classes: list[tuple[Samples, list]] = []
         self.short = [(n, pieces(t)) for n, (_, t) in enumerate(self.items) if len(t) < SHORT]
         by_steps = defaultdict(list)
         for n, (_, text) in enumerate(self.items):
-            if len(text) < SHORT:
-                continue
-            by_steps[steps_for(len(text))].append(n)
-        for steps, members in by_steps.items():
-            embedding = Embedding(steps)
+            if len(text) >= SHORT:
+                by_steps[steps_for(len(text))].append(n)
+        for steps, members in sorted(by_steps.items()):
+            samples = Samples(steps)
             raw = characters([self.items[n][1] for n in members])
             codes = coded(raw)
             lengths = np.array([len(self.items[n][1]) for n in members])
             ends = np.cumsum(lengths + 1)
             begins = ends - lengths - 1
-            starts, _ = window_starts(raw)
+            starts = window_starts(raw)
             owner = np.searchsorted(ends, starts, side="right")
             offset = starts - begins[owner]
-            useful = (offset == 0) | (lengths[owner] - offset >= 0.7 * steps)
+            useful = (offset == 0) | (lengths[owner] - offset >= READS * steps)
             starts, owner, offset = starts[useful], owner[useful], offset[useful]
-            few = np.bincount(owner, minlength=len(members)).min() < LEAST_WINDOWS
+            of_item, at = np.array(members, np.int32)[owner], offset.astype(np.int32)
             tables = []
             for walk in range(WALKS):
-                for keys in embedding.keys(codes, starts, walk):
-                    order = np.argsort(keys, kind="stable")
-                    seen = np.zeros(1 << 18, bool)
-                    seen[(keys >> np.uint64(40)) & np.uint64((1 << 18) - 1)] = True
-                    tables.append((seen, keys[order], np.array(members)[owner[order]], offset[order]))
-            self.classes.append((embedding, tables, 1 if few else STRIDE))
-
-    def candidates(self, codes: np.ndarray, starts: np.ndarray, nth: np.ndarray):
-        """Pairs (window start, item, offset in the item) that share a key.
-
-        ``nth`` is a start's number among its document's words, 0 if it must not be left out.
-        """
+                parts, rows = [], []
+                for part in np.split(starts, range(CHUNK, len(starts), CHUNK)):
+                    written = self.embedding.walk(codes, part, walk, steps)
+                    parts.append(list(samples.keys(written, walk)))
+                    rows.append(written[:steps].T.copy())
+                bands = []
+                for band in range(BANDS):
+                    keys = np.concatenate([p[band] for p in parts])
+                    order = np.argsort(keys, kind="stable").astype(np.int32)
+                    seen = np.zeros(1 << SLOTS, bool)
+                    seen[keys >> np.uint32(32 - SLOTS)] = True
+                    bands.append((seen, keys[order], order))
+                tables.append((np.concatenate(rows), bands))
+            self.classes.append((samples, of_item, at, tables))
+
+    def candidates(self, codes: np.ndarray, starts: np.ndarray):
+        """Pairs (window start, item, offset in the item) that share a key and whose walks write
+        the same at ``ALIKE`` of all steps: their Hamming distance stands for the edits."""
         found = set()
-        for embedding, tables, stride in self.classes:
-            probed = starts[nth % stride == 0]
-            for low in range(0, len(probed), CHUNK):
-                part = probed[low : low + CHUNK]
-                for walk in range(WALKS):
-                    for band, keys in enumerate(embedding.keys(codes, part, walk)):
-                        seen, table, items, offsets = tables[walk * BANDS + band]
-                        hit = np.flatnonzero(seen[(keys >> np.uint64(40)) & np.uint64((1 << 18) - 1)])
+        longest = max((samples.steps for samples, *_ in self.classes), default=0)
+        for low in range(0, len(starts) if longest else 0, CHUNK):
+            part = starts[low : low + CHUNK]
+            for walk in range(WALKS):
+                written = self.embedding.walk(codes, part, walk, longest)
+                for samples, of_item, at, tables in self.classes:
+                    rows, bands = tables[walk]
+                    for (seen, table, order), keys in zip(bands, samples.keys(written, walk)):
+                        hit = np.flatnonzero(seen[keys >> np.uint32(32 - SLOTS)])
                         first = np.searchsorted(table, keys[hit], "left")
-                        last = np.searchsorted(table, keys[hit], "right")
-                        for h, i, j in zip(hit[last > first], first[last > first], last[last > first]):
-                            at = int(part[h])
-                            found.update((at, int(items[k]), int(offsets[k])) for k in range(i, j))
+                        n = np.searchsorted(table, keys[hit], "right") - first
+                        if not n.any():
+                            continue
+                        asks = np.repeat(hit, n)
+                        upto = np.cumsum(n)
+                        told = order[np.arange(upto[-1]) + np.repeat(first - upto + n, n)]
+                        for some in range(0, len(asks), CHUNK):
+                            a, b = asks[some : some + CHUNK], told[some : some + CHUNK]
+                            alike = (rows[b] == written[: samples.steps, a].T).sum(axis=1)
+                            good = alike >= ALIKE * samples.steps
+                            found.update(
+                                zip(part[a[good]].tolist(), of_item[b[good]].tolist(), at[b[good]].tolist())
+                            )
         return found
 
 
@@ -210,10 +241,7 @@ def finder(index: Index):
         lengths = np.array([len(t) for t in normal], np.int64)
         ends = np.cumsum(lengths + 1)
         begins = ends - lengths - 1
-        starts, dense = window_starts(raw)
-        words = np.concatenate(([0], np.cumsum(~dense)))
-        nth = words[:-1] - words[np.searchsorted(starts, begins)][np.searchsorted(ends, starts, side="right")]
-        nth[dense] = 0
+        starts = window_starts(raw)
         places = defaultdict(set)
         for item, parts in index.short:
             for doc, body in enumerate(normal):
@@ -222,7 +250,7 @@ def finder(index: Index):
                     while at >= 0:
                         places[doc, item].add(at - offset)
                         at = body.find(part, at + 1)
-        for at, item, offset in index.candidates(codes, starts, nth):
+        for at, item, offset in index.candidates(codes, starts):
             doc = int(np.searchsorted(ends, at, side="right"))
             places[doc, item].add(at - int(begins[doc]) - offset)
         out = [[] for _ in batch]
@@ -246,13 +274,29 @@ def finder(index: Index):
     return find
 
 
+_FINDERS: dict[str, Callable] = {}
+
+
+def finder_of(block) -> Callable:
+    """The finder of a broadcast block, built once in a worker; only the last one is kept."""
+    key, items = block.value
+    if key not in _FINDERS:
+        _FINDERS.clear()
+        _FINDERS[key] = finder(Index(items))
+    return _FINDERS[key]
+
+
 def blocks(benchmark: DataFrame):
-    """The items in blocks of about ``BLOCK_CHARS``, each a broadcast of bounded size."""
+    """The items in blocks of about ``BLOCK_CHARS``, each a broadcast of bounded size.
+
+    An index takes some 100 bytes for each character of its block.
+    """
     items = benchmark.select("item_id", "text").filter("text IS NOT NULL")
     n = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS)
     for k in range(n):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        yield items.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
+        found = [(r["item_id"], r["text"]) for r in rows]
+        yield items.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, found))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -270,7 +314,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in blocks(benchmark):
 
         def run(batches, block=block):
-            find = finder(Index(block.value))
+            find = finder_of(block)
             for batch in batches:
                 hits = find(batch.column(1).to_pylist())
                 ids = batch.column(0).to_pylist()
@@ -293,7 +337,7 @@ def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     for block in blocks(read(spark, folder, "benchmark")):
 
         def test(block=block):
-            find = finder(Index(block.value))
+            find = finder_of(block)
             return lambda batch: [not hits for hits in find([t or "" for t in batch.column("text").to_pylist()])]
 
         docs = filter_batches(docs, test)
