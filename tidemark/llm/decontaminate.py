@@ -14,9 +14,9 @@ SIMILARITY = 0.8  # 1 - edits / characters of the item
 STEPS = 96  # of a walk; it reads about half as many characters
 WALKS = 3  # independent embeddings
 READS = 0.55  # characters that a step reads, a little over one half
-BANDS = 12  # samples of each embedding
+BANDS = 14  # samples of each embedding
 SAMPLED = 9  # embedded characters in a sample
-ALIKE = 0.5  # of all steps of a walk, in windows that are looked at; unrelated texts agree on less
+ALIKE = 0.54  # of all steps of a walk, in windows that are looked at; unrelated texts agree on less
 SHORT = 12  # characters; shorter items are found by exact pieces
 LONG_RUN = 32  # characters without white space that have a window at each
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
@@ -167,7 +167,8 @@ class Index:
                     order = np.argsort(keys, kind="stable").astype(np.int32)
                     seen = np.zeros(1 << SLOTS, bool)
                     seen[keys >> np.uint32(32 - SLOTS)] = True
-                    bands.append((seen, keys[order], order))
+                    table, begins_at = np.unique(keys[order], return_index=True)
+                    bands.append((seen, table, np.append(begins_at, len(order)), order))
                 tables.append((np.concatenate(rows), bands))
             self.classes.append((samples, of_item, at, tables))
 
@@ -182,12 +183,15 @@ class Index:
                 written = self.embedding.walk(codes, part, walk, longest)
                 for samples, of_item, at, tables in self.classes:
                     rows, bands = tables[walk]
-                    for (seen, table, order), keys in zip(bands, samples.keys(written, walk)):
-                        hit = np.flatnonzero(seen[keys >> np.uint32(32 - SLOTS)])
-                        first = np.searchsorted(table, keys[hit], "left")
-                        n = np.searchsorted(table, keys[hit], "right") - first
-                        if not n.any():
+                    for (seen, table, begin, order), keys in zip(bands, samples.keys(written, walk)):
+                        hit = np.flatnonzero(np.take(seen, keys >> np.uint32(32 - SLOTS)))
+                        asked = keys[hit]
+                        place = np.minimum(np.searchsorted(table, asked), len(table) - 1)
+                        same = table[place] == asked
+                        if not same.any():
                             continue
+                        hit, place = hit[same], place[same]
+                        first, n = begin[place], begin[place + 1] - begin[place]
                         asks = np.repeat(hit, n)
                         upto = np.cumsum(n)
                         told = order[np.arange(upto[-1]) + np.repeat(first - upto + n, n)]
