@@ -19,7 +19,7 @@ K1, B = 1.2, 0.75
 
 VOCABULARY = "word_bpe_49k.json"
 SHARD_DOCS = 512  # documents of one inverted index
-MOST_WORDS = 800_000  # words whose ids a worker remembers
+MOST_WORDS = 1_500_000  # words whose ids a worker remembers
 
 PUNCTUATION = punctuation.encode()
 ALPHANUMERIC = (ascii_lowercase + digits).encode()
@@ -38,27 +38,25 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds:
-    """Ids of whole texts, one white-space-free word at a time.
+class WordIds(dict):
+    """Ids of whole texts, one white-space-free word at a time: words to their packed ids.
 
     The vocabulary's rules never join characters across white space, so a text's ids are its
-    words' ids in a row; each distinct word is encoded once and remembered. They don't tell
-    A-Z from a-z either, and always part a letter or digit from a run of punctuation, so a
-    word's stem and its ending are encoded, and remembered, apart.
+    words' ids in a row; each distinct word is encoded when it is first asked for, and
+    remembered. The rules don't tell A-Z from a-z either, and always part a letter or digit
+    from a run of punctuation, so a word's stem and its ending are encoded, and remembered, apart.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.size = self.tokenizer.get_vocab_size()
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         # Plain words need no splitting rules, if these are rules that leave them whole.
-        encode = self.tokenizer.encode
-        self.direct = all(
-            self._plain(w) == encode(w, add_special_tokens=False).ids for w in ("a", "word", "straße", "été")
-        )
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.direct = all(self._plain(w) == self._whole(w) for w in ("a", "word", "straße", "été"))
 
     @classmethod
     def at(cls, path: str) -> "WordIds":
@@ -66,59 +64,44 @@ class WordIds:
             _TOKENIZERS[path] = cls(path)
         return _TOKENIZERS[path]
 
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def _plain(self, word: str) -> list[int]:
         """Ids of a word of lower-case letters: one piece, whose bytes go to the merges."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(BYTES)
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        model, direct = self.tokenizer.model, self.direct
-        found: list = []
-        rest = []
-        for w in words:
-            if direct and w.isascii() and w.isalpha():
-                found.append([t.id for t in model.tokenize(w)])
-            elif direct and w.isalpha() and w == w.lower() and max(w) < "\u0250":
-                found.append(self._plain(w))
-            else:
-                rest.append((len(found), w))
-                found.append(None)
-        encoded = self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)
-        for (at, _), e in zip(rest, encoded):
-            found[at] = e.ids
-        return found
-
-    def _learn(self, words) -> None:
-        """Remember the ids of new words."""
-        cut = []
-        for word in words:
-            if b"<|" in word:  # may hold a special token, which is matched as it is written
-                cut.append((word, word, b""))
-                continue
-            low = word.lower()
+        return [t.id for t in self.tokenize(word)]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        low = word.lower()
+        if self.direct and word.isalpha():  # ASCII letters alone
+            ids = self._packed([t.id for t in self.tokenize(low.decode())]) if low == word else self[low]
+        elif b"<|" in word:  # may hold a special token, which is matched as it is written
+            ids = self._packed(self._whole(word.decode("utf-8", "replace")))
+        else:
             stem = low.rstrip(PUNCTUATION)
-            whole = not stem or stem[-1:] not in ALPHANUMERIC
-            cut.append((word, low, b"") if whole else (word, stem, low[len(stem) :]))
-        new = {stem for _, stem, _ in cut}
-        new.update(ending for _, _, ending in cut)
-        new = list(new.difference(self.parts))
-        encoded = self._encode([p.decode("utf-8", "replace") for p in new])
-        parts = self.parts
-        parts.update((p, struct.pack(f"<{len(e)}I", *e)) for p, e in zip(new, encoded))
-        self.known.update((word, parts[stem] + parts[ending]) for word, stem, ending in cut)
+            if low != word:
+                ids = self[low]
+            elif stem and stem != low and stem[-1:] in ALPHANUMERIC:
+                ids = self[stem] + self[low[len(stem) :]]
+            else:
+                text = low.decode("utf-8", "replace")
+                plain = self.direct and text.isalpha() and text == text.lower() and max(text) < "\u0250"
+                ids = self._packed(self._plain(text) if plain else self._whole(text))
+        self[word] = ids
+        return ids
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        split = [t.encode("utf-8", "surrogatepass").split() for t in batch]
-        for memory in (self.known, self.parts):
-            if len(memory) > MOST_WORDS:
-                memory.clear()
-        self.parts[b""] = b""
-        self._learn(set().union(*split).difference(self.known))
-        end = np.array([END], "<u4").tobytes()
-        known = self.known
+        if len(self) > MOST_WORDS:
+            self.clear()
+        ids, end = self.__getitem__, np.array([END], self.kind).tobytes()
         return [
-            np.frombuffer(b"".join([*[known[w] for w in words], end]), "<u4") for words in split
+            np.frombuffer(b"".join(map(ids, t.encode("utf-8", "surrogatepass").split())) + end, self.kind)
+            for t in batch
         ]
 
 
@@ -150,14 +133,13 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None) -> tuple[DataFrame
         total = np.zeros(words.size, np.int64)
         for batch in batches:
             encoded = words.encode(batch.column(1).to_pylist())
-            narrow = [ids.astype("<u2" if words.size <= 1 << 16 else "<u4") for ids in encoded]
-            for ids in narrow:
+            for ids in encoded:
                 total[counted(ids)[0]] += 1
             yield {
                 "doc_id": batch.column(0),
                 "n": [len(ids) for ids in encoded],
                 "sig": [signature(ids) for ids in encoded],
-                "ids": [ids.tobytes() for ids in narrow],
+                "ids": [ids.tobytes() for ids in encoded],
                 "df": [None] * len(encoded),
             }
         yield {"doc_id": [None], "n": [None], "sig": [None], "ids": [None], "df": [total]}
@@ -300,7 +282,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     def run(batches):
         n, mean, df = shared.value
         size = max(df, default=0) + 1
-        wide = WordIds.at(vocabulary or vocabulary_path()).size > 1 << 16
+        kind = WordIds.at(vocabulary or vocabulary_path()).kind
         found = np.zeros(size)
         found[list(df)] = list(df.values())
         idf = np.log(1 + (n - found + 0.5) / (found + 0.5))
@@ -316,7 +298,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             out = []
             for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(doc_id)
-                tokens.append(np.frombuffer(raw, "<u4" if wide else "<u2"))
+                tokens.append(np.frombuffer(raw, kind))
                 if len(ids) == SHARD_DOCS:
                     out.extend(lay(ids, tokens))
                     ids, tokens = [], []
