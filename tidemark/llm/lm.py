@@ -1,6 +1,7 @@
 """Language-model scores: a gated recurrent network with a class-factored softmax."""
 
 from collections import Counter
+from itertools import repeat
 from math import log10
 
 import numpy as np
@@ -24,7 +25,7 @@ RATE = 0.01
 LANES = 1024  # documents scored side by side
 STEPS = 64  # of a scoring window
 TASK_TOKENS = 6_000_000  # tokens a task holds before it scores them
-COLUMNS = ["rid", "doc_id", "held_out", "n_tokens", "frequent", "others", "base", "other", "rare"]
+VECTORS = 32  # of parameters that are added up at once
 TASK_WORDS = 300_000  # words a task counts before it passes them on
 
 
@@ -283,30 +284,92 @@ def sequence_scores(net: Network, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, table: dict[bytes, tuple[int, int]], frequency: np.ndarray) -> np.ndarray:
-    """The network after ``ROUNDS`` of parallel learning on all the documents given.
+class Numbers:
+    """What a task knows of the ``FREQUENT`` words: their outcomes and the logs of their counts."""
 
-    Every token of every document is learnt from in one round, with the state of all tokens
-    before it. The tasks of a round learn apart, from the same start, and their weights are
-    averaged by the tokens they saw; the driver gets one row for each parameter.
+    def __init__(self, words: list[tuple[bytes, int]]):
+        self.rank = {w: i for i, (w, _) in enumerate(words)}
+        rank = np.arange(len(words))
+        self.own = np.where(rank + 2 < MODEL_WORDS, rank + 2, OTHER).astype("<u2")
+        self.logs = np.array([log10(c + SMOOTHING) for _, c in words])
+
+    def __call__(self, text: str) -> tuple:
+        """Outcomes with the end; counts of frequent words and of other outcomes; sums of logs
+        of frequent words and of those among the other outcomes; the words that are not frequent."""
+        words = split(text)
+        rank = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
+        known = rank >= 0
+        hit = rank[known]
+        ids = np.full(len(words) + 1, END, "<u2")
+        ids[:-1][known], ids[:-1][~known] = self.own[hit], OTHER
+        logs = self.logs[hit]
+        rare = [] if known.all() else [words[k] for k in np.flatnonzero(~known)]
+        outside = self.own[hit] == OTHER
+        others = int(outside.sum()) + len(rare)
+        return ids.tobytes(), len(hit), others, float(logs.sum()), float(logs[outside].sum()), b" ".join(rare)
+
+
+def numbered(rows: DataFrame, words: list[tuple[bytes, int]]) -> DataFrame:
+    """Every document's outcomes and sums, from one reading of its words; written once.
+
+    ``round`` is the one that learns from the document.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast({w: i for w, (i, _) in table.items() if i})
+    shared = rows.sparkSession.sparkContext.broadcast(Numbers(words))
+    names = ["ids", "frequent", "others", "base", "other", "rare"]
+
+    def run(batches):
+        number = shared.value
+        for batch in batches:
+            found = [number(text) for text in batch["text"].to_pylist()]
+            kept = {c: batch[c] for c in ("rid", "doc_id", "held_out", "round")}
+            yield {**kept, **dict(zip(names, map(list, zip(*found)) if found else [[]] * len(names)))}
+
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("round")
+    keyed = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", turn, "text")
+    schema = (
+        "rid bigint, doc_id bigint, held_out boolean, round int, ids binary, frequent bigint, "
+        "others bigint, base double, other double, rare binary"
+    )
+    return staged(map_batches(keyed, run, schema), "tokens")
+
+
+def averaged(parts: DataFrame) -> np.ndarray | None:
+    """The mean of vectors ``flat`` by ``weight``: sums of ``VECTORS`` at a time, until as few
+    are left for the driver."""
 
-    def numbered(batches):
+    def run(batches):
+        total, weight = None, 0
         for batch in batches:
-            ids = shared.value
-            found = [
-                np.array([*[ids.get(w, OTHER) for w in split(text)], END], "<u2").tobytes()
-                for text in batch.column(0).to_pylist()
-            ]
-            yield {"ids": found, "round": batch.column(1)}
-
-    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int")
-    tokens = staged(map_batches(docs.select("text", turn), numbered, "ids binary, round int"), "tokens")
+            for w, flat in zip(batch["weight"].to_pylist(), batch["flat"]):
+                values = flat.values.to_numpy() * w
+                total = values if total is None else total + values
+                weight += w
+        if total is not None:
+            yield {"weight": [weight], "flat": [total / weight]}
+
+    schema = "weight bigint, flat array<double>"
+    while True:
+        parts = staged(parts, "weights")
+        n = parts.count()
+        if n <= VECTORS:
+            break
+        parts = map_batches(parts.coalesce(-(-n // VECTORS)), run, schema)
+    rows = parts.collect()
+    if not rows:
+        return None
+    return np.average([r["flat"] for r in rows], axis=0, weights=[r["weight"] for r in rows])
+
+
+def train(tokens: DataFrame, frequency: np.ndarray) -> np.ndarray:
+    """The network after ``ROUNDS`` of parallel learning on all the training documents.
+
+    Every token of every document is learnt from in one round, with the state of all tokens
+    before it. The tasks of a round learn apart, from the same start, and their weights are
+    averaged by the tokens they saw.
+    """
     flat = Network.initial(frequency).flat
     for k in range(ROUNDS):
-        start = spark.sparkContext.broadcast(flat)
+        start = tokens.sparkSession.sparkContext.broadcast(flat)
 
         def learn(batches):
             learner = Learner(start.value)
@@ -316,18 +379,10 @@ def train(docs: DataFrame, table: dict[bytes, tuple[int, int]], frequency: np.nd
             if seen:
                 yield {"weight": [seen], "flat": [learner.net.flat.astype(np.float64)]}
 
-        parts = map_batches(
-            tokens.filter(F.col("round") == k).select("ids"), learn, "weight bigint, flat array<double>"
-        )
-        mean = (
-            parts.select("weight", F.posexplode("flat").alias("at", "value"))
-            .groupBy("at")
-            .agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value"))
-            .toPandas()  # one row for each parameter
-        )
-        if len(mean):
-            flat = np.zeros(Network.SIZE, np.float32)
-            flat[mean["at"].to_numpy()] = mean["value"].to_numpy()
+        own = tokens.filter((F.col("round") == k) & ~F.col("held_out")).select("ids")
+        mean = averaged(map_batches(own, learn, "weight bigint, flat array<double>"))
+        if mean is not None:
+            flat = mean.astype(np.float32)
     return flat
 
 
@@ -339,6 +394,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     the end and a common outcome for other words; one of those is then drawn by its smoothed
     count among them, so a text's probability is a product over its tokens. Counts of the
     ``FREQUENT`` most frequent words go to every task, of the others by a join on the word.
+    Documents are numbered once; learning and scoring read the numbers.
 
     Null and empty texts are one token, the end. Without training documents every count is
     zero and the network stays as it began. Repeated rows come out repeated; an empty table
@@ -352,49 +408,30 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     n_docs = training.select("doc_id").count()
     n_words, v_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = n_words + n_docs, v_words + (n_docs > 0)
-    table: dict[bytes, tuple[int, int]] = {}
+    common = frequent(counts)
     frequency = np.zeros(MODEL_WORDS)
-    for i, (word, c) in enumerate(frequent(counts)):
-        own = i + 2 if i + 2 < MODEL_WORDS else OTHER
-        table[word] = (own, c)
-        if own:
-            frequency[own] = c
+    own = np.array([c for _, c in common[: MODEL_WORDS - 2]])
+    frequency[2 : 2 + len(own)] = own
     frequency[OTHER], frequency[END] = n_words - frequency[2:].sum(), n_docs
     outside = frequency[OTHER] + SMOOTHING * (v_words - (frequency[2:] > 0).sum() + 1)
-    flat = train(training, table, frequency)
-    logs = {w: (i, log10(c + SMOOTHING)) for w, (i, c) in table.items()}
-    shared = spark.sparkContext.broadcast((logs, flat))
+    tokens = numbered(rows, common)
+    shared = spark.sparkContext.broadcast(train(tokens, frequency))
+    kept = ["rid", "doc_id", "held_out", "frequent", "others", "base", "other"]
 
     def run(batches):
-        table, flat = shared.value
-        net = Network(flat)
-        end = log10(n_docs + SMOOTHING)
+        net = Network(shared.value)
         waiting, sequences, size = [], [], 0
 
         def flush():
             found = sequence_scores(net, sequences) / np.log(10)
-            return {**dict(zip(COLUMNS, map(list, zip(*waiting)))), "model": found}
+            columns = dict(zip(kept, map(list, zip(*waiting))))
+            return {**columns, "n_tokens": [len(ids) for ids in sequences], "model": found}
 
         for batch in batches:
-            for rid, doc_id, held_out, text in zip(*(c.to_pylist() for c in batch.columns)):
-                words = split(text)
-                ids = np.full(len(words) + 1, END, np.uint16)
-                base, other, rare = end, 0.0, []
-                for k, w in enumerate(words):
-                    hit = table.get(w)
-                    if hit is None:
-                        rare.append(w)
-                        ids[k] = OTHER
-                    else:
-                        ids[k] = hit[0]
-                        base += hit[1]
-                        if hit[0] == OTHER:
-                            other += hit[1]
-                others = int((ids == OTHER).sum())
-                frequent = len(words) - len(rare)
-                waiting.append((rid, doc_id, held_out, len(ids), frequent, others, base, other, b" ".join(rare)))
-                sequences.append(ids)
-                size += len(ids)
+            *columns, raw = (c.to_pylist() for c in batch.columns)
+            waiting.extend(zip(*columns))
+            sequences.extend(np.frombuffer(r, "<u2") for r in raw)
+            size += sum(len(r) // 2 for r in raw)
             if size > TASK_TOKENS:
                 yield flush()
                 waiting, sequences, size = [], [], 0
@@ -402,13 +439,12 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             yield flush()
 
     schema = (
-        "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, frequent bigint, "
-        "others bigint, base double, other double, rare binary, model double"
+        "rid bigint, doc_id bigint, held_out boolean, frequent bigint, others bigint, "
+        "base double, other double, n_tokens bigint, model double"
     )
-    keyed = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", "text")
-    scored = staged(map_batches(keyed, run, schema), "scored")
+    scored = staged(map_batches(tokens.select(*kept, "ids"), run, schema), "scored")
     rare = (
-        scored.filter("octet_length(rare) > 0")
+        tokens.filter("octet_length(rare) > 0")
         .select("rid", F.explode(F.split(F.col("rare").cast("string"), " ")).alias("word"))
         .join(counts.select(F.col("word").cast("string"), "c"), "word", "left")
         .groupBy("rid")
@@ -420,16 +456,13 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     none = F.lit(0)
     rare_sum = F.coalesce("rare_sum", none.cast("double"))
     known_end = int(n_docs > 0)
-    return (
-        scored.drop("rare")
-        .join(rare, "rid", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("frequent") + F.coalesce("rare_known", none) + known_end).alias("n_known"),
-            F.lit(n).cast("bigint").alias("train_tokens"),
-            (F.col("base") + rare_sum - F.col("n_tokens") * log10(n + SMOOTHING * (v + 1))).alias("base_score"),
-            (F.col("model") + F.col("other") + rare_sum - F.col("others") * log10(outside)).alias("score"),
-        )
+    base = F.col("base") + F.lit(log10(n_docs + SMOOTHING)) + rare_sum
+    return scored.join(rare, "rid", "left").select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("frequent") + F.coalesce("rare_known", none) + known_end).alias("n_known"),
+        F.lit(n).cast("bigint").alias("train_tokens"),
+        (base - F.col("n_tokens") * log10(n + SMOOTHING * (v + 1))).alias("base_score"),
+        (F.col("model") + F.col("other") + rare_sum - F.col("others") * log10(outside)).alias("score"),
     )
