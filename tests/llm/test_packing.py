@@ -1,5 +1,6 @@
 """Packing: an exact round trip, and the pipeline."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from llm.corpus import COLUMNS, awkward, prose, table
+from llm.corpus import COLUMNS, FOLDER, awkward, prose, table
 from tidemark.llm import packing
 
 
@@ -72,6 +73,42 @@ def test_scores_equal_the_formula():
         assert np.allclose(shard.scores(q), want)
 
 
+def test_a_windows_documents_are_the_seeds_best_unused_ones():
+    """Every choice of a shard against all scores, computed anew."""
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 60, rng.integers(200, 1500)).astype("<u4") for _ in range(40)]
+    sizes = [len(d) for d in docs]
+    shard = packing.Shard(docs, rng.random(60), 800.0)
+    order = list(packing.reading_order(shard, sizes, packing.WINDOW))
+    assert sorted(order) == list(range(40))
+    used, seed, room = set(), None, packing.WINDOW
+    for k in order:
+        if seed is not None:
+            scores = shard.scores(seed)
+            left = [j for j in range(40) if j not in used]
+            assert scores[k] == max(scores[j] for j in left)
+        used.add(k)
+        seed = k if seed is None else seed
+        room -= sizes[k]
+        if room <= 0:
+            seed, room = (k if room < 0 else None), packing.WINDOW - (-room) % packing.WINDOW
+
+
+def test_words_ids_are_the_tokenizers(spark, monkeypatch):
+    """Odd strings, and the table's documents, also where the memory is cleared all the time."""
+    rng = random.Random(8)
+    odd = "aZé ÉßſİıĀ\u0301\u0308ﬁ光ไ.,'!<|>_-09٣½ \t\n\u00a0\u2028\u200b\U0001f600"
+    texts = ["".join(rng.choices(odd, k=rng.randint(0, 40))) for _ in range(3000)]
+    texts += [r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    words = packing.WordIds(packing.vocabulary_path())
+    want = ids_of(texts)
+    for most in (packing.MOST_WORDS, 5):
+        monkeypatch.setattr(packing, "MOST_WORDS", most)
+        for low in range(0, len(texts), 500):
+            for mine, theirs, text in zip(words.encode(texts[low : low + 500]), want[low:], texts[low:]):
+                assert mine.tolist() == theirs.tolist(), repr(text)
+
+
 def test_neighbours_share_a_window():
     """Documents of one subject go to one window."""
     docs = [np.arange(1000) % 50 + 100 * (k % 2) for k in range(8)]
