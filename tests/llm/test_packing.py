@@ -1,5 +1,6 @@
 """Packing: an exact round trip, and the pipeline."""
 
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -186,6 +187,17 @@ def test_pipeline_on_awkward_rows(spark, extra):
     assert docs.count() > 0
 
 
+def test_a_run_leaves_its_last_table_alone(spark, tmp_path):
+    folder, shared = str(tmp_path / "tables"), spark.conf.get("spark.checkpoint.dir")
+    table(spark, [*awkward(), *[(100 + i, prose(i, 90)) for i in range(30)]]).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, prose(900, 20))], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    before = set(os.listdir(shared))
+    rows = corpus_pipeline.run(spark, folder)
+    left = set(os.listdir(shared)) - before
+    assert [name.split("-")[0] for name in left if "-" in name] == ["packing"]
+    assert rows.count() > 30
+
+
 def test_pipeline_of_nothing(spark):
     docs = table(spark, [])
     for _, function in corpus_pipeline.STAGES:

@@ -1,6 +1,7 @@
 """What the corpus operators share: reading, staging, fixed hash splits, Arrow maps."""
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from tempfile import mkdtemp
 from zipfile import ZipFile
@@ -47,9 +48,31 @@ def remainder(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus, F.lit(-1))
 
 
+_WRITTEN: list[list[str]] = []  # paths that are noted, for each ``noted`` under way
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths written below the shared folder meanwhile, in order."""
+    paths: list[str] = []
+    _WRITTEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _WRITTEN.pop()
+
+
+def noted_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, known to whoever takes notes."""
+    path = scratch_path(spark, name)
+    for paths in _WRITTEN:
+        paths.append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    path = scratch_path(df.sparkSession, name)
+    path = noted_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

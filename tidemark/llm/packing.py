@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, scratch_path, texts
+from tidemark.llm.common import map_batches, noted_path, texts
 
 # --- Fixed values ---
 WINDOW = 4096  # tokens of a sequence
@@ -144,7 +144,7 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None) -> tuple[DataFrame
             }
         yield {"doc_id": [None], "n": [None], "sig": [None], "ids": [None], "df": [total]}
 
-    path = scratch_path(docs.sparkSession, "tokens")
+    path = noted_path(docs.sparkSession, "tokens")
     schema = "doc_id bigint, n bigint, sig bigint, ids binary, df array<bigint>"
     rows = map_batches(texts(docs), run, schema)
     rows.write.option("compression", "zstd").parquet(path)
