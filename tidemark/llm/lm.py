@@ -207,39 +207,61 @@ class Learner:
         return seen
 
     def window(self, x, y, h, fresh=None, real=None):
-        """One step of learning. Where ``fresh`` the state starts anew; only ``real`` tokens count."""
-        net = self.net
+        """One step of learning. Where ``fresh`` the state starts anew; only ``real`` tokens count.
+
+        Only what a step needs of the last one is computed step by step.
+        """
+        net, steps = self.net, x.shape[1]
         grad = Network(np.zeros(Network.SIZE, np.float32))
-        kept, states = [], []
-        for t in range(x.shape[1]):
-            before = h if fresh is None else h * ~fresh[:, t, None]
-            h, parts = net.step(x[:, t], before)
-            kept.append((before, *parts))
-            states.append(h)
-        flat, target = np.concatenate(states), y.T.reshape(-1)
+        inputs = net.inputs[x.T]
+        shape, kind = (steps, len(x), HIDDEN), inputs.dtype
+        before, states, n, un = (np.empty(shape, kind) for _ in range(4))
+        gates = np.empty((steps, len(x), 2 * HIDDEN), kind)
+        stays = None if fresh is None else ~fresh.T[:, :, None]
+        for t in range(steps):
+            before[t] = h if stays is None else h * stays[t]
+            u = before[t] @ net.state
+            gate = gates[t]
+            np.add(inputs[t, :, : 2 * HIDDEN], u[:, : 2 * HIDDEN], out=gate)
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            un[t] = u[:, 2 * HIDDEN :]
+            np.multiply(gate[:, :HIDDEN], un[t], out=n[t])
+            n[t] += inputs[t, :, 2 * HIDDEN :]
+            np.tanh(n[t], out=n[t])
+            np.subtract(before[t], n[t], out=states[t])
+            states[t] *= gate[:, HIDDEN:]
+            states[t] += n[t]
+            h = states[t]
+        flat, target = states.reshape(-1, HIDDEN), y.T.reshape(-1)
         if real is None:
             _, dh_out = net.outputs(flat, target, grad)
         else:
             at = np.flatnonzero(real.T.reshape(-1))
             dh_out = np.zeros_like(flat)
             dh_out[at] = net.outputs(flat[at], target[at], grad)[1]
-        dh_out = dh_out.reshape(len(states), *h.shape)
-        dh = np.zeros_like(h)
-        du = np.empty((len(states), len(h), 3 * HIDDEN), h.dtype)
-        dg = np.empty_like(du)
-        for t in reversed(range(x.shape[1])):
-            before, r, z, n, un = kept[t]
-            dh = dh + dh_out[t]
-            dan = dh * (1 - z) * (1 - n * n)
-            dg[t, :, :HIDDEN] = dan * un * r * (1 - r)
-            dg[t, :, HIDDEN : 2 * HIDDEN] = dh * (before - n) * z * (1 - z)
-            dg[t, :, 2 * HIDDEN :] = dan
+        dh_out = dh_out.reshape(shape)
+        r, z = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        by_n = (1 - z) * (1 - n * n)  # what a change of the state changes in n's sum, and so on
+        by_r = un * r * (1 - r)
+        by_z = (before - n) * z * (1 - z)
+        dh = np.zeros_like(states[0])
+        dg = np.empty((steps, len(x), 3 * HIDDEN), kind)
+        du = np.empty_like(dg)
+        for t in reversed(range(steps)):
+            dh += dh_out[t]
+            dan = np.multiply(dh, by_n[t], out=dg[t, :, 2 * HIDDEN :])
+            np.multiply(dan, by_r[t], out=dg[t, :, :HIDDEN])
+            np.multiply(dh, by_z[t], out=dg[t, :, HIDDEN : 2 * HIDDEN])
             du[t, :, : 2 * HIDDEN] = dg[t, :, : 2 * HIDDEN]
-            du[t, :, 2 * HIDDEN :] = dan * r
-            dh = dh * z + du[t] @ net.state.T
-            if fresh is not None:
-                dh *= ~fresh[:, t, None]
-        grad.state += np.concatenate([k[0] for k in kept]).T @ du.reshape(-1, 3 * HIDDEN)
+            np.multiply(dan, r[t], out=du[t, :, 2 * HIDDEN :])
+            dh *= z[t]
+            dh += du[t] @ net.state.T
+            if stays is not None:
+                dh *= stays[t]
+        grad.state += before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
         words = x.T.reshape(-1)
         order = np.argsort(words, kind="stable")
         starts = np.flatnonzero(np.diff(words[order], prepend=-1))
