@@ -609,7 +609,8 @@ def stream_damaged_counts(spark, folder):
 @query
 def stream_triggered(spark, folder):
     """Three batches under the default trigger: their rows, and whether each began on a
-    multiple of five seconds (the first one begins at once)."""
+    multiple of five seconds; the first one begins at once, and one whose tick has passed while
+    the last one ran begins as that ends."""
     path, out = event_files(spark, folder), scratch_path(spark, "stream")
     schema = S.event_schema(tables.ID_TYPE, corrupt=True)
     stream = events.read_events(spark, path, max_files=2, schema=schema)
@@ -618,18 +619,25 @@ def stream_triggered(spark, folder):
     )
     try:
         started.processAllAvailable()
-        begun = {p.batchId: p.timestamp for p in started.recentProgress if p.numInputRows}
+        told = [p for p in started.recentProgress if p.numInputRows]
     finally:
         started.stop()
     batches = spark.createDataFrame(
-        sorted(begun.items()), "batch_id bigint, began string"
-    ).withColumn("off", F.pmod(F.unix_millis(F.to_timestamp("began")), F.lit(5000)))
+        [(p.batchId, p.timestamp, p.durationMs["triggerExecution"]) for p in told],
+        "batch_id bigint, began string, took bigint",
+    ).withColumn("began", F.unix_millis(F.to_timestamp("began")))
+    last = Window.orderBy("batch_id")  # three rows
+    late = (F.lag("took").over(last) > 4000) & (
+        F.col("began") - F.lag("began").over(last) - F.lag("took").over(last) < 1000
+    )
+    off = F.pmod(F.col("began"), F.lit(5000))
+    on_time = (F.col("batch_id") == 0) | F.least(off, 5000 - off).between(0, 999) | late
+    batches = batches.select("batch_id", on_time.cast("int").alias("on_time"))
     batch = F.regexp_extract(F.input_file_name(), r"batch_(\d+)", 1).cast("bigint")
-    on_time = (F.col("batch_id") == 0) | F.least("off", 5000 - F.col("off")).between(0, 999)
     rows = spark.read.parquet(f"{out}/*").withColumn("batch_id", batch)
     return (
         rows.join(F.broadcast(batches), "batch_id")
-        .groupBy(on_time.cast("int").alias("on_time"))
+        .groupBy("on_time")
         .agg(F.count("*").alias("rows"), F.count_distinct("batch_id").alias("batches"))
     )
 
