@@ -11,7 +11,7 @@ from tidemark.functions import columns as C
 from tidemark.operators import features, metrics, models, ranking, reports, scoring, split
 from tidemark.plans import inference, layers, registry, training
 from tidemark.session import configure, scratch_path
-from tidemark.sinks.files import remove, save_model, write_layer
+from tidemark.sinks.files import EVENTS_PER_FILE, remove, save_model, write_events, write_layer
 from tidemark.sources import tables
 from tidemark.sources.files import load_model, read_csv, read_layer, read_requests
 from tidemark.streaming import events
@@ -72,17 +72,36 @@ def runs_fixture(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def per_file(spark: SparkSession, folder: str, files: int) -> int:
+    """Events a file may hold so that the raw rows fill ``files`` or more; from the footer."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    return min(EVENTS_PER_FILE, max(1, -(-lines // files)))
+
+
 def event_files(spark: SparkSession, folder: str) -> str:
-    """The raw rows as six JSON event files."""
-    path = scratch_path(spark, "events")
+    """The raw rows as JSON event files, a dozen or more."""
     rows = tables.as_events(tables.raw_appointments(spark, folder))
-    rows.repartition(6, "AppointmentID").write.json(path)
-    return path
+    return write_events(rows, scratch_path(spark, "events"), per_file(spark, folder, 12))
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def events_there(spark: SparkSession, path: str, batches: int, known: int = 0) -> tuple[DataFrame, int]:
+    """A stream over the folder whose files beyond the ``known`` first make so many batches,
+    and the number of its files."""
     schema = S.event_schema(tables.ID_TYPE, corrupt=True)
-    return events.read_events(spark, event_files(spark, folder), max_files=2, schema=schema)
+    files = len(spark.read.schema(schema).json(path).inputFiles())
+    most = max(1, -(-(files - known) // batches))
+    return events.read_events(spark, path, max_files=most, schema=schema), files
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The event files in three batches."""
+    return events_there(spark, event_files(spark, folder), 3)[0]
+
+
+def staged_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw rows as events yet to come: written once, however many parts are taken of them."""
+    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    return read_layer(spark, write_layer(rows, scratch_path(spark, "staged")))
 
 
 # --- layers ---
@@ -408,9 +427,9 @@ def stream_consolidated(spark, folder):
 @query
 def stream_restarted(spark, folder):
     """Half of the files, a stop, the other half from the same checkpoint."""
-    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    rows = staged_events(spark, folder)
     path, out = scratch_path(spark, "events"), scratch_path(spark, "stream")
-    checkpoint = scratch_path(spark, "checkpoint")
+    checkpoint, known = scratch_path(spark, "checkpoint"), 0
 
     def decide(batch):
         scored = tables.scored_rows(features.featurize(batch))
@@ -418,9 +437,8 @@ def stream_restarted(spark, folder):
 
     late = F.col("AppointmentID") % 2 == 1
     for part in (rows.filter(~late), rows.filter(late)):
-        part.repartition(4, "AppointmentID").write.mode("append").json(path)
-        schema = S.event_schema(tables.ID_TYPE, corrupt=True)
-        stream = events.read_events(spark, path, max_files=2, schema=schema)
+        write_events(part, path, per_file(spark, folder, 16))
+        stream, known = events_there(spark, path, 2, known)
         events.start_batches(
             stream, decide, out, checkpoint, trigger=events.WHAT_IS_THERE
         ).awaitTermination()
@@ -429,16 +447,15 @@ def stream_restarted(spark, folder):
 
 def in_parts(spark, folder, parts, prepare=None):
     """Folders for events and output, and writers that add a part of the raw rows each."""
-    rows = tables.as_events(tables.raw_appointments(spark, folder))
+    rows = staged_events(spark, folder)
     path = scratch_path(spark, "events")
 
     def add(part):
         chosen = rows.filter(F.col("AppointmentID") % parts == part)
-        (prepare(chosen, part) if prepare else chosen).write.mode("append").json(path)
+        write_events(prepare(chosen, part) if prepare else chosen, path)
 
     def stream():
-        schema = S.event_schema(tables.ID_TYPE, corrupt=True)
-        return events.read_events(spark, path, schema=schema)
+        return events_there(spark, path, 1)[0]
 
     return add, stream
 
@@ -537,9 +554,8 @@ def damaged_events(spark, folder):
     line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
     short = F.expr("substring(line, 1, length(line) - 3)")
     cut = F.when(F.col("kind") == 1, short).otherwise(F.col("line"))
-    rows.withColumn("ScheduledDay", day).select(kind.alias("kind"), line.alias("line")).select(
-        cut.alias("value")
-    ).write.text(path)
+    lines = rows.withColumn("ScheduledDay", day).select(kind.alias("kind"), line.alias("line"))
+    write_events(lines.select(cut.alias("value")), path)
 
     def stream():
         return events.read_events(spark, path, schema=S.event_schema(tables.ID_TYPE, corrupt=True))
@@ -611,11 +627,9 @@ def stream_triggered(spark, folder):
     """Three batches under the default trigger: their rows, and whether each began on a
     multiple of five seconds; the first one begins at once, and one whose tick has passed while
     the last one ran begins as that ends."""
-    path, out = event_files(spark, folder), scratch_path(spark, "stream")
-    schema = S.event_schema(tables.ID_TYPE, corrupt=True)
-    stream = events.read_events(spark, path, max_files=2, schema=schema)
+    out = scratch_path(spark, "stream")
     started = events.start_batches(
-        stream, features.featurize, out, scratch_path(spark, "checkpoint")
+        event_stream(spark, folder), features.featurize, out, scratch_path(spark, "checkpoint")
     )
     try:
         started.processAllAvailable()
