@@ -337,3 +337,81 @@ def test_requests_need_features_only(spark, prepared, gold, tmp_path):
     (tmp_path / "bad.json").write_text('{"Gender": "Female", "Age": "old"}')
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
         read_requests(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_equal_rows_are_folded_for_learners_that_draw_none(spark, gold):
+    """Every profile once with the number of its copies, and the model of the rows."""
+    twice = gold.unionByName(gold.withColumn("AppointmentID", F.col("AppointmentID") + 10_000_000))
+    few = twice.withColumns(
+        {
+            "Age": (F.col("Age") / 30).cast("int") * 30,
+            "days_until_appointment": F.col("days_until_appointment") % 2,
+            "Handcap": F.col("Handcap") % 2,
+        }
+    )
+    prepared = training.prepare(few, keep=S.IDS)
+    folded = prepared.train_folded
+    assert folded.agg(F.sum(split.ROWS)).first()[0] == prepared.train_rows
+    assert folded.count() == prepared.rows("train").select(*S.TRAINING).distinct().count()
+    assert folded.count() < prepared.train_rows / 2
+    assert prepared.test_folded.agg(F.sum(split.ROWS)).first()[0] == prepared.test.count()
+    for candidate in (TREES[1], models.Candidate("lr", "logistic_regression", {"C": 1})):
+        fitted = training.fit(prepared, candidate)
+        built = models.estimator(
+            candidate.model_type, candidate.params, prepared.train_rows, splits=prepared.splits
+        )
+        plain = built.fit(prepared.train)
+        scores = [
+            training.score_all(prepared.test, [candidate], [m], keep=["AppointmentID"])
+            for m in (fitted, plain)
+        ]
+        one, other = ({r["AppointmentID"]: r["p"] for r in s.collect()} for s in scores)
+        assert max(abs(one[k] - other[k]) for k in other) < 1e-6
+        whole = training.grid_metrics(scores[0], [candidate]).first()
+        short = training.score_all(prepared.test_folded, [candidate], [fitted], keep=[split.ROWS])
+        assert training.grid_metrics(short, [candidate]).first() == whole
+
+
+def test_rows_travel_once_to_the_places_of_their_chunks(spark, monkeypatch):
+    rows = [(i % 40, str(i % 3), None if i % 5 else 0.5) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(3)
+    monkeypatch.setattr(split, "fixed_partitions", lambda n: 4)
+
+    def placed():
+        ordered = split.in_fixed_order(df, len(rows)).withColumn("at", F.spark_partition_id())
+        plan = ordered._jdf.queryExecution().optimizedPlan().toString()
+        return "Aggregate" in plan, [tuple(r) for r in ordered.collect()]
+
+    assert not split.may_crowd(df)
+    counted, once = placed()
+    monkeypatch.setattr(split, "may_crowd", lambda d: True)
+    assert (counted, placed()) == (False, (True, once))
+
+
+def test_a_large_forest_on_few_rows_is_built_in_parts(spark, prepared, tmp_path):
+    wanted = models.Candidate("rf", "random_forest", {"n_estimators": 120, "max_depth": 3})
+    parts = prepared.parts(wanted)
+    assert [(p.params["n_estimators"], p.params["seed"]) for p in parts] == [(50, 42), (50, 43), (20, 44)]
+    small = models.Candidate("rf", "random_forest", {"n_estimators": 50, "max_depth": 3})
+    assert prepared.parts(small) == [small]
+    whole = training.fit_all(prepared, [wanted])[0]
+    assert whole.getNumTrees == 120 and len({t.toDebugString for t in whole.trees}) > 100
+    path = str(tmp_path / "whole")
+    models.assemble(prepared.encoding, whole).write().save(path)
+    saved = load_model(path).stages[-1]
+    p = vector_to_array("probability")[1].alias("p")
+    rows = [m.transform(prepared.test).select("AppointmentID", p) for m in (whole, saved)]
+    first = training.fit_part(prepared, small)
+    own = {tuple(t.toDebugString.splitlines()[1:]) for t in first.trees}
+    assert own <= {tuple(t.toDebugString.splitlines()[1:]) for t in whole.trees}
+    one, other = (sorted(map(tuple, r.collect())) for r in rows)
+    assert one == other
+    fitted = training.fit(prepared, wanted).transform(prepared.test).select("AppointmentID", p)
+    assert sorted(map(tuple, fitted.collect())) == one
+
+
+def test_flat_forests_keep_no_node_ids(spark):
+    flat, deep = (
+        models.estimator("random_forest", {"n_estimators": 2, "max_depth": d}, 10) for d in (5, 12)
+    )
+    assert (flat.getCacheNodeIds(), deep.getCacheNodeIds()) == (False, True)
