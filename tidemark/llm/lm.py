@@ -1,14 +1,14 @@
 """Language-model scores: a gated recurrent network with a class-factored softmax."""
 
-from collections import Counter
-from itertools import repeat
 from math import log10
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, remainder, staged, texts
+from tidemark.llm.common import lists, map_batches, remainder, staged, texts
 
 HELD_OUT, FOLDS = 0, 10  # fixed values
 SMOOTHING = 0.1  # fixed value
@@ -29,22 +29,42 @@ VECTORS = 32  # of parameters that are added up at once
 TASK_WORDS = 300_000  # words a task counts before it passes them on
 
 
-def split(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in order, and how many each text has."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes, words = words.value_lengths().to_numpy(zero_copy_only=False), words.flatten()
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # space at a text's ends leaves empty ones
+    if not real.all():
+        edges = np.concatenate(([0], np.cumsum(real)))[np.concatenate(([0], np.cumsum(sizes)))]
+        sizes, words = np.diff(edges), words.filter(pa.array(real))
+    return words.cast(pa.binary()), sizes
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """How often each word occurs in all the documents given."""
 
+    def folded(tables):
+        table = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return table.select(["word", "c_sum"]).rename_columns(["word", "c"]).combine_chunks()
+
     def run(batches):
-        counted = Counter()
+        waiting, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counted.update(split(text))
-            if len(counted) > TASK_WORDS:
-                yield {"word": list(counted), "c": list(counted.values())}
-                counted = Counter()
-        yield {"word": list(counted), "c": list(counted.values())}
+            counted = split(batch.column(0))[0].value_counts()
+            waiting.append(pa.table({"word": counted.field(0), "c": counted.field(1)}))
+            size += len(counted)
+            if size > 2 * TASK_WORDS:
+                waiting = [folded(waiting)]
+                size = len(waiting[0])
+                if size > TASK_WORDS:
+                    yield from passed(waiting[0])
+                    waiting, size = [], 0
+        if waiting:
+            yield from passed(folded(waiting))
+
+    def passed(table):
+        for batch in table.to_batches():
+            yield {"word": batch["word"], "c": batch["c"]}
 
     counted = map_batches(docs.select("text"), run, "word binary, c bigint")
     return staged(counted.groupBy("word").agg(F.sum("c").alias("c")), "counts")
@@ -66,23 +86,36 @@ def frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
-def sigmoid(x):
-    return 1 / (1 + np.exp(-x))
-
-
 def picked(logit, target, gradient=False):
-    """Log softmax at each target; with ``gradient``, ``logit`` becomes that of the loss."""
-    rows = np.arange(len(target))
-    logit -= logit.max(1, keepdims=True)
-    found = logit[rows, target]
+    """Log softmax of each column at its target; with ``gradient``, ``logit`` becomes that of the loss."""
+    columns = np.arange(len(target))
+    logit -= logit.max(0)
+    found = logit[target, columns]
     np.exp(logit, out=logit)
-    total = logit.sum(1)
+    total = logit.sum(0)
     if gradient:
-        logit /= total[:, None]
-        logit[rows, target] -= 1
+        logit *= 1 / total
+        logit[target, columns] -= 1
     return found - np.log(total)
 
 
+def cell(inputs, state, before, u, n, out):
+    """One step from the state ``before`` to ``out``, all in place; gates come first in ``inputs``,
+    ``state`` and ``u``, which becomes the gates r and z and the part of the state that r lets in."""
+    np.matmul(before, state, out=u)
+    gates = u[:2]
+    gates += inputs[:2]
+    np.tanh(gates, out=gates)
+    gates += 1
+    gates *= 0.5
+    np.multiply(u[0], u[2], out=n)
+    n += inputs[2]
+    np.tanh(n, out=n)
+    np.subtract(before, n, out=out)
+    out *= u[1]
+    out += n
+
+
 class Network:
     """Parameters as one vector with named views.
 
@@ -118,37 +151,49 @@ class Network:
         new.groups[:] = new.words[:] = 0
         return new
 
+    def by_gate(self):
+        """Copies of ``inputs`` and ``state`` with the gates r, z, n first, r and z halved: a sigmoid
+        of x is (1 + tanh(x / 2)) / 2."""
+        half = np.array([0.5, 0.5, 1], self.flat.dtype)[:, None, None]
+        return [w.reshape(-1, 3, HIDDEN).transpose(1, 0, 2) * half for w in (self.inputs, self.state)]
+
     def step(self, x, h):
-        g, u = self.inputs[x], h @ self.state
-        gates = sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(g[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
-        return (1 - z) * n + z * h, (r, z, n, u[:, 2 * HIDDEN :])
+        inputs, state = self.by_gate()
+        u, n, out = np.empty((3, *h.shape), h.dtype), np.empty_like(h), np.empty_like(h)
+        cell(inputs[:, x], state, h, u, n, out)
+        return out, (u, n)
 
     def outputs(self, h, target, gradient=None):
-        """Log probability of each target; with ``gradient``, that of the loss for ``h`` too."""
-        group, within = target // PER_CLASS, target % PER_CLASS
-        logit = h @ self.groups + self.group_bias
-        found = picked(logit, group, gradient is not None)
-        if gradient is not None:
-            gradient.groups += h.T @ logit
-            gradient.group_bias += logit.sum(0)
-            dh = logit @ self.groups.T
-        order = np.argsort(group.astype(np.uint8), kind="stable")
-        group, ordered = group[order], h[order]
+        """Log probability of each target; with ``gradient``, that of the loss for ``h`` too.
+
+        Rows are ordered by class; logits have a column for each row, so that maxima and sums
+        run along rows of memory.
+        """
+        order = np.argsort((target // PER_CLASS).astype(np.uint8), kind="stable")
+        group, within = np.divmod(target.take(order), PER_CLASS)
+        h = h.take(order, 0)
         edges = np.searchsorted(group, np.arange(CLASSES + 1))
         runs = [(k, slice(edges[k], edges[k + 1])) for k in range(CLASSES) if edges[k] < edges[k + 1]]
-        logit = self.word_bias[group]
+        logit = self.groups.T @ h.T
+        logit += self.group_bias[:, None]
+        inner = np.empty((PER_CLASS, len(h)), h.dtype)
+        for k, own in runs:
+            np.matmul(self.words[k].T, h[own].T, out=inner[:, own])
+            inner[:, own] += self.word_bias[k][:, None]
+        found = np.empty(len(h), h.dtype)
+        found[order] = picked(logit, group, gradient is not None) + picked(inner, within, gradient is not None)
+        if gradient is None:
+            return found
+        gradient.groups += h.T @ logit.T
+        gradient.group_bias += logit.sum(1)
+        ordered = logit.T @ self.groups.T
         for k, own in runs:
-            logit[own] += ordered[own] @ self.words[k]
-        found[order] += picked(logit, within[order], gradient is not None)
-        if gradient is not None:
-            for k, own in runs:
-                gradient.words[k] += ordered[own].T @ logit[own]
-                gradient.word_bias[k] += logit[own].sum(0)
-                ordered[own] = logit[own] @ self.words[k].T
-            dh[order] += ordered
-        return found if gradient is None else (found, dh)
+            gradient.words[k] += h[own].T @ inner[:, own].T
+            gradient.word_bias[k] += inner[:, own].sum(1)
+            ordered[own] += inner[:, own].T @ self.words[k].T
+        dh = np.empty_like(ordered)
+        dh[order] = ordered
+        return found, dh
 
 
 class Learner:
@@ -212,28 +257,18 @@ class Learner:
         Only what a step needs of the last one is computed step by step.
         """
         net, steps = self.net, x.shape[1]
-        grad = Network(np.zeros(Network.SIZE, np.float32))
-        inputs = net.inputs[x.T]
-        shape, kind = (steps, len(x), HIDDEN), inputs.dtype
-        before, states, n, un = (np.empty(shape, kind) for _ in range(4))
-        gates = np.empty((steps, len(x), 2 * HIDDEN), kind)
-        stays = None if fresh is None else ~fresh.T[:, :, None]
+        grad = Network(np.zeros_like(net.flat))
+        kind, words = net.flat.dtype, x.T.reshape(-1)
+        shape = (steps, len(x), HIDDEN)
+        inputs, state = net.by_gate()
+        inputs = inputs.take(words, 1).reshape(3, *shape)
+        before, states, n = (np.empty(shape, kind) for _ in range(3))
+        u = np.empty((3, *shape), kind)
+        starts = [[]] * steps if fresh is None else [np.flatnonzero(f) for f in fresh.T]
         for t in range(steps):
-            before[t] = h if stays is None else h * stays[t]
-            u = before[t] @ net.state
-            gate = gates[t]
-            np.add(inputs[t, :, : 2 * HIDDEN], u[:, : 2 * HIDDEN], out=gate)
-            np.negative(gate, out=gate)
-            np.exp(gate, out=gate)
-            gate += 1
-            np.reciprocal(gate, out=gate)
-            un[t] = u[:, 2 * HIDDEN :]
-            np.multiply(gate[:, :HIDDEN], un[t], out=n[t])
-            n[t] += inputs[t, :, 2 * HIDDEN :]
-            np.tanh(n[t], out=n[t])
-            np.subtract(before[t], n[t], out=states[t])
-            states[t] *= gate[:, HIDDEN:]
-            states[t] += n[t]
+            before[t] = h
+            before[t, starts[t]] = 0
+            cell(inputs[:, t], state, before[t], u[:, t], n[t], states[t])
             h = states[t]
         flat, target = states.reshape(-1, HIDDEN), y.T.reshape(-1)
         if real is None:
@@ -243,38 +278,61 @@ class Learner:
             dh_out = np.zeros_like(flat)
             dh_out[at] = net.outputs(flat[at], target[at], grad)[1]
         dh_out = dh_out.reshape(shape)
-        r, z = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-        by_n = (1 - z) * (1 - n * n)  # what a change of the state changes in n's sum, and so on
-        by_r = un * r * (1 - r)
-        by_z = (before - n) * z * (1 - z)
-        dh = np.zeros_like(states[0])
-        dg = np.empty((steps, len(x), 3 * HIDDEN), kind)
-        du = np.empty_like(dg)
+        r, z, un = u
+        du = np.empty_like(u)  # at first what a change of the state changes in the gates' sums
+        du[0] = 1 - r
+        du[0] *= r
+        du[0] *= un
+        dan = np.subtract(1, z, out=un)
+        np.multiply(dan, z, out=du[1])
+        before_n = np.subtract(before, n, out=du[2])
+        du[1] *= before_n
+        n *= n
+        dan *= np.subtract(1, n, out=n)
+        back = np.ascontiguousarray(net.state.reshape(HIDDEN, 3, HIDDEN).transpose(1, 2, 0))
+        dh, parts = np.zeros(shape[1:], kind), np.empty((3, *shape[1:]), kind)
         for t in reversed(range(steps)):
             dh += dh_out[t]
-            dan = np.multiply(dh, by_n[t], out=dg[t, :, 2 * HIDDEN :])
-            np.multiply(dan, by_r[t], out=dg[t, :, :HIDDEN])
-            np.multiply(dh, by_z[t], out=dg[t, :, HIDDEN : 2 * HIDDEN])
-            du[t, :, : 2 * HIDDEN] = dg[t, :, : 2 * HIDDEN]
-            np.multiply(dan, r[t], out=du[t, :, 2 * HIDDEN :])
+            dan[t] *= dh
+            du[0, t] *= dan[t]
+            du[1, t] *= dh
+            np.multiply(dan[t], r[t], out=du[2, t])
             dh *= z[t]
-            dh += du[t] @ net.state.T
-            if stays is not None:
-                dh *= stays[t]
-        grad.state += before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
-        words = x.T.reshape(-1)
-        order = np.argsort(words, kind="stable")
-        starts = np.flatnonzero(np.diff(words[order], prepend=-1))
-        grad.inputs[words[order][starts]] = np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], starts)
-        g = grad.flat / (y.size if real is None else int(real.sum()))
-        g *= min(1.0, 1.0 / max(float(np.sqrt((g * g).sum())), 1e-9))
-        self.steps += 1
-        self.m += 0.1 * (g - self.m)
-        self.v += 0.01 * (g * g - self.v)
-        unbiased = np.sqrt(self.v / (1 - 0.99**self.steps)) + 1e-6
-        net.flat -= RATE * (self.m / (1 - 0.9**self.steps)) / unbiased
+            np.matmul(du[:, t], back, out=parts)
+            for part in parts:
+                dh += part
+            dh[starts[t]] = 0
+        du = du.reshape(3, -1, HIDDEN)
+        grad.state.reshape(HIDDEN, 3, HIDDEN)[:] = (before.reshape(-1, HIDDEN).T @ du).transpose(1, 0, 2)
+        order = np.argsort(words.astype(np.uint16), kind="stable")
+        words = words[order]
+        first = np.flatnonzero(np.diff(words, prepend=-1))
+        pairs = np.result_type(kind, np.complex64)  # two numbers are added at once
+        for gate, d in enumerate((du[0], du[1], dan.reshape(-1, HIDDEN))):
+            sums = np.add.reduceat(d.take(order, 0).view(pairs), first).view(kind)
+            grad.inputs[words[first], gate * HIDDEN : (gate + 1) * HIDDEN] = sums
+        self.adam(grad.flat, y.size if real is None else int(real.sum()))
         return h
 
+    def adam(self, g: np.ndarray, n: int):
+        """A step by the gradient ``g`` of ``n`` tokens, which is overwritten."""
+        g /= n
+        g *= min(1.0, 1.0 / max(float(np.sqrt(g @ g)), 1e-9))
+        self.steps += 1
+        change = g - self.m
+        change *= 0.1
+        self.m += change
+        g *= g
+        g -= self.v
+        g *= 0.01
+        self.v += g
+        np.divide(self.v, 1 - 0.99**self.steps, out=g)
+        np.sqrt(g, out=g)
+        g += 1e-6
+        np.divide(self.m, g, out=change)
+        change *= RATE / (1 - 0.9**self.steps)
+        self.net.flat -= change
+
 
 def sequence_scores(net: Network, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each sequence, whole: its state is carried to its end.
@@ -283,25 +341,30 @@ def sequence_scores(net: Network, sequences: list[np.ndarray]) -> np.ndarray:
     """
     out = np.zeros(len(sequences))
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
+    inputs, state = net.by_gate()
+    kind, most = net.flat.dtype, min(LANES, len(order))
+    states, targets = np.empty((STEPS * most, HIDDEN), kind), np.empty(STEPS * most, np.int64)
+    u, new = np.empty((3, most, HIDDEN), kind), np.empty((most, HIDDEN), kind)
     for low in range(0, len(order), LANES):
         lane = order[low : low + LANES]
         length = np.array([len(sequences[i]) for i in lane])
         flat = np.concatenate([sequences[i] for i in lane]).astype(np.int64)
         begin = np.cumsum(length) - length
+        running = np.searchsorted(-length, -np.arange(length[0]))  # sequences longer than each step
         total = np.zeros(len(lane))
-        h = np.zeros((len(lane), HIDDEN), np.float32)
+        h = np.zeros((len(lane), HIDDEN), kind)
         x = np.full(len(lane), END)
         for first in range(0, int(length[0]), STEPS):
-            states, targets, owners = [], [], []
-            for t in range(first, min(first + STEPS, int(length[0]))):
-                n = int(np.searchsorted(-length, -t, side="left"))  # sequences longer than t
-                h, _ = net.step(x[:n], h[:n])
-                x = flat[begin[:n] + t]
-                states.append(h)
-                targets.append(x)
-                owners.append(np.arange(n))
-            found = net.outputs(np.concatenate(states), np.concatenate(targets))
-            total += np.bincount(np.concatenate(owners), weights=found, minlength=len(lane))
+            edges = np.concatenate(([0], np.cumsum(running[first : first + STEPS])))
+            for t, (at, to) in enumerate(zip(edges, edges[1:]), first):
+                n = to - at
+                cell(inputs.take(x[:n], 1), state, h[:n], u[:, :n], new[:n], states[at:to])
+                x, h = targets[at:to], states[at:to]
+                flat.take(begin[:n] + t, out=x)
+            h, x = h.copy(), x.copy()
+            found = net.outputs(states[:to], targets[:to])
+            for at, to in zip(edges, edges[1:]):
+                total[: to - at] += found[at:to]
         out[lane] = total
     return out
 
@@ -310,25 +373,45 @@ class Numbers:
     """What a task knows of the ``FREQUENT`` words: their outcomes and the logs of their counts."""
 
     def __init__(self, words: list[tuple[bytes, int]]):
-        self.rank = {w: i for i, (w, _) in enumerate(words)}
-        rank = np.arange(len(words))
+        self.words = pa.array([w for w, _ in words], pa.binary())
+        rank = np.arange(len(words) + 1)
         self.own = np.where(rank + 2 < MODEL_WORDS, rank + 2, OTHER).astype("<u2")
-        self.logs = np.array([log10(c + SMOOTHING) for _, c in words])
+        self.logs = np.array([log10(c + SMOOTHING) for _, c in words] + [0.0])
+        self.own[-1] = OTHER  # the last place is for words that are not frequent
 
     def __call__(self, text: str) -> tuple:
         """Outcomes with the end; counts of frequent words and of other outcomes; sums of logs
         of frequent words and of those among the other outcomes; the words that are not frequent."""
-        words = split(text)
-        rank = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
-        known = rank >= 0
-        hit = rank[known]
-        ids = np.full(len(words) + 1, END, "<u2")
-        ids[:-1][known], ids[:-1][~known] = self.own[hit], OTHER
-        logs = self.logs[hit]
-        rare = [] if known.all() else [words[k] for k in np.flatnonzero(~known)]
-        outside = self.own[hit] == OTHER
-        others = int(outside.sum()) + len(rare)
-        return ids.tobytes(), len(hit), others, float(logs.sum()), float(logs[outside].sum()), b" ".join(rare)
+        return tuple(c[0].as_py() for c in self.columns(pa.array([text], pa.string())))
+
+    def columns(self, texts: pa.Array) -> list[pa.Array]:
+        """The same of all ``texts``. Each distinct word is looked up once."""
+        words, sizes = split(texts)
+        coded = words.dictionary_encode()
+        rank = pc.index_in(coded.dictionary, value_set=self.words).fill_null(len(self.words)).to_numpy()
+        rank = rank.take(coded.indices.to_numpy())
+        own, logs, rare = self.own.take(rank), self.logs.take(rank), rank == len(self.words)
+        row = np.repeat(np.arange(len(texts)), sizes)
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+
+        def count(mask):
+            return np.diff(np.concatenate(([0], np.cumsum(mask)))[edges])
+
+        def total(values):
+            return pa.array(np.bincount(row, weights=values, minlength=len(texts)).astype(float))
+
+        ids = np.full(len(own) + len(texts), END, "<u2")
+        ids[np.arange(len(own)) + row] = own
+        edges_ids = (2 * (edges + np.arange(len(edges)))).astype(np.int32)
+        n_rare = count(rare)
+        return [
+            pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges_ids), pa.py_buffer(ids)]),
+            pa.array(sizes - n_rare),
+            pa.array(count(own == OTHER)),
+            total(logs),
+            total(np.where(own == OTHER, logs, 0)),
+            pc.binary_join(lists(words.filter(pa.array(rare)), n_rare), b" "),
+        ]
 
 
 def numbered(rows: DataFrame, words: list[tuple[bytes, int]]) -> DataFrame:
@@ -342,9 +425,8 @@ def numbered(rows: DataFrame, words: list[tuple[bytes, int]]) -> DataFrame:
     def run(batches):
         number = shared.value
         for batch in batches:
-            found = [number(text) for text in batch["text"].to_pylist()]
             kept = {c: batch[c] for c in ("rid", "doc_id", "held_out", "round")}
-            yield {**kept, **dict(zip(names, map(list, zip(*found)) if found else [[]] * len(names)))}
+            yield {**kept, **dict(zip(names, number.columns(batch["text"])))}
 
     turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)).cast("int").alias("round")
     keyed = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held_out", turn, "text")
