@@ -288,41 +288,56 @@ def test_word_counts_that_are_passed_on_in_parts(spark, monkeypatch):
     assert len(got) == len(want) and {bytes(r["word"]): r["c"] for r in got} == want
 
 
-COSTS = """
+def test_rows_are_added_by_word():
+    """Words with one row, a few and many; only words with many, and only one row."""
+    rng = np.random.default_rng(9)
+    mixed = np.concatenate([np.full(300, lm.OTHER), rng.integers(2, 60, 200), np.arange(100, 300), np.full(9, 70)])
+    for words in mixed, np.repeat([5, 3], 9), np.array([4]), np.repeat([8, 2, 9], [2, 1, 8]):
+        words = rng.permutation(words)
+        rows = rng.normal(size=(len(words), 5))
+        want, got = np.zeros((2, lm.MODEL_WORDS, 5))
+        np.add.at(want, words, rows)
+        lm.add_rows(got, words, rows)
+        assert np.allclose(got, want, rtol=1e-12, atol=1e-12)
+
+
+def test_softmax_by_columns():
+    rng = np.random.default_rng(10)
+    logit, target = rng.normal(0, 30, (lm.CLASSES, 50)), rng.integers(0, lm.CLASSES, 50)
+    share = np.exp(logit - logit.max(0)) / np.exp(logit - logit.max(0)).sum(0)
+    hit = np.arange(lm.CLASSES)[:, None] == target
+    assert np.allclose(lm.picked(logit.copy(), target), np.log(share[hit.argmax(0), np.arange(50)]))
+    assert np.allclose(lm.loss_gradient(logit.copy(), target), (share - hit).T)
+
+
+SCORING = """
 import time
 import numpy as np
 from tidemark.llm import lm
 
-def least(work):
-    took = []
-    for _ in range(9):
-        begun = time.process_time()
-        work()
-        took.append(time.process_time() - begun)
-    return min(took)
+def took(work):
+    begun = time.process_time()
+    work()
+    return time.process_time() - begun
 
 rng = np.random.default_rng(7)
-x, y = rng.integers(0, lm.MODEL_WORDS, (2, lm.BATCH, lm.TRUNCATE))
-x[x % 2 > 0] = y[y % 2 > 0] = lm.OTHER  # as in texts
-fresh = np.zeros(x.shape, bool)
-flat = rng.normal(0, 0.1, lm.Network.SIZE).astype(np.float32)
-learner, h = lm.Learner(flat), np.zeros((lm.BATCH, lm.HIDDEN), np.float32)
-sequences = list(rng.integers(0, lm.MODEL_WORDS, (lm.LANES, lm.STEPS)).astype(np.uint16))
-wide = rng.normal(size=(x.size, 3 * lm.HIDDEN)).astype(np.float32)
-state = rng.normal(size=(lm.HIDDEN, 3 * lm.HIDDEN)).astype(np.float32)
-
-def products():  # those of a recurrent layer, forth and back
-    before = wide[:, : lm.HIDDEN]
-    before @ state, wide @ state.T, before.T @ wide
-
-print(least(lambda: learner.window(x, y, h, fresh)) / least(products))
-print(least(lambda: lm.sequence_scores(learner.net, sequences)) / least(products) / len(sequences) / lm.STEPS * x.size)
+ids = (lm.MODEL_WORDS ** rng.random((lm.LANES, lm.STEPS))).astype(np.uint16) - 1
+ids[:, ::2] = lm.OTHER  # as in texts
+net = lm.Network(rng.normal(0, 0.1, lm.Network.SIZE).astype(np.float32))
+states = rng.normal(size=(8192, lm.HIDDEN)).astype(np.float32)
+
+def products():  # as many as the gates take
+    for _ in range(ids.size // len(states)):
+        states @ net.state
+
+work = lambda: lm.sequence_scores(net, list(ids)), products
+scoring, unit = (min(times) for times in zip(*([took(w) for w in work] for _ in range(9))))
+print(scoring / unit)
 """
 
 
-def test_learning_and_scoring_cost_little_beside_their_matrix_products():
+def test_scoring_costs_little_beside_its_matrix_products():
     """On one core, as in a task."""
     env = os.environ | {"OMP_NUM_THREADS": "1", "PYTHONPATH": os.pathsep.join(sys.path)}
-    said = subprocess.run([sys.executable, "-c", COSTS], env=env, capture_output=True, text=True, check=True)
-    learning, scoring = map(float, said.stdout.split())
-    assert learning < 11.3 and scoring < 3.5  # 9.0 and 2.4 measured; 13.5 and 4.8 with gates side by side
+    said = subprocess.run([sys.executable, "-c", SCORING], env=env, capture_output=True, text=True, check=True)
+    assert float(said.stdout) < 12.5  # 8.9 to 9.8 measured; 15.2 to 15.9 with rows of logits and gates side by side

@@ -19,6 +19,7 @@ OTHER, END = 0, 1
 FREQUENT = 100_000  # words whose counts every task has; the others' are joined
 HIDDEN = 32
 TRUNCATE = 32  # steps of backpropagation
+FEW = 8  # rows of a word that are added place by place
 BATCH = 256  # documents learnt side by side
 ROUNDS = 3  # each starts from the average of the last one's learners
 RATE = 0.01
@@ -86,34 +87,78 @@ def frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
-def picked(logit, target, gradient=False):
-    """Log softmax of each column at its target; with ``gradient``, ``logit`` becomes that of the loss."""
-    columns = np.arange(len(target))
+def total(values):
+    """The sum of each column; eight rows at a time, as numpy adds up 32 numbers that lie together."""
+    sums = values[:8].copy()
+    for k in range(8, len(values), 8):
+        sums += values[k : k + 8]
+    while len(sums) > 1:
+        sums = sums[::2] + sums[1::2]
+    return sums[0]
+
+
+def picked(logit, target):
+    """Log softmax of each column at its target; ``logit`` is overwritten."""
+    logit -= logit.max(0)
+    found = logit[target, np.arange(len(target))]
+    np.exp(logit, out=logit)
+    return found - np.log(total(logit))
+
+
+def loss_gradient(logit, target):
+    """That of the negated log softmax of each column at its target, a row for each; ``logit`` is overwritten."""
     logit -= logit.max(0)
-    found = logit[target, columns]
     np.exp(logit, out=logit)
-    total = logit.sum(0)
-    if gradient:
-        logit *= 1 / total
-        logit[target, columns] -= 1
-    return found - np.log(total)
+    logit /= total(logit)
+    logit[target, np.arange(len(target))] -= 1
+    return logit.T.copy()
 
 
-def cell(inputs, state, before, u, n, out):
-    """One step from the state ``before`` to ``out``, all in place; gates come first in ``inputs``,
-    ``state`` and ``u``, which becomes the gates r and z and the part of the state that r lets in."""
+def cell(inputs, state, before, u, n):
+    """What a step from the state ``before`` mixes, all in place: ``u`` becomes the gates r and z and
+    the part of the state that r lets into ``n``. Gates come first in ``inputs`` and ``state`` too."""
     np.matmul(before, state, out=u)
     gates = u[:2]
     gates += inputs[:2]
-    np.tanh(gates, out=gates)
+    np.exp(gates, out=gates)
     gates += 1
-    gates *= 0.5
+    np.reciprocal(gates, out=gates)
     np.multiply(u[0], u[2], out=n)
     n += inputs[2]
     np.tanh(n, out=n)
-    np.subtract(before, n, out=out)
-    out *= u[1]
-    out += n
+
+
+def mixed(u, n, before, out):
+    """The state after a ``cell``."""
+    np.subtract(1, u[1], out=out)
+    out *= n
+    u[1] *= before
+    out += u[1]
+
+
+def add_rows(sums, words, rows):
+    """Sets ``sums`` at each word to the sum of its ``rows``. Most words have few rows: their
+    first ones are added at once, then their second ones, and so on."""
+    few = np.bincount(words, minlength=MODEL_WORDS) <= FEW
+    key = words + few[words] * MODEL_WORDS
+    order = np.argsort(key.astype(np.uint16), kind="stable")
+    key, rows = key[order], rows.take(order, 0)
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    size, word = np.diff(first, append=len(key)), key[first] % MODEL_WORDS
+    many = int(np.searchsorted(key[first], MODEL_WORDS))
+    if many:
+        sums[word[:many]] = np.add.reduceat(rows[: first[many] if many < len(first) else None], first[:many])
+    by_size = many + np.argsort(-size[many:], kind="stable")
+    first, size, word = first[by_size], size[by_size], word[by_size]
+    found = rows.take(first, 0)
+    longer = int(np.searchsorted(-size, -1))
+    if longer:
+        others = rows.take(first[:longer] + 1, 0)
+        for k in range(2, size[0]):
+            n = int(np.searchsorted(-size, -k))
+            others[:n] += rows.take(first[:n] + k, 0)
+        found[:longer] += others
+    sums[word] = found
 
 
 class Network:
@@ -152,48 +197,48 @@ class Network:
         return new
 
     def by_gate(self):
-        """Copies of ``inputs`` and ``state`` with the gates r, z, n first, r and z halved: a sigmoid
-        of x is (1 + tanh(x / 2)) / 2."""
-        half = np.array([0.5, 0.5, 1], self.flat.dtype)[:, None, None]
-        return [w.reshape(-1, 3, HIDDEN).transpose(1, 0, 2) * half for w in (self.inputs, self.state)]
+        """Copies of ``inputs`` and ``state`` with the gates r, z, n first, r and z negated."""
+        sign = np.array([-1, -1, 1], self.flat.dtype)[:, None, None]
+        return [w.reshape(-1, 3, HIDDEN).transpose(1, 0, 2) * sign for w in (self.inputs, self.state)]
 
     def step(self, x, h):
         inputs, state = self.by_gate()
         u, n, out = np.empty((3, *h.shape), h.dtype), np.empty_like(h), np.empty_like(h)
-        cell(inputs[:, x], state, h, u, n, out)
-        return out, (u, n)
+        cell(inputs[:, x], state, h, u, n)
+        mixed(u, n, h, out)
+        return out, n
 
     def outputs(self, h, target, gradient=None):
-        """Log probability of each target; with ``gradient``, that of the loss for ``h`` too.
+        """Log probability of each target; with ``gradient``, that of the loss for ``h`` instead.
 
-        Rows are ordered by class; logits have a column for each row, so that maxima and sums
-        run along rows of memory.
+        Logits have a column for each row of ``h``, so that their maxima and sums run along memory.
         """
-        order = np.argsort((target // PER_CLASS).astype(np.uint8), kind="stable")
-        group, within = np.divmod(target.take(order), PER_CLASS)
-        h = h.take(order, 0)
-        edges = np.searchsorted(group, np.arange(CLASSES + 1))
+        group, within = np.divmod(target, PER_CLASS)
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        ordered, within = h.take(order, 0), within[order]
+        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
         runs = [(k, slice(edges[k], edges[k + 1])) for k in range(CLASSES) if edges[k] < edges[k + 1]]
-        logit = self.groups.T @ h.T
-        logit += self.group_bias[:, None]
-        inner = np.empty((PER_CLASS, len(h)), h.dtype)
+        groups = self.groups.T @ h.T
+        groups += self.group_bias[:, None]
+        words = np.empty((PER_CLASS, len(h)), h.dtype)
         for k, own in runs:
-            np.matmul(self.words[k].T, h[own].T, out=inner[:, own])
-            inner[:, own] += self.word_bias[k][:, None]
-        found = np.empty(len(h), h.dtype)
-        found[order] = picked(logit, group, gradient is not None) + picked(inner, within, gradient is not None)
+            np.matmul(self.words[k].T, ordered[own].T, out=words[:, own])
+            words[:, own] += self.word_bias[k][:, None]
         if gradient is None:
+            found = picked(groups, group)
+            found[order] += picked(words, within)
             return found
-        gradient.groups += h.T @ logit.T
-        gradient.group_bias += logit.sum(1)
-        ordered = logit.T @ self.groups.T
+        groups, words = loss_gradient(groups, group), loss_gradient(words, within)
+        gradient.groups += h.T @ groups
+        gradient.group_bias += groups.sum(0)
+        dh = groups @ self.groups.T
         for k, own in runs:
-            gradient.words[k] += h[own].T @ inner[:, own].T
-            gradient.word_bias[k] += inner[:, own].sum(1)
-            ordered[own] += inner[:, own].T @ self.words[k].T
-        dh = np.empty_like(ordered)
+            gradient.words[k] += ordered[own].T @ words[own]
+            gradient.word_bias[k] += words[own].sum(0)
+            np.matmul(words[own], self.words[k].T, out=ordered[own])
+        ordered += dh.take(order, 0)
         dh[order] = ordered
-        return found, dh
+        return dh
 
 
 class Learner:
@@ -220,9 +265,10 @@ class Learner:
         """
         documents, seen = iter(documents), 0
         lanes, h = [(None, 0)] * BATCH, np.zeros((BATCH, HIDDEN), np.float32)
+        last = np.full(BATCH, END)
         while lanes:
-            x, y = np.full((2, len(lanes), TRUNCATE), END)
-            fresh = np.zeros(x.shape, bool)
+            y = np.full((len(lanes), TRUNCATE), END)
+            fresh = np.zeros(y.shape, bool)
             length = np.zeros(len(lanes), np.int64)
             for i, (ids, at) in enumerate(lanes):
                 n = 0
@@ -233,21 +279,22 @@ class Learner:
                             break
                     take = min(TRUNCATE - n, len(ids) - at)
                     y[i, n : n + take] = ids[at : at + take]
-                    if at:
-                        x[i, n : n + take] = ids[at - 1 : at + take - 1]
-                    else:
+                    if not at:
                         fresh[i, n] = True
-                        x[i, n + 1 : n + take] = ids[: take - 1]
                     at += take
                     n += take
                 lanes[i], length[i] = (ids, at), n
-            full = length == TRUNCATE
-            if not full.all():
+            x = np.concatenate((last[:, None], y[:, :-1]), 1)
+            x[fresh] = END
+            last, real = y[:, -1], None
+            if not (length == TRUNCATE).all():
                 left = np.flatnonzero(length)
-                lanes, h = [lanes[i] for i in left], h[left]
+                lanes, h, last = [lanes[i] for i in left], h[left], last[left]
                 x, y, fresh, length = x[left], y[left], fresh[left], length[left]
+                real = np.arange(TRUNCATE) < length[:, None]
+                x[~real] = END
             if lanes:
-                h = self.window(x, y, h, fresh, None if full.all() else np.arange(TRUNCATE) < length[:, None])
+                h = self.window(x, y, h, fresh, real)
                 seen += int(length.sum())
         return seen
 
@@ -264,74 +311,73 @@ class Learner:
         inputs = inputs.take(words, 1).reshape(3, *shape)
         before, states, n = (np.empty(shape, kind) for _ in range(3))
         u = np.empty((3, *shape), kind)
-        starts = [[]] * steps if fresh is None else [np.flatnonzero(f) for f in fresh.T]
+        starts = {} if fresh is None else {t: np.flatnonzero(fresh[:, t]) for t in np.flatnonzero(fresh.any(0))}
         for t in range(steps):
             before[t] = h
-            before[t, starts[t]] = 0
-            cell(inputs[:, t], state, before[t], u[:, t], n[t], states[t])
-            h = states[t]
+            if t in starts:
+                before[t, starts[t]] = 0
+            cell(inputs[:, t], state, before[t], u[:, t], n[t])
+            h = np.subtract(before[t], n[t], out=states[t])
+            h *= u[1, t]
+            h += n[t]
         flat, target = states.reshape(-1, HIDDEN), y.T.reshape(-1)
         if real is None:
-            _, dh_out = net.outputs(flat, target, grad)
+            dh_out = net.outputs(flat, target, grad)
         else:
             at = np.flatnonzero(real.T.reshape(-1))
             dh_out = np.zeros_like(flat)
-            dh_out[at] = net.outputs(flat[at], target[at], grad)[1]
+            dh_out[at] = net.outputs(flat[at], target[at], grad)
         dh_out = dh_out.reshape(shape)
         r, z, un = u
-        du = np.empty_like(u)  # at first what a change of the state changes in the gates' sums
-        du[0] = 1 - r
-        du[0] *= r
-        du[0] *= un
-        dan = np.subtract(1, z, out=un)
-        np.multiply(dan, z, out=du[1])
-        before_n = np.subtract(before, n, out=du[2])
-        du[1] *= before_n
+        by_z = np.subtract(before, n)  # what a change of the state changes in the sum of z, and so on
+        by_z *= z
+        stays = np.subtract(1, z)
+        by_z *= stays
         n *= n
-        dan *= np.subtract(1, n, out=n)
-        back = np.ascontiguousarray(net.state.reshape(HIDDEN, 3, HIDDEN).transpose(1, 2, 0))
-        dh, parts = np.zeros(shape[1:], kind), np.empty((3, *shape[1:]), kind)
+        dan = np.subtract(1, n, out=n)
+        dan *= stays
+        by_r = un
+        by_r *= r
+        by_r *= np.subtract(1, r, out=stays)
+        dh = np.zeros(shape[1:], kind)
+        du = np.empty((*shape[:2], 3 * HIDDEN), kind)
         for t in reversed(range(steps)):
             dh += dh_out[t]
             dan[t] *= dh
-            du[0, t] *= dan[t]
-            du[1, t] *= dh
-            np.multiply(dan[t], r[t], out=du[2, t])
+            np.multiply(dan[t], by_r[t], out=du[t, :, :HIDDEN])
+            np.multiply(dh, by_z[t], out=du[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(dan[t], r[t], out=du[t, :, 2 * HIDDEN :])
             dh *= z[t]
-            np.matmul(du[:, t], back, out=parts)
-            for part in parts:
-                dh += part
-            dh[starts[t]] = 0
-        du = du.reshape(3, -1, HIDDEN)
-        grad.state.reshape(HIDDEN, 3, HIDDEN)[:] = (before.reshape(-1, HIDDEN).T @ du).transpose(1, 0, 2)
-        order = np.argsort(words.astype(np.uint16), kind="stable")
-        words = words[order]
-        first = np.flatnonzero(np.diff(words, prepend=-1))
-        pairs = np.result_type(kind, np.complex64)  # two numbers are added at once
-        for gate, d in enumerate((du[0], du[1], dan.reshape(-1, HIDDEN))):
-            sums = np.add.reduceat(d.take(order, 0).view(pairs), first).view(kind)
-            grad.inputs[words[first], gate * HIDDEN : (gate + 1) * HIDDEN] = sums
+            dh += du[t] @ net.state.T
+            if t in starts:
+                dh[starts[t]] = 0
+        grad.state += before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
+        du[:, :, 2 * HIDDEN :] = dan  # now of the inputs' sums
+        add_rows(grad.inputs, words, du.reshape(-1, 3 * HIDDEN))
         self.adam(grad.flat, y.size if real is None else int(real.sum()))
         return h
 
     def adam(self, g: np.ndarray, n: int):
         """A step by the gradient ``g`` of ``n`` tokens, which is overwritten."""
         g /= n
-        g *= min(1.0, 1.0 / max(float(np.sqrt(g @ g)), 1e-9))
+        square = g * g
+        scale = min(1.0, 1.0 / max(float(np.sqrt(square.sum())), 1e-9))
+        g *= scale
         self.steps += 1
-        change = g - self.m
-        change *= 0.1
-        self.m += change
-        g *= g
-        g -= self.v
-        g *= 0.01
-        self.v += g
-        np.divide(self.v, 1 - 0.99**self.steps, out=g)
-        np.sqrt(g, out=g)
-        g += 1e-6
-        np.divide(self.m, g, out=change)
-        change *= RATE / (1 - 0.9**self.steps)
-        self.net.flat -= change
+        np.multiply(g, g, out=square)
+        g -= self.m
+        g *= 0.1
+        self.m += g
+        square -= self.v
+        square *= 0.01
+        self.v += square
+        np.divide(self.v, 1 - 0.99**self.steps, out=square)
+        np.sqrt(square, out=square)
+        square += 1e-6
+        np.divide(self.m, 1 - 0.9**self.steps, out=g)
+        g *= RATE
+        g /= square
+        self.net.flat -= g
 
 
 def sequence_scores(net: Network, sequences: list[np.ndarray]) -> np.ndarray:
@@ -358,7 +404,8 @@ def sequence_scores(net: Network, sequences: list[np.ndarray]) -> np.ndarray:
             edges = np.concatenate(([0], np.cumsum(running[first : first + STEPS])))
             for t, (at, to) in enumerate(zip(edges, edges[1:]), first):
                 n = to - at
-                cell(inputs.take(x[:n], 1), state, h[:n], u[:, :n], new[:n], states[at:to])
+                cell(inputs.take(x[:n], 1), state, h[:n], u[:, :n], new[:n])
+                mixed(u[:, :n], new[:n], h[:n], states[at:to])
                 x, h = targets[at:to], states[at:to]
                 flat.take(begin[:n] + t, out=x)
             h, x = h.copy(), x.copy()
