@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.catalog.queries import GRID_FIT_ROWS, QUERIES, SMALL_GB, SMALL_LR, SMALL_RF  # noqa: E402
+from tidemark.catalog.queries import QUERIES, SMALL_GB, SMALL_LR, SMALL_RF  # noqa: E402
 from tidemark.operators import features, models  # noqa: E402
 from tidemark.plans import inference, layers, training  # noqa: E402
 from tidemark.session import build_session, scratch_path  # noqa: E402
@@ -100,9 +100,7 @@ def main() -> None:
     timed(
         "train_grid_whole",
         lambda: consume(
-            training.train_grid(
-                gold, scratch_path(spark, "experiment"), parallelism=5, fit_rows=GRID_FIT_ROWS
-            )
+            training.train_grid(gold, scratch_path(spark, "experiment"), parallelism=5)
         ),
     )
     model = models.assemble(prepared.encoding, fitted[SMALL_LR.run_name])
